@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 Day = dt.date | str | None
@@ -23,3 +23,14 @@ def moment(now: Moment = None) -> Column:
     if now is None:
         return F.localtimestamp()
     return F.lit(str(now)).cast("timestamp_ntz")
+
+
+def pinned(spark: SparkSession, as_of: Day, now: Moment) -> tuple[str, str]:
+    """Both as text, read off the session's clock where not given.
+
+    A job that writes several tables pins them first, so all its rows agree.
+    """
+    row = spark.range(1).select(
+        day(as_of).cast("string").alias("day"), moment(now).cast("string").alias("moment")
+    ).first()
+    return row["day"], row["moment"]

@@ -8,7 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatwise.functions.clock import Day, Moment, moment
+from seatwise.functions.clock import Day, Moment, moment, pinned
 from seatwise.operators.requests import APPROVED, not_issued_for_pending
 from seatwise.plans.jobs import expire_and_refresh, process_requests
 from seatwise.session import table_store
@@ -67,6 +67,7 @@ def request_job(
     leaves licenses issued for still pending requests out of account, so it decides
     as before, issues nothing twice and updates the request rows.
     """
+    as_of, now = pinned(spark, as_of, now)
     store = table_store(spark)
     tables = places.read(spark)
     earlier = not_issued_for_pending(tables.licenses, tables.requests)
@@ -102,6 +103,7 @@ def expiry_job(
     spark: SparkSession, places: Places, as_of: Day = None, now: Moment = None
 ) -> dict[str, int]:
     """Expire due licenses, then correct the flags."""
+    as_of, now = pinned(spark, as_of, now)
     store = table_store(spark)
     tables = places.read(spark)
     run = expire_and_refresh(tables.users, tables.licenses, as_of, now)

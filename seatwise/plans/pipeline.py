@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seatwise.functions.clock import Day, Moment
+from seatwise.functions.clock import Day, Moment, pinned
 from seatwise.operators import reports, requests
 from seatwise.plans.jobs import license_report, plan_pipeline
 from seatwise.session import table_store
@@ -28,6 +28,7 @@ def run_pipeline(
     run that was interrupted can be repeated over the same folder.
     """
     preflight(tables)
+    as_of, now = pinned(spark, as_of, now)
     out = out.rstrip("/")
     run = plan_pipeline(tables, as_of, now, table_store(spark, out))
     write_table(run.requests_run.quarantined, f"{out}/quarantined")

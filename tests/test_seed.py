@@ -1,0 +1,94 @@
+"""Known answers on the small seed database."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+from seed import AS_OF, NOW, seed_tables
+
+from seatwise.operators import expiry, quality, reports, requests
+from seatwise.plans.jobs import plan_pipeline
+
+
+@pytest.fixture(scope="module")
+def seed(spark):
+    return seed_tables(spark)
+
+
+def values(rows):
+    return [tuple(row) for row in rows.collect()]
+
+
+def test_counts_by_status(seed):
+    assert values(reports.counts_by_status(seed.licenses)) == [
+        ("ACTIVE", 27, 28), ("EXPIRED", 5, 5), ("SUSPENDED", 2, 2)]
+
+
+def test_active_counts(seed):
+    assert values(reports.counts_by_type(seed.licenses, AS_OF)) == [
+        ("Type 1", 5, 5), ("Type 2", 6, 6), ("Type 3", 4, 4)]
+    assert values(reports.totals(seed.licenses, AS_OF)) == [(14, 15)]
+
+
+def test_counts_with_expired(seed):
+    assert values(reports.counts_by_type(seed.licenses, AS_OF, include_expired=True)) == [
+        ("Type 1", 8, 8), ("Type 2", 11, 11), ("Type 3", 9, 9)]
+    assert values(reports.totals(seed.licenses, AS_OF, include_expired=True)) == [(27, 28)]
+    assert values(reports.distribution(seed.licenses)) == [
+        ("Type 1", 8, 8), ("Type 2", 11, 11), ("Type 3", 9, 9)]
+
+
+def test_counts_by_product(seed):
+    assert values(reports.counts_by_type_and_product(seed.licenses, AS_OF)) == [
+        ("Type 1", "Automation Tools", 1, 1), ("Type 1", "Educational Suite", 1, 1),
+        ("Type 1", "Professional Suite", 3, 3), ("Type 2", "AI Analytics", 1, 1),
+        ("Type 2", "Analytics Pro", 4, 4), ("Type 2", "Data Insights", 1, 1),
+        ("Type 3", "Enterprise Suite", 4, 4)]
+
+
+def test_expiry_breakdown_in_binary_order(seed):
+    assert values(reports.expiry_breakdown(seed.licenses, AS_OF)) == [
+        ("Type 1", "Active", 5, 5), ("Type 1", "EXPIRED", 3, 3), ("Type 1", "Expired", 3, 3),
+        ("Type 1", "SUSPENDED", 1, 1), ("Type 2", "Active", 6, 6), ("Type 2", "EXPIRED", 2, 2),
+        ("Type 2", "Expired", 5, 5), ("Type 2", "SUSPENDED", 1, 1), ("Type 3", "Active", 4, 4),
+        ("Type 3", "Expired", 5, 5)]
+
+
+def test_expiry_and_drift(seed):
+    assert expiry.licenses_to_expire(seed.licenses, AS_OF).count() == 13
+    drift = expiry.flag_drift(seed.users, seed.licenses, AS_OF)
+    assert drift.filter(~F.col("should_be_active")).count() == 13
+    assert drift.filter("should_be_active").count() == 0
+
+
+def test_requests(seed):
+    by_status = seed.requests.groupBy("request_status").count()
+    assert dict(values(by_status)) == {
+        "PENDING": 5, "PROCESSING": 2, "APPROVED": 1, "REJECTED": 1}
+    decided = requests.decide(seed.requests, seed.users, seed.licenses, AS_OF)
+    assert values(requests.decision_counts(decided)) == [("APPROVED", 5)]
+    approved = requests.approved_requests(seed.requests, seed.users, seed.licenses, AS_OF)
+    issued = requests.new_licenses(approved, AS_OF, NOW).orderBy("userid")
+    assert values(issued.select("userid", "expiry_date")) == [
+        ("user019", dt.date(2025, 10, 10)), ("user020", dt.date(2025, 12, 9)),
+        ("user033", dt.date(2025, 10, 10)), ("user037", dt.date(2025, 12, 9)),
+        ("user046", dt.date(2025, 10, 10))]
+
+
+def test_quality(seed):
+    assert quality.orphan_licenses(seed.licenses, seed.users).isEmpty()
+    for name, rows in seed.items():
+        counts = quality.rule_counts(rows, quality.rules_for(name), name)
+        assert counts.filter("violations > 0").isEmpty()
+
+
+def test_whole_pipeline(seed):
+    after = plan_pipeline(seed, AS_OF, NOW).tables
+    assert values(reports.counts_by_status(after.licenses)) == [
+        ("ACTIVE", 19, 20), ("EXPIRED", 18, 18), ("SUSPENDED", 2, 2)]
+    # 14 users held an active license, 5 got one
+    assert after.users.filter("islicenseactive").count() == 19
+    assert dict(values(after.requests.groupBy("request_status").count())) == {
+        "PROCESSING": 2, "APPROVED": 6, "REJECTED": 1}
+    stamped = after.requests.filter(F.col("processed_at") == F.lit(str(NOW)).cast("timestamp_ntz"))
+    assert stamped.count() == 5

@@ -1,0 +1,186 @@
+"""One user, one seat or one email holding a third of all rows."""
+
+import contextlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from seatwise.operators import expiry, quality, reports, requests, tables
+
+AS_OF = "2025-09-10"
+ROWS = 60_000
+
+
+@contextlib.contextmanager
+def settings(spark, **values):
+    keys = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for key, value in keys.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+@pytest.fixture
+def small_partitions(spark):
+    """Thresholds at which this small data counts as skewed, and no broadcast."""
+    with settings(
+        spark,
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20KB",
+        spark__sql__shuffle__partitions="16",
+    ):
+        yield
+
+
+def hot(column, spread):
+    """A third of the rows share the key 0, the others spread over ``spread`` keys."""
+    return F.when(F.col(column) % 3 == 0, F.lit(0)).otherwise(F.col(column) % spread + 1)
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    ids = spark.range(0, ROWS, numPartitions=12)
+    request_rows = ids.select(
+        "id",
+        hot("id", 5000).cast("string").alias("userid"),
+        F.lit("PENDING").alias("request_status"),
+        F.lit("Type 1").alias("license_type"),
+        F.lit("A").alias("product_name"),
+        F.lit(None).cast("timestamp_ntz").alias("requested_at"),
+        F.lit(None).cast("timestamp_ntz").alias("processed_at"),
+    )
+    license_rows = ids.select(
+        F.col("id").cast("string").alias("license_id"),
+        hot("id", 2500).cast("string").alias("userid"),
+        F.lit("Type 1").alias("license_type"),
+        F.lit("2025-01-01").cast("date").alias("start_date"),
+        F.lit("2025-12-31").cast("date").alias("expiry_date"),
+        F.lit("A").alias("product_name"),
+        F.lit("ACTIVE").alias("status"),
+    )
+    user_rows = spark.range(0, 4000, numPartitions=4).select(
+        F.col("id").cast("string").alias("userid"),
+        F.when(F.col("id") % 3 == 0, "same@x.org")
+        .otherwise(F.concat(F.col("id").cast("string"), F.lit("@x.org"))).alias("email"),
+        F.lit(False).alias("islicenseactive"),
+        F.lit(None).cast("timestamp_ntz").alias("updated_at"),
+    )
+    return request_rows, user_rows, license_rows
+
+
+def final_plan(rows):
+    rows.write.format("noop").mode("overwrite").save()
+    executed = rows._jdf.queryExecution().executedPlan()
+    rows.collect()
+    return executed.toString()
+
+
+def skewed_joins(rows):
+    return final_plan(rows).split("== Initial Plan ==")[0].count("skew=true")
+
+
+def test_decisions_split_the_hot_user_in_both_joins(spark, data, small_partitions):
+    request_rows, user_rows, license_rows = data
+    decided = requests.decide(request_rows, user_rows, license_rows, AS_OF)
+    assert skewed_joins(decided) == 2
+    holders = {0} | {n % 2500 + 1 for n in range(ROWS) if n % 3}
+    found = {row.id: row.decision for row in decided.select("id", "decision").collect()}
+    assert len(found) == ROWS
+    for n, decision in found.items():
+        user = 0 if n % 3 == 0 else n % 5000 + 1
+        wanted = (
+            "REJECTED_UNKNOWN_USER" if user >= 4000
+            else "REJECTED_DUPLICATE" if user in holders
+            else "APPROVED"
+        )
+        assert decision == wanted
+
+
+def test_valid_and_approved_split_the_hot_user(spark, data, small_partitions):
+    request_rows, user_rows, license_rows = data
+    assert skewed_joins(requests.valid_requests(request_rows, user_rows)) == 1
+    approved = requests.approved_requests(request_rows, user_rows, license_rows, AS_OF)
+    assert skewed_joins(approved) >= 1
+
+
+def test_orphans_and_removals_split_the_hot_user(spark, data, small_partitions):
+    _, user_rows, license_rows = data
+    known = user_rows.filter("userid <> '0'")
+    orphans = quality.orphan_licenses(license_rows, known)
+    assert skewed_joins(orphans) == 1
+    assert orphans.count() == ROWS // 3
+    kept = expiry.remove_users(license_rows, known)
+    assert skewed_joins(kept) == 1
+    assert kept.count() == ROWS // 3
+
+
+def test_renaming_splits_the_hot_user(spark, data, small_partitions):
+    _, _, license_rows = data
+    renames = spark.createDataFrame([("0", "zero")], "userid string, new_userid string")
+    renamed = expiry.rename_users(license_rows, renames)
+    assert skewed_joins(renamed) == 1
+    assert renamed.filter("userid = 'zero'").count() == ROWS // 3
+
+
+def test_user_licenses_split_the_hot_user(spark, data, small_partitions):
+    _, user_rows, license_rows = data
+    rows = expiry.user_licenses(user_rows.select("userid"), license_rows)
+    assert skewed_joins(rows) >= 1
+    owners = {0} | {n % 2500 + 1 for n in range(ROWS) if n % 3}
+    assert rows.count() == ROWS + 4000 - len(owners)
+
+
+def shuffled_rows(rows):
+    """Rows written by each shuffle of an executed plan, innermost last."""
+    executed = rows._jdf.queryExecution().executedPlan()
+    rows.collect()
+    metrics = []
+
+    def visit(plan):
+        name = plan.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return visit(plan.executedPlan())
+        if name.endswith("QueryStage"):
+            return visit(plan.plan())
+        if name == "Exchange":
+            metrics.append(plan.metrics().apply("shuffleRecordsWritten").value())
+        children = plan.children()
+        for i in range(children.size()):
+            visit(children.apply(i))
+
+    visit(executed)
+    return metrics
+
+
+def test_report_counts_merge_the_hot_user_before_the_shuffle(spark, data, small_partitions):
+    _, _, license_rows = data
+    counts = reports.counts_by_type(license_rows, AS_OF)
+    # 12 input tasks, each sending every user it saw once
+    assert max(shuffled_rows(counts)) < ROWS * 0.7
+    owners = {0} | {n % 2500 + 1 for n in range(ROWS) if n % 3}
+    assert [tuple(r) for r in counts.collect()] == [("Type 1", len(owners), ROWS)]
+
+
+def test_duplicate_emails_merge_before_the_shuffle(spark, data, small_partitions):
+    _, user_rows, _ = data
+    repeated = quality.repeated_keys(user_rows, "email")
+    assert max(shuffled_rows(repeated)) < 4000 * 0.7
+    assert [tuple(r) for r in repeated.collect()] == [("same@x.org", 1334)]
+
+
+def test_insert_or_ignore_limits_the_hot_key_before_the_shuffle(spark, data, small_partitions):
+    request_rows, user_rows, _ = data
+    incoming = request_rows.select(
+        "id", F.concat(F.lit("n"), "userid").alias("userid"), F.lit("e").alias("email"),
+        F.lit(True).alias("islicenseactive"), F.lit(None).cast("timestamp_ntz").alias("updated_at"),
+    )
+    result = tables.insert_or_ignore(user_rows, incoming, "userid", ["id"])
+    assert max(shuffled_rows(result)) < ROWS * 0.7
+    assert result.count() == 4000 + len({n % 5000 + 1 for n in range(ROWS) if n % 3}) + 1
