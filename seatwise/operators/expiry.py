@@ -37,17 +37,23 @@ def expired_changes(licenses: DataFrame, as_of: Day = None, now: Moment = None)
 def user_licenses(users: DataFrame, licenses: DataFrame) -> DataFrame:
     """All users with their licenses, one row per license, or one with NULLs.
 
-    Written as matched rows plus users without any. A left join from users would
-    put the licenses on the side adaptive execution cannot split.
+    License columns named like a user column get the prefix ``license_``. Written as
+    matched rows plus users without any: a left join from users would put the
+    licenses on the side adaptive execution cannot split.
     """
-    held = licenses.withColumnRenamed("userid", "_holder")
-    matched = held.join(users, F.col("_holder") == F.col("userid"), "inner").drop("_holder")
-    extra = [name for name in licenses.columns if name != "userid"]
-    empty = lacking_match(users, licenses, ["userid"]).select(
-        *users.columns,
-        *(F.lit(None).cast(licenses.schema[name].dataType).alias(name) for name in extra),
+    held = licenses.select(F.col("userid").alias("_holder"), *(
+        F.col(name).alias(f"license_{name}" if name in users.columns else name)
+        for name in licenses.columns if name != "userid"
+    ))
+    extra = [field for field in held.schema if field.name != "_holder"]
+    matched = held.join(users, F.col("_holder") == F.col("userid"), "inner").select(
+        *users.columns, *(field.name for field in extra)
+    )
+    holders = licenses.select("userid").distinct()
+    empty = lacking_match(users, holders, ["userid"], unique=True).select(
+        "*", *(F.lit(None).cast(field.dataType).alias(field.name) for field in extra)
     )
-    return matched.select(*users.columns, *extra).unionByName(empty)
+    return matched.unionByName(empty)
 
 
 def license_counts(users: DataFrame, licenses: DataFrame) -> DataFrame:

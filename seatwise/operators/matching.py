@@ -1,19 +1,19 @@
 """Key look-ups that hold up when one key owns a large share of the rows.
 
-The looked-up side is reduced to its distinct keys first, with partial
-aggregation before the shuffle, so repeats neither multiply rows nor pile up in
-one task. The join then adds a digest of the keys to the join condition. The
-aggregate's own partitioning no longer serves that join, so both join inputs come
-straight from a shuffle; this is the plan shape in which adaptive execution can
-split a skewed partition of ``rows`` over many tasks. The price is one more
-shuffle of the already reduced key set.
+Adaptive execution splits a skewed partition of ``rows`` over many tasks, but only
+where both join inputs come straight from a shuffle. A looked-up table whose key is
+declared unique is joined as it is. Any other is first reduced to its distinct keys,
+with partial aggregation before the shuffle, so repeats neither multiply rows nor
+pile up in one task. The partitioning left by that aggregate would serve the join
+as well and thereby rule out splitting; a digest of the keys in the join condition
+prevents that, at the price of shuffling the reduced key set once more.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DIGEST = "_key_digest"
@@ -29,36 +29,56 @@ def _check_types(rows: DataFrame, others: DataFrame, on: Sequence[str]) -> None:
             )
 
 
-def with_digest(rows: DataFrame, on: Sequence[str]) -> DataFrame:
-    return rows.withColumn(DIGEST, F.xxhash64(*on))
+def _digest(on: Sequence[str]) -> Column:
+    return F.xxhash64(*on).alias(DIGEST)
 
 
-def _look_up(rows: DataFrame, others: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+def _join_keys(
+    rows: DataFrame, others: DataFrame, on: Sequence[str], unique: bool
+) -> tuple[DataFrame, DataFrame, list[str]]:
     _check_types(rows, others, on)
-    keys = with_digest(others.select(*on).distinct(), on)
-    return with_digest(rows, on).join(keys, [DIGEST, *on], how).select(*rows.columns)
-
-
-def having_match(rows: DataFrame, others: DataFrame, on: Sequence[str]) -> DataFrame:
-    """The rows whose key occurs in ``others``. A NULL key never matches."""
-    return _look_up(rows, others, on, "left_semi")
-
-
-def lacking_match(rows: DataFrame, others: DataFrame, on: Sequence[str]) -> DataFrame:
+    keys = others.select(*on)
+    if unique:
+        return rows, keys, list(on)
+    return (
+        rows.select("*", _digest(on)),
+        keys.distinct().select("*", _digest(on)),
+        [DIGEST, *on],
+    )
+
+
+def having_match(
+    rows: DataFrame, others: DataFrame, on: Sequence[str], unique: bool = False
+) -> DataFrame:
+    """The rows whose key occurs in ``others``. A NULL key never matches.
+
+    ``unique``: ``others`` holds each key once.
+    """
+    left, keys, by = _join_keys(rows, others, on, unique)
+    return left.join(keys, by, "left_semi").select(*rows.columns)
+
+
+def lacking_match(
+    rows: DataFrame, others: DataFrame, on: Sequence[str], unique: bool = False
+) -> DataFrame:
     """The rows whose key does not occur in ``others``; NULL keys stay."""
-    return _look_up(rows, others, on, "left_anti")
+    left, keys, by = _join_keys(rows, others, on, unique)
+    return left.join(keys, by, "left_anti").select(*rows.columns)
 
 
-def mark_match(rows: DataFrame, others: DataFrame, on: Sequence[str], flag: str) -> DataFrame:
+def mark_match(
+    rows: DataFrame, others: DataFrame, on: Sequence[str], flag: str, unique: bool = False
+) -> DataFrame:
     """``rows`` with a boolean column saying whether the key occurs in ``others``."""
-    return attach(
-        rows, others.select(*on).distinct().withColumn(flag, F.lit(True)), on
-    ).withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    left, keys, by = _join_keys(rows, others, on, unique)
+    joined = left.join(keys.select("*", F.lit(True).alias(flag)), by, "left")
+    return joined.select(*rows.columns, F.coalesce(flag, F.lit(False)).alias(flag))
 
 
 def attach(rows: DataFrame, unique: DataFrame, on: Sequence[str]) -> DataFrame:
-    """``rows`` left-joined with ``unique``, which holds each key at most once."""
+    """``rows`` left-joined with ``unique``, an aggregate with one row per key."""
     _check_types(rows, unique, on)
     extra = [name for name in unique.columns if name not in on]
-    joined = with_digest(rows, on).join(with_digest(unique, on), [DIGEST, *on], "left")
+    joined = rows.select("*", _digest(on)).join(
+        unique.select("*", _digest(on)), [DIGEST, *on], "left")
     return joined.select(*rows.columns, *extra)

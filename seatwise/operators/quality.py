@@ -109,4 +109,5 @@ def key_counts(rows: DataFrame, key: str, table: str) -> DataFrame:
 
 def orphan_licenses(licenses: DataFrame, users: DataFrame) -> DataFrame:
     """Licenses whose user does not exist. A NULL user id breaks not-null, not this."""
-    return lacking_match(licenses.filter(F.col("userid").isNotNull()), users, ["userid"])
+    owned = licenses.filter(F.col("userid").isNotNull())
+    return lacking_match(owned, users, ["userid"], unique=True)

@@ -33,7 +33,7 @@ def active_seats(licenses: DataFrame, as_of: Day = None) -> DataFrame:
 
 def valid_requests(requests: DataFrame, users: DataFrame) -> DataFrame:
     """Pending requests of known users."""
-    return having_match(pending_requests(requests), users, ["userid"])
+    return having_match(pending_requests(requests), users, ["userid"], unique=True)
 
 
 def approved_requests(
@@ -53,10 +53,11 @@ def decide(
     """Every pending request, all its columns, plus ``decision``.
 
     One pass replaces the chain of joins that keeps, then drops, then subtracts:
-    the two look-ups become flags and the decision is an expression over them.
+    the two look-ups become flags and the decision is an expression over them. User
+    ids are taken as unique, being the user table's primary key.
     """
     pending = requests.filter(F.col("request_status") == "PENDING")
-    flagged = mark_match(pending, users, ["userid"], "_known")
+    flagged = mark_match(pending, users, ["userid"], "_known", unique=True)
     flagged = mark_match(flagged, active_seats(licenses, as_of), SEAT, "_held")
     decision = (
         F.when(~F.col("_known"), UNKNOWN_USER)
@@ -118,7 +119,7 @@ def add_licenses(licenses: DataFrame, issued: DataFrame) -> DataFrame:
 def not_issued_for_pending(licenses: DataFrame, requests: DataFrame) -> DataFrame:
     """Licenses except those an interrupted run issued for requests still pending."""
     own = pending_requests(requests).select(license_id_for("id").alias("license_id"))
-    return lacking_match(licenses, own, ["license_id"])
+    return lacking_match(licenses, own, ["license_id"], unique=True)
 
 
 def apply_decisions(requests: DataFrame, decisions: DataFrame, now: Moment = None) -> DataFrame:

@@ -58,4 +58,4 @@ def insert_or_ignore(
         )
         .select(*target.columns)
     )
-    return target.unionByName(lacking_match(first, target, [key]))
+    return target.unionByName(lacking_match(first, target, [key], unique=True))

@@ -9,15 +9,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 # Shuffle partition counts are only an upper bound: adaptive execution merges
-# small ones up to the advisory size and splits skewed ones.
+# small ones up to the advisory size and splits skewed ones. A join whose build
+# partitions all turn out below the map threshold hashes instead of sorting.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32MB",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.ui.enabled": "false",
 }
 

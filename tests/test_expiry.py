@@ -92,6 +92,14 @@ def test_user_licenses_keep_users_without_any(people, seats):
         ("none", None), ("idle", None)], key=repr)
 
 
+def test_user_licenses_of_whole_tables(people, seats):
+    rows = ops.user_licenses(people, seats)
+    assert rows.columns == [
+        *people.columns, "license_id", "license_type", "start_date", "expiry_date",
+        "product_name", "status", "license_created_at", "license_updated_at"]
+    assert rows.count() == 11
+
+
 def test_license_counts(people, seats):
     assert dict(values(ops.license_counts(people, seats))) == {
         "on": 1, "before": 2, "after": 2, "none": 0, "unset": 1, "right": 2, "lower": 1,

@@ -4,7 +4,7 @@ import pytest
 from rows import AFTER, AS_OF, BEFORE, NOW, ON, licenses, requests, users, values
 
 from seatwise.operators import requests as ops
-from seatwise.operators.matching import mark_match
+from seatwise.operators.matching import having_match, mark_match
 from seatwise.plans.jobs import process_requests
 from seatwise.sources.tables import Tables
 
@@ -77,10 +77,13 @@ def test_decisions_agree_with_the_separate_joins(tables):
         ops.APPROVED: 8, ops.DUPLICATE: 1, ops.UNKNOWN_USER: 2}
 
 
-def test_repeated_users_do_not_multiply_decisions(tables):
+def test_repeated_keys_do_not_multiply_rows(tables):
     twice = tables.users.unionByName(tables.users)
-    decided = ops.decide(tables.requests, twice, tables.licenses, AS_OF)
-    assert ids(decided) == [*range(1, 11), 13]
+    valid = ops.valid_requests(tables.requests, tables.users)
+    assert values(ops.valid_requests(tables.requests, twice)) == values(valid)
+    for unique in (mark_match(valid, twice, ["userid"], "known"),
+                   having_match(valid, twice, ["userid"])):
+        assert unique.count() == valid.count()
 
 
 def test_new_licenses_run_for_their_term(spark):
