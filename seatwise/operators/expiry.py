@@ -117,6 +117,12 @@ def refresh_flags(
     return _set_flags(target, users.columns, drifted, now)
 
 
+def apply_flag_changes(users: DataFrame, changes: DataFrame, now: Moment = None) -> DataFrame:
+    """``users`` with the flags that ``flag_drift`` found, kept as a table."""
+    target = users.join(changes, "userid", "left")
+    return _set_flags(target, users.columns, F.col("should_be_active").isNotNull(), now)
+
+
 def flags_from_licenses(
     users: DataFrame, licenses: DataFrame, as_of: Day = None, inclusive: bool = False
 ) -> DataFrame:

@@ -130,3 +130,24 @@ def full_report(
         "total_licenses",
     )
     return in_scope_rows.unionByName(by_status)
+
+
+def split_report(report: DataFrame) -> dict[str, DataFrame]:
+    """The single report tables out of a stored ``full_report``, sorted."""
+
+    def part(name: str, *by: str) -> DataFrame:
+        rows = report.filter(F.col("report") == name)
+        return rows.select(*by, "unique_users", "total_licenses").orderBy(*by)
+
+    total = report.filter(F.col("report") == "active_total").agg(
+        F.coalesce(F.max("unique_users"), F.lit(0)).alias("total_unique_users"),
+        F.coalesce(F.max("total_licenses"), F.lit(0)).alias("total_licenses"),
+    )
+    return {
+        "by_type": part("active_type", "license_type"),
+        "totals": total,
+        "by_type_and_product": part("active_type_product", "license_type", "product_name"),
+        "by_status": part("all_status", "license_status")
+        .withColumnRenamed("license_status", "status"),
+        "expiry_breakdown": part("all_type_status", "license_type", "license_status"),
+    }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seatwise.functions.clock import Day, Moment, moment, pinned
+from seatwise.operators import reports
 from seatwise.operators.requests import APPROVED, not_issued_for_pending
 from seatwise.plans.jobs import expire_and_refresh, process_requests
 from seatwise.session import table_store
@@ -131,3 +132,25 @@ def expiry_job(
         ),
     )
     return {"licenses_expired": expired, "users_updated": updated}
+
+
+def run_database_pipeline(
+    spark: SparkSession, places: Places, as_of: Day = None, now: Moment = None
+) -> tuple[dict[str, int], dict[str, DataFrame]]:
+    """Probe the databases, run both jobs, and report on the licenses they leave.
+
+    The licenses are copied to files once and all counts are taken from the copy.
+    """
+    for database in {place.database.url: place.database for place in (
+        places.users, places.licenses, places.requests
+    )}.values():
+        source.is_reachable(spark, database)
+    as_of, now = pinned(spark, as_of, now)
+    affected = {
+        **request_job(spark, places, as_of, now),
+        **expiry_job(spark, places, as_of, now),
+    }
+    store = table_store(spark)
+    licenses = store(places.licenses.read(spark), "licenses")
+    report = store(reports.full_report(licenses, as_of), "report")
+    return affected, reports.split_report(report)

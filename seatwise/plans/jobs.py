@@ -29,6 +29,10 @@ class RequestRun:
     requests_after: DataFrame
     licenses_after: DataFrame
 
+    def distribution(self) -> DataFrame:
+        """ACTIVE licenses per type once the new ones are in."""
+        return reports.distribution(self.licenses_after)
+
 
 def process_requests(
     tables: Tables, as_of: Day = None, now: Moment = None, store: Store = _as_is

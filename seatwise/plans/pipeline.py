@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from seatwise.functions.clock import Day, Moment, pinned
-from seatwise.operators import reports, requests
-from seatwise.plans.jobs import license_report, plan_pipeline
+from seatwise.operators import expiry, reports, requests
+from seatwise.plans.jobs import plan_pipeline
 from seatwise.session import table_store
 from seatwise.sinks.parquet import write_table
 from seatwise.sources.tables import Tables, preflight, read_parquet
@@ -30,18 +30,20 @@ def run_pipeline(
     preflight(tables)
     as_of, now = pinned(spark, as_of, now)
     out = out.rstrip("/")
-    run = plan_pipeline(tables, as_of, now, table_store(spark, out))
-    write_table(run.requests_run.quarantined, f"{out}/quarantined")
+    store = table_store(spark, out)
+    run = plan_pipeline(tables, as_of, now, store)
     write_table(run.requests_run.new_licenses, f"{out}/new_licenses")
+    write_table(run.requests_run.quarantined, f"{out}/quarantined")
     write_table(run.expiry_run.license_changes, f"{out}/license_changes")
-    write_table(run.expiry_run.flag_changes, f"{out}/flag_changes")
+    flag_changes = store(run.expiry_run.flag_changes, "flag_changes")
     licenses_after = run.tables.licenses
     if snapshots:
-        for name, rows in run.tables.items():
-            write_table(rows, f"{out}/after/{name}")
-        licenses_after = spark.read.schema(licenses_after.schema).parquet(f"{out}/after/licenses")
-    write_table(reports.full_report(licenses_after, as_of), f"{out}/report")
-    results = license_report(licenses_after, as_of)
+        users_after = expiry.apply_flag_changes(tables.users, flag_changes, now)
+        store(users_after, "after/users")
+        store(run.tables.requests, "after/requests")
+        licenses_after = store(licenses_after, "after/licenses")
+    report = store(reports.full_report(licenses_after, as_of), "report")
+    results = reports.split_report(report)
     results["decision_counts"] = requests.decision_counts(run.requests_run.decisions)
     return results
 

@@ -203,3 +203,21 @@ def test_jobs_leave_the_same_state_as_the_table_pipeline(spark, base, handed_ove
             f"CAST({c} AS VARCHAR)" if c == "license_id" else c for c in rows.columns)
         stored = base.execute(f"SELECT {columns} FROM {name}").fetchall()
         assert sorted(stored, key=repr) == sorted((tuple(r) for r in rows.collect()), key=repr)
+
+
+def test_whole_pipeline(spark, base, handed_over, monkeypatch):
+    probed = []
+
+    def read_query(spark, database, query):
+        probed.append(database.url)
+        return spark.range(1)
+
+    monkeypatch.setattr(source, "read_query", read_query)
+    affected, results = jobs.run_database_pipeline(spark, places(base), AS_OF, NOW)
+    # the row trigger that flags users on insert is the database's; here the 5 new
+    # holders are found by the expiry job
+    assert affected == {"licenses_issued": 5, "requests_updated": 5,
+                        "licenses_expired": 13, "users_updated": 18}
+    assert probed == ["jdbc:postgresql://host/db"]
+    assert [tuple(r) for r in results["by_status"].collect()] == [
+        ("ACTIVE", 19, 20), ("EXPIRED", 18, 18), ("SUSPENDED", 2, 2)]

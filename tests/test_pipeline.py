@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from rows import values
 from seed import AS_OF, NOW, seed_tables
@@ -91,6 +93,20 @@ def test_store_lives_in_the_shared_folder(spark):
     assert rows.count() == 5
 
 
+def session_with(**settings):
+    conf = SimpleNamespace(get=lambda key, default: settings.get(key.replace(".", "_"), default))
+    return SimpleNamespace(conf=conf)
+
+
+def test_only_a_local_session_may_use_a_folder_of_its_own():
+    named = session_with(spark_checkpoint_dir="s3://shared/", spark_master="yarn")
+    assert shared_folder(named) == "s3://shared"
+    local = session_with(spark_master="local[4]")
+    assert shared_folder(local) == shared_folder(local)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(session_with(spark_master="yarn"))
+
+
 def test_filters_and_columns_reach_the_scan(spark, folder, capsys):
     licenses = read_parquet(spark, folder).licenses
     reports.counts_by_type(licenses, AS_OF).explain("formatted")

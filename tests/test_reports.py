@@ -102,6 +102,17 @@ def test_full_report_agrees_with_the_single_reports(seats):
     assert rows == sorted(wanted, key=repr)
 
 
+def test_stored_report_splits_into_the_single_reports(seats):
+    parts = ops.split_report(ops.full_report(seats, AS_OF))
+    single = license_report(seats, AS_OF)
+    assert parts.keys() == single.keys()
+    for name, rows in parts.items():
+        assert rows.columns == single[name].columns
+        assert ordered(rows) == ordered(single[name])
+    nothing = ops.split_report(ops.full_report(seats.limit(0), AS_OF))
+    assert ordered(nothing["totals"]) == [(0, 0)]
+
+
 def test_null_keys_are_groups_of_their_own(spark, seats):
     odd = seats.limit(1).selectExpr(
         "license_id", "userid", "CAST(NULL AS STRING) AS license_type", "start_date",
