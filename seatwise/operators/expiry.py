@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seatwise.functions.clock import Day, Moment, moment
@@ -90,16 +90,25 @@ def _with_target_flag(
     )
 
 
+def _drifted(null_safe: bool) -> Column:
+    stored, target = F.col("islicenseactive"), F.col("should_be_active")
+    return ~stored.eqNullSafe(target) if null_safe else stored != target
+
+
 def flag_drift(
-    users: DataFrame, licenses: DataFrame, as_of: Day = None, inclusive: bool = True
+    users: DataFrame,
+    licenses: DataFrame,
+    as_of: Day = None,
+    inclusive: bool = True,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Users whose stored flag disagrees with their licenses.
 
-    A NULL flag compares as unknown, so such users are not listed.
+    A NULL flag compares as unknown, so such users are listed only if ``null_safe``.
     """
     return (
         _with_target_flag(users.select("userid", "islicenseactive"), licenses, as_of, inclusive)
-        .filter(F.col("islicenseactive") != F.col("should_be_active"))
+        .filter(_drifted(null_safe))
         .select("userid", "should_be_active")
     )
 
@@ -110,11 +119,11 @@ def refresh_flags(
     as_of: Day = None,
     now: Moment = None,
     inclusive: bool = True,
+    null_safe: bool = False,
 ) -> DataFrame:
     """The user table with drifted flags corrected; only changed rows are stamped."""
     target = _with_target_flag(users, licenses, as_of, inclusive)
-    drifted = F.col("islicenseactive") != F.col("should_be_active")
-    return _set_flags(target, users.columns, drifted, now)
+    return _set_flags(target, users.columns, _drifted(null_safe), now)
 
 
 def apply_flag_changes(users: DataFrame, changes: DataFrame, now: Moment = None) -> DataFrame:
@@ -150,7 +159,7 @@ def refresh_touched(
     return _set_flags(target, users.columns, F.col("_touched"), now)
 
 
-def _set_flags(target: DataFrame, columns: list[str], changed, now: Moment) -> DataFrame:
+def _set_flags(target: DataFrame, columns: list[str], changed: Column, now: Moment) -> DataFrame:
     return target.select(*(
         F.when(changed, F.col("should_be_active")).otherwise(F.col(name)).alias(name)
         if name == "islicenseactive"

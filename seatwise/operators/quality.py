@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seatwise.operators.matching import lacking_match
@@ -21,37 +21,39 @@ from seatwise.schemas import (
 
 @dataclass(frozen=True)
 class Rule:
-    """A row breaks the rule when ``broken`` is true; NULL passes, as in a CHECK."""
+    """A row breaks the rule when the SQL condition ``broken`` is true; NULL passes,
+    as in a CHECK."""
 
     name: str
-    broken: Column
+    broken: str
 
 
 def not_null_rules(table: str) -> list[Rule]:
     return [
-        Rule(f"{field.name} is null", F.col(field.name).isNull())
+        Rule(f"{field.name} is null", f"{field.name} IS NULL")
         for field in BY_NAME[table] if not field.nullable
     ]
 
 
 def length_rules(table: str) -> list[Rule]:
     return [
-        Rule(f"{name} longer than {limit}", F.length(F.col(name).cast("string")) > limit)
+        Rule(f"{name} longer than {limit}", f"length(CAST({name} AS STRING)) > {limit}")
         for name, limit in MAX_LENGTHS[table].items()
     ]
 
 
 def email_rule() -> Rule:
     """The pattern is anchored at the start only."""
-    return Rule("email malformed", ~F.col("email").rlike(EMAIL_PATTERN))
+    return Rule("email malformed", f"NOT email RLIKE '{EMAIL_PATTERN}'")
 
 
 def date_rule() -> Rule:
-    return Rule("expiry_date not after start_date", ~(F.col("expiry_date") > F.col("start_date")))
+    return Rule("expiry_date not after start_date", "NOT expiry_date > start_date")
 
 
 def domain_rule(column: str, values: Sequence[str]) -> Rule:
-    return Rule(f"{column} outside domain", ~F.col(column).isin(*values))
+    listed = ", ".join(f"'{value}'" for value in values)
+    return Rule(f"{column} outside domain", f"{column} NOT IN ({listed})")
 
 
 def rules_for(table: str) -> list[Rule]:
@@ -73,20 +75,20 @@ def rules_for(table: str) -> list[Rule]:
 
 def broken_rows(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Each offending row once per broken rule, in a single scan."""
-    names = F.array(*(F.when(rule.broken, rule.name) for rule in rules))
+    names = F.array(*(F.expr(f"IF({rule.broken}, '{rule.name}', NULL)") for rule in rules))
     return rows.select("*", F.explode(F.array_compact(names)).alias("rule"))
 
 
 def rule_counts(rows: DataFrame, rules: Sequence[Rule], table: str) -> DataFrame:
     """Offending rows per rule, zeros included, in a single scan."""
     counted = rows.agg(*(
-        F.count_if(rule.broken).alias(f"_{i}") for i, rule in enumerate(rules)
+        F.expr(f"count_if({rule.broken}) AS _{i}") for i, rule in enumerate(rules)
     ))
-    lines = F.array(*(
-        F.struct(F.lit(rule.name).alias("rule"), F.col(f"_{i}").alias("violations"))
-        for i, rule in enumerate(rules)
-    ))
-    return counted.select(F.lit(table).alias("table_name"), F.inline(lines))
+    lines = ", ".join(f"'{rule.name}', _{i}" for i, rule in enumerate(rules))
+    return counted.select(
+        F.lit(table).alias("table_name"),
+        F.expr(f"stack({len(rules)}, {lines}) AS (rule, violations)"),
+    )
 
 
 def repeated_keys(rows: DataFrame, key: str) -> DataFrame:

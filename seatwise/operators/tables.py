@@ -49,13 +49,14 @@ def insert_or_ignore(
     a third of ``incoming`` sends one row per task. A NULL key fails the job.
     """
     rank = F.row_number().over(Window.partitionBy(key).orderBy(*order_by))
+    # Comparing the rank, rather than changing the key, leaves the partitioning of the
+    # ranking to the join below and keeps the check off the target's keys.
+    first_place = F.when(
+        F.col(key).isNull(), F.raise_error(F.lit(f"insert with NULL {key}")).cast("int")
+    ).otherwise(F.lit(1))
     first = (
-        incoming.withColumn("_rank", rank).filter(F.col("_rank") == 1)
-        .withColumn(
-            key,
-            F.when(F.col(key).isNotNull(), F.col(key))
-            .otherwise(F.raise_error(F.lit(f"insert with NULL {key}"))),
-        )
+        incoming.withColumn("_rank", rank)
+        .filter((F.col("_rank") <= 1) & (F.col("_rank") >= first_place))
         .select(*target.columns)
     )
     return target.unionByName(lacking_match(first, target, [key], unique=True))

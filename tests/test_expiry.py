@@ -49,6 +49,13 @@ def test_drift_skips_unset_flags(people, seats):
         ("after", True), ("before", False), ("lower", False), ("none", False), ("on", True)]
 
 
+def test_unset_flags_drift_when_asked_for(people, seats):
+    listed = values(ops.flag_drift(people, seats, AS_OF, null_safe=True))
+    assert ("unset", True) in listed and len(listed) == 6
+    after = ops.refresh_flags(people, seats, AS_OF, NOW, null_safe=True)
+    assert after.filter("islicenseactive IS NULL").isEmpty()
+
+
 def test_the_expiry_day_counts_only_when_inclusive(people, seats):
     strict = ops.flag_drift(people, seats, AS_OF, inclusive=False)
     assert ("on", True) not in values(strict)

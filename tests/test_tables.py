@@ -18,11 +18,21 @@ def test_insert_or_ignore_keeps_existing_and_first_rows(spark):
     assert values(again) == values(result)
 
 
+def test_ranking_and_look_up_share_one_shuffle_of_the_incoming_rows(spark, tmp_path):
+    for name in ("target", "incoming"):
+        users(spark, ("a", True)).write.parquet(str(tmp_path / name))
+    target, new = (spark.read.parquet(str(tmp_path / n)) for n in ("target", "incoming"))
+    result = ops.insert_or_ignore(target, new.hint("merge"), "userid", ["created_at"])
+    plan = result._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2 and "WindowGroupLimit" in plan
+
+
 def test_insert_of_a_null_key_fails(spark):
     target = users(spark, ("a", True))
     new = target.withColumn("userid", F.lit(None).cast("string"))
     with pytest.raises(Exception, match="insert with NULL userid"):
         ops.insert_or_ignore(target, new, "userid", ["name"]).collect()
+    assert ops.insert_or_ignore(new, target, "userid", ["name"]).count() == 2
 
 
 def test_defaults_fill_nulls_and_absent_columns(spark):
