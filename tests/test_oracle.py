@@ -7,18 +7,18 @@ import __spark_entry__ as registry
 
 QUERIES = registry.queries()
 ORACLE = registry.oracle_sql()
-FOLDERS = ["/root/testdata/sf0.001", "/root/testdata/sf0.01"]
+FOLDER = "/root/testdata/sf0.01"
 
 
-@pytest.fixture(scope="module", params=FOLDERS, ids=lambda f: f.rsplit("/", 1)[1])
-def data(request):
-    return request.param, duck(request.param)
+@pytest.fixture(scope="module")
+def connection():
+    return duck(FOLDER)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_matches_sql(spark, data, name):
-    folder, connection = data
-    check(QUERIES[name](spark, folder), connection, ORACLE[name])
+def test_query_matches_sql(spark, connection, name):
+    found = check(QUERIES[name](spark, FOLDER), connection, ORACLE[name])
+    assert found > 0
 
 
 def test_every_query_has_sql():
