@@ -8,6 +8,7 @@ CTEs below.
 from __future__ import annotations
 
 import os
+import re
 import sys
 from collections.abc import Callable
 
@@ -308,8 +309,6 @@ _STEPS = {
 
 def _sql(body: str, **more: str) -> str:
     """``body`` after the CTEs it needs, directly or through one another."""
-    import re
-
     steps = {**_BASE, **_STEPS, **more}
     needed: set[str] = set()
 

@@ -6,9 +6,9 @@ import argparse
 import datetime as dt
 from collections.abc import Sequence
 
-from seatwise.operators import quality
 from seatwise.plans.jobs import license_report
 from seatwise.plans.pipeline import run_on_folder
+from seatwise.plans.validation import validate
 from seatwise.session import build_session
 from seatwise.sinks.parquet import write_tables
 from seatwise.sources.generated import generate_tables, user_ids
@@ -60,13 +60,10 @@ def main(argv: Sequence[str] | None = None) -> int:
     else:
         tables = read_parquet(spark, args.tables)
         preflight(tables)
-        results = {
-            name: quality.rule_counts(rows, quality.rules_for(name), name)
-            for name, rows in tables.items()
-        }
+        results = validate(tables)
     for name, rows in results.items():
         print(name)
-        rows.show(truncate=False)
+        rows.show(100, truncate=False)
     return 0
 
 

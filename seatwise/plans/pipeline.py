@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from seatwise.functions.clock import Day, Moment, pinned
 from seatwise.operators import expiry, reports, requests
 from seatwise.plans.jobs import plan_pipeline
+from seatwise.plans.validation import require_unique_keys
 from seatwise.session import table_store
 from seatwise.sinks.parquet import write_table
 from seatwise.sources.tables import Tables, preflight, read_parquet
@@ -19,15 +20,19 @@ def run_pipeline(
     as_of: Day = None,
     now: Moment = None,
     snapshots: bool = True,
+    check_keys: bool = True,
 ) -> dict[str, DataFrame]:
     """Run all jobs and write their results under the new folder ``out``.
 
     The decisions are written first and read back by every later step. Change sets
     (decisions, issued and expired licenses, corrected flags) are always written;
-    ``snapshots`` adds the three full tables. With fixed ``as_of`` and ``now`` a
+    ``snapshots`` adds the three full tables. ``check_keys`` costs one aggregation of
+    the user ids and one of the pending request ids. With fixed ``as_of`` and ``now`` a
     run that was interrupted can be repeated over the same folder.
     """
     preflight(tables)
+    if check_keys:
+        require_unique_keys(tables)
     as_of, now = pinned(spark, as_of, now)
     out = out.rstrip("/")
     store = table_store(spark, out)

@@ -1,3 +1,4 @@
+from dataclasses import replace
 from types import SimpleNamespace
 
 import pytest
@@ -7,6 +8,7 @@ from seed import AS_OF, NOW, seed_tables
 from seatwise.__main__ import main
 from seatwise.operators import expiry, reports
 from seatwise.plans.pipeline import run_on_folder, run_pipeline
+from seatwise.plans.validation import validate
 from seatwise.session import shared_folder, table_store
 from seatwise.sinks.parquet import write_table, write_tables
 from seatwise.sources.tables import Tables, preflight, read_parquet, register
@@ -64,6 +66,26 @@ def test_change_sets_alone(spark, folder, tmp_path):
     assert values(results["by_status"])[0] == ("ACTIVE", 19, 20)
 
 
+def test_repeated_keys_stop_the_run(spark, tmp_path):
+    tables = seed_tables(spark)
+    twice = replace(tables, users=tables.users.unionByName(tables.users.limit(1)))
+    with pytest.raises(ValueError, match="users.userid 'user006' occurs 2 times"):
+        run_pipeline(spark, twice, str(tmp_path / "run"), AS_OF, NOW)
+    twice = replace(tables, requests=tables.requests.unionByName(tables.requests.limit(1)))
+    with pytest.raises(ValueError, match="requests.id 1 occurs 2 times"):
+        run_pipeline(spark, twice, str(tmp_path / "run"), AS_OF, NOW)
+
+
+def test_validation_covers_rules_keys_and_references(spark):
+    tables = seed_tables(spark)
+    dropped = replace(tables, users=tables.users.filter("userid <> 'user022'"))
+    found = validate(dropped)
+    assert found["rules"].filter("violations > 0").isEmpty()
+    assert values(found["keys"]) == [("licenses", 0, 0), ("requests", 0, 0), ("users", 0, 0)]
+    assert found["repeated_emails"].isEmpty()
+    assert values(found["orphan_licenses"]) == [(2,)]
+
+
 def test_results_need_their_own_folder(spark, folder):
     with pytest.raises(ValueError):
         run_on_folder(spark, folder, folder + "/", AS_OF, NOW)

@@ -168,6 +168,15 @@ def test_report_counts_merge_the_hot_user_before_the_shuffle(spark, data, small_
     assert [tuple(r) for r in counts.collect()] == [("Type 1", len(owners), ROWS)]
 
 
+def test_flags_merge_the_hot_user_before_the_shuffle(spark, data, small_partitions):
+    _, user_rows, license_rows = data
+    drift = expiry.flag_drift(user_rows, license_rows, AS_OF)
+    assert max(shuffled_rows(drift)) < ROWS * 0.7
+    counts = expiry.active_license_counts(license_rows, AS_OF)
+    assert max(shuffled_rows(counts)) < ROWS * 0.7
+    assert counts.filter("userid = '0'").first()["active_licenses"] == ROWS // 3
+
+
 def test_duplicate_emails_merge_before_the_shuffle(spark, data, small_partitions):
     _, user_rows, _ = data
     repeated = quality.repeated_keys(user_rows, "email")
