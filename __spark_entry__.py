@@ -20,11 +20,10 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from seatwise.functions.clock import moment  # noqa: E402
 from seatwise.functions.licenses import is_due  # noqa: E402
 from seatwise.operators import expiry, quality, reports, requests, tables  # noqa: E402
-from seatwise.plans.jobs import plan_pipeline, process_requests  # noqa: E402
+from seatwise.plans.jobs import PipelineRun, plan_pipeline, process_requests  # noqa: E402
 from seatwise.session import table_store  # noqa: E402
 from seatwise.sources import generated  # noqa: E402
 from seatwise.sources.star import AS_OF, NOW, StarTables, read_source  # noqa: E402
-from seatwise.sources.tables import Tables  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 SEED = 7
@@ -48,14 +47,14 @@ def _issued(t: StarTables) -> DataFrame:
     return process_requests(t, AS_OF, NOW).new_licenses
 
 
-def _after_pipeline(t: StarTables) -> Tables:
-    return plan_pipeline(t, AS_OF, NOW).tables
+def _pipeline(t: StarTables, *store: Callable) -> PipelineRun:
+    return plan_pipeline(t, AS_OF, NOW, *store)
 
 
 def _pipeline_report(t: StarTables) -> DataFrame:
     """The report reads the licenses twice, so the decisions are written once first."""
-    after = plan_pipeline(t, AS_OF, NOW, table_store(t.spark)).tables
-    return reports.full_report(after.licenses, AS_OF)
+    after = _pipeline(t, table_store(t.spark)).licenses_after
+    return reports.full_report(after, AS_OF)
 
 
 def _signups(t: StarTables) -> DataFrame:
@@ -209,9 +208,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_report": lambda t: _rule_counts(t, quality.rules_for, *every),
         # all jobs in a row
         "pipeline_report": _pipeline_report,
-        "pipeline_licenses": lambda t: _after_pipeline(t).licenses,
-        "pipeline_requests": lambda t: _after_pipeline(t).requests,
-        "pipeline_users": lambda t: _after_pipeline(t).users,
+        "pipeline_licenses": lambda t: _pipeline(t).licenses_after,
+        "pipeline_requests": lambda t: _pipeline(t).requests_after,
+        "pipeline_users": lambda t: _pipeline(t).users_after,
     }
 
     on_ids: dict[str, Callable[[DataFrame], DataFrame]] = {

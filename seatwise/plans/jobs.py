@@ -1,9 +1,13 @@
-"""The three jobs as lazy plans, and the three in a row."""
+"""The three jobs as lazy plans, and the three in a row.
+
+A run sets up each of its results when first asked for.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,11 +27,39 @@ def _as_is(rows: DataFrame, name: str) -> DataFrame:
 class RequestRun:
     """Result of the request job."""
 
-    decisions: DataFrame
-    quarantined: DataFrame
-    new_licenses: DataFrame
-    requests_after: DataFrame
-    licenses_after: DataFrame
+    tables: Tables
+    as_of: Day
+    now: Moment
+    store: Store
+
+    @cached_property
+    def _all_decisions(self) -> DataFrame:
+        t = self.tables
+        return self.store(
+            requests.decide(t.requests, t.users, t.licenses, self.as_of), "decisions"
+        )
+
+    @cached_property
+    def decisions(self) -> DataFrame:
+        return requests.without_quarantined(self._all_decisions)
+
+    @cached_property
+    def quarantined(self) -> DataFrame:
+        return requests.quarantined(self._all_decisions)
+
+    @cached_property
+    def new_licenses(self) -> DataFrame:
+        approved = self.decisions.filter(F.col("decision") == requests.APPROVED)
+        return requests.new_licenses(approved, self.as_of, self.now)
+
+    @cached_property
+    def requests_after(self) -> DataFrame:
+        after = requests.apply_decisions(self.tables.requests, self.decisions, self.now)
+        return requests.keep_pending(after, self.quarantined)
+
+    @cached_property
+    def licenses_after(self) -> DataFrame:
+        return requests.add_licenses(self.tables.licenses, self.new_licenses)
 
     def distribution(self) -> DataFrame:
         """ACTIVE licenses per type once the new ones are in."""
@@ -43,30 +75,33 @@ def process_requests(
     the status update sees. Approved requests without a usable type or product get
     no license and stay PENDING.
     """
-    decided = requests.decide(tables.requests, tables.users, tables.licenses, as_of)
-    all_decisions = store(decided, "decisions")
-    held_back = requests.quarantined(all_decisions)
-    decisions = requests.without_quarantined(all_decisions)
-    approved = decisions.filter(F.col("decision") == requests.APPROVED)
-    issued = requests.new_licenses(approved, as_of, now)
-    after = requests.apply_decisions(tables.requests, decisions, now)
-    return RequestRun(
-        decisions=decisions,
-        quarantined=held_back,
-        new_licenses=issued,
-        requests_after=requests.keep_pending(after, held_back),
-        licenses_after=requests.add_licenses(tables.licenses, issued),
-    )
+    return RequestRun(tables, as_of, now, store)
 
 
 @dataclass(frozen=True)
 class ExpiryRun:
     """Result of the expiry job."""
 
-    license_changes: DataFrame
-    flag_changes: DataFrame
-    licenses_after: DataFrame
-    users_after: DataFrame
+    users: DataFrame
+    licenses: DataFrame
+    as_of: Day
+    now: Moment
+
+    @cached_property
+    def license_changes(self) -> DataFrame:
+        return expiry.expired_changes(self.licenses, self.as_of, self.now)
+
+    @cached_property
+    def flag_changes(self) -> DataFrame:
+        return expiry.flag_drift(self.users, self.licenses, self.as_of)
+
+    @cached_property
+    def licenses_after(self) -> DataFrame:
+        return expiry.expire_licenses(self.licenses, self.as_of, self.now)
+
+    @cached_property
+    def users_after(self) -> DataFrame:
+        return expiry.refresh_flags(self.users, self.licenses, self.as_of, self.now)
 
     def counts(self) -> dict[str, int]:
         return {
@@ -84,12 +119,7 @@ def expire_and_refresh(
     not active whether or not its status has been updated yet, and this way the
     filter on status and date reaches the scan.
     """
-    return ExpiryRun(
-        license_changes=expiry.expired_changes(licenses, as_of, now),
-        flag_changes=expiry.flag_drift(users, licenses, as_of),
-        licenses_after=expiry.expire_licenses(licenses, as_of, now),
-        users_after=expiry.refresh_flags(users, licenses, as_of, now),
-    )
+    return ExpiryRun(users, licenses, as_of, now)
 
 
 def license_report(
@@ -114,23 +144,33 @@ class PipelineRun:
     """Result of all jobs in a row."""
 
     requests_run: RequestRun
-    expiry_run: ExpiryRun
+
+    @cached_property
+    def expiry_run(self) -> ExpiryRun:
+        first = self.requests_run
+        return expire_and_refresh(
+            first.tables.users, first.licenses_after, first.as_of, first.now
+        )
+
+    @property
+    def users_after(self) -> DataFrame:
+        return self.expiry_run.users_after
+
+    @property
+    def licenses_after(self) -> DataFrame:
+        return self.expiry_run.licenses_after
+
+    @property
+    def requests_after(self) -> DataFrame:
+        return self.requests_run.requests_after
 
     @property
     def tables(self) -> Tables:
-        return Tables(
-            users=self.expiry_run.users_after,
-            licenses=self.expiry_run.licenses_after,
-            requests=self.requests_run.requests_after,
-        )
+        return Tables(self.users_after, self.licenses_after, self.requests_after)
 
 
 def plan_pipeline(
     tables: Tables, as_of: Day = None, now: Moment = None, store: Store = _as_is
 ) -> PipelineRun:
     """Requests first, then expiry on what the first job leaves behind."""
-    first = process_requests(tables, as_of, now, store)
-    return PipelineRun(
-        requests_run=first,
-        expiry_run=expire_and_refresh(tables.users, first.licenses_after, as_of, now),
-    )
+    return PipelineRun(process_requests(tables, as_of, now, store))

@@ -41,11 +41,11 @@ def run_pipeline(
     write_table(run.requests_run.quarantined, f"{out}/quarantined")
     write_table(run.expiry_run.license_changes, f"{out}/license_changes")
     flag_changes = store(run.expiry_run.flag_changes, "flag_changes")
-    licenses_after = run.tables.licenses
+    licenses_after = run.licenses_after
     if snapshots:
         users_after = expiry.apply_flag_changes(tables.users, flag_changes, now)
         store(users_after, "after/users")
-        store(run.tables.requests, "after/requests")
+        store(run.requests_after, "after/requests")
         licenses_after = store(licenses_after, "after/licenses")
     report = store(reports.full_report(licenses_after, as_of), "report")
     results = reports.split_report(report)
