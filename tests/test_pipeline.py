@@ -7,6 +7,7 @@ from seed import AS_OF, NOW, seed_tables
 
 from seatwise.__main__ import main
 from seatwise.operators import expiry, reports
+from seatwise.plans import pipeline
 from seatwise.plans.pipeline import run_on_folder, run_pipeline
 from seatwise.plans.validation import validate
 from seatwise.session import shared_folder, table_store
@@ -48,6 +49,24 @@ def test_repeated_run_gives_the_same_tables(spark, folder, tmp_path):
     assert values(spark.read.parquet(f"{out}/after/licenses")) == first
 
 
+def test_interrupted_run_can_be_repeated(spark, folder, tmp_path, monkeypatch):
+    whole, broken = str(tmp_path / "whole"), str(tmp_path / "broken")
+    run_on_folder(spark, folder, whole, AS_OF, NOW)
+
+    def fail(rows, path, partition_by=()):
+        raise OSError("disk gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(pipeline, "write_table", fail)
+        with pytest.raises(OSError):
+            run_on_folder(spark, folder, broken, AS_OF, NOW)
+    assert spark.read.parquet(f"{broken}/decisions").count() == 5
+    run_on_folder(spark, folder, broken, AS_OF, NOW)
+    for name in ("users", "licenses", "requests"):
+        assert values(spark.read.parquet(f"{broken}/after/{name}")) == values(
+            spark.read.parquet(f"{whole}/after/{name}"))
+
+
 def test_run_on_its_own_output_changes_nothing(spark, folder, tmp_path):
     one, two = str(tmp_path / "one"), str(tmp_path / "two")
     run_on_folder(spark, folder, one, AS_OF, NOW)
