@@ -16,7 +16,7 @@ from seatwise.session import table_store
 from seatwise.sinks import jdbc as sink
 from seatwise.sources import jdbc as source
 from seatwise.sources.jdbc import Database, Split
-from seatwise.sources.tables import Tables
+from seatwise.sources.tables import Tables, preflight
 
 ISSUED_COLUMNS = (
     "license_id", "userid", "license_type", "start_date", "expiry_date",
@@ -137,7 +137,7 @@ def expiry_job(
 def run_database_pipeline(
     spark: SparkSession, places: Places, as_of: Day = None, now: Moment = None
 ) -> tuple[dict[str, int], dict[str, DataFrame]]:
-    """Probe the databases, run both jobs, and report on the licenses they leave.
+    """Probe databases and tables, run both jobs, and report on the licenses they leave.
 
     The licenses are copied to files once and all counts are taken from the copy.
     """
@@ -145,6 +145,7 @@ def run_database_pipeline(
         places.users, places.licenses, places.requests
     )}.values():
         source.is_reachable(spark, database)
+    preflight(places.read(spark))
     as_of, now = pinned(spark, as_of, now)
     affected = {
         **request_job(spark, places, as_of, now),
