@@ -29,6 +29,8 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     run.add_argument("tables")
     run.add_argument("out")
     run.add_argument("--now", help="timestamp for changed rows")
+    run.add_argument("--by-status", action="store_true", help="one license folder per status")
+    run.add_argument("--changes-only", action="store_true", help="write no full tables")
 
     report = commands.add_parser("report", help="count users and licenses")
     report.add_argument("tables")
@@ -51,7 +53,10 @@ def main(argv: Sequence[str] | None = None) -> int:
         write_tables(generate_tables(user_ids(spark, args.users), as_of, args.seed), args.out)
         return 0
     if args.command == "run":
-        results = run_on_folder(spark, args.tables, args.out, args.as_of, args.now)
+        results = run_on_folder(
+            spark, args.tables, args.out, args.as_of, args.now,
+            snapshots=not args.changes_only, by_status=args.by_status,
+        )
     elif args.command == "report":
         licenses = read_parquet(spark, args.tables).licenses
         results = license_report(

@@ -21,13 +21,16 @@ def run_pipeline(
     now: Moment = None,
     snapshots: bool = True,
     check_keys: bool = True,
+    by_status: bool = False,
 ) -> dict[str, DataFrame]:
     """Run all jobs and write their results under the new folder ``out``.
 
     The decisions are written first and read back by every later step. Change sets
     (decisions, issued and expired licenses, corrected flags) are always written;
     ``snapshots`` adds the three full tables. ``check_keys`` costs one aggregation of
-    the user ids and one of the pending request ids. With fixed ``as_of`` and ``now`` a
+    the user ids and one of the pending request ids. ``by_status`` writes the license
+    table in one folder per status, so that the next run, which needs ACTIVE rows for
+    all but the status counts, skips the others. With fixed ``as_of`` and ``now`` a
     run that was interrupted can be repeated over the same folder.
     """
     preflight(tables)
@@ -46,7 +49,9 @@ def run_pipeline(
         users_after = expiry.apply_flag_changes(tables.users, flag_changes, now)
         store(users_after, "after/users")
         store(run.requests_after, "after/requests")
-        licenses_after = store(licenses_after, "after/licenses")
+        licenses_after = store(
+            licenses_after, "after/licenses", ["status"] if by_status else ()
+        )
     report = store(reports.full_report(licenses_after, as_of), "report")
     results = reports.split_report(report)
     results["decision_counts"] = requests.decision_counts(run.requests_run.decisions)
@@ -54,9 +59,9 @@ def run_pipeline(
 
 
 def run_on_folder(
-    spark: SparkSession, folder: str, out: str, as_of: Day = None, now: Moment = None
+    spark: SparkSession, folder: str, out: str, as_of: Day = None, now: Moment = None, **options: bool
 ) -> dict[str, DataFrame]:
-    """``run_pipeline`` on Parquet tables under ``folder``."""
+    """``run_pipeline`` with its options on Parquet tables under ``folder``."""
     if out.rstrip("/") == folder.rstrip("/"):
         raise ValueError("the results need a folder of their own")
-    return run_pipeline(spark, read_parquet(spark, folder), out, as_of, now)
+    return run_pipeline(spark, read_parquet(spark, folder), out, as_of, now, **options)

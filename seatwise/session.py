@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from seatwise.sinks.parquet import write_table
+
 # Shuffle partition counts are only an upper bound: adaptive execution merges
 # small ones up to the advisory size and splits skewed ones. A join whose build
 # partitions all turn out below the map threshold hashes instead of sorting.
@@ -56,7 +58,7 @@ def shared_folder(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
-def table_store(spark: SparkSession, folder: str | None = None) -> Callable[[DataFrame, str], DataFrame]:
+def table_store(spark: SparkSession, folder: str | None = None) -> Callable[..., DataFrame]:
     """A function that writes a DataFrame once and hands back the written table.
 
     Later steps read the files, so nothing upstream is computed again and a lost
@@ -64,9 +66,9 @@ def table_store(spark: SparkSession, folder: str | None = None) -> Callable[[Dat
     """
     base = folder or f"{shared_folder(spark)}/seatwise-{uuid.uuid4().hex}"
 
-    def store(rows: DataFrame, name: str) -> DataFrame:
+    def store(rows: DataFrame, name: str, partition_by: Sequence[str] = ()) -> DataFrame:
         path = f"{base}/{name}"
-        rows.write.mode("overwrite").parquet(path)
+        write_table(rows, path, partition_by)
         return spark.read.schema(rows.schema).parquet(path)
 
     return store

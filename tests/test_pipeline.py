@@ -2,16 +2,17 @@ from dataclasses import replace
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 from rows import values
 from seed import AS_OF, NOW, seed_tables
 
 from seatwise.__main__ import main
-from seatwise.operators import expiry, reports
+from seatwise.operators import expiry, reports, requests
 from seatwise.plans import pipeline
 from seatwise.plans.pipeline import run_on_folder, run_pipeline
 from seatwise.plans.validation import validate
 from seatwise.session import shared_folder, table_store
-from seatwise.sinks.parquet import write_table, write_tables
+from seatwise.sinks.parquet import write_tables
 from seatwise.sources.tables import Tables, preflight, read_parquet, register
 
 
@@ -162,12 +163,19 @@ def test_filters_and_columns_reach_the_scan(spark, folder, capsys):
     assert "Exchange" not in capsys.readouterr().out
 
 
-def test_partitioned_licenses_are_pruned(spark, folder, tmp_path):
-    path = str(tmp_path / "by_status")
-    write_table(read_parquet(spark, folder).licenses, path, ["status"])
-    counts = reports.distribution(spark.read.parquet(path))
-    assert "PartitionFilters: [isnotnull(status" in counts._jdf.queryExecution().toString()
-    assert values(counts) == [("Type 1", 8, 8), ("Type 2", 11, 11), ("Type 3", 9, 9)]
+def test_licenses_by_status_are_pruned(spark, folder, tmp_path):
+    plain, one, two = (str(tmp_path / name) for name in ("plain", "one", "two"))
+    run_on_folder(spark, folder, plain, AS_OF, NOW)
+    run_on_folder(spark, folder, one, AS_OF, NOW, by_status=True)
+    run_on_folder(spark, f"{one}/after", two, AS_OF, NOW, by_status=True)
+    wanted = spark.read.parquet(f"{plain}/after/licenses")
+    for out in (one, two):
+        found = read_parquet(spark, f"{out}/after").licenses
+        assert values(found, *wanted.columns) == values(wanted)
+    active = requests.active_seats(read_parquet(spark, f"{one}/after").licenses, AS_OF)
+    assert "PartitionFilters: [isnotnull(status" in active._jdf.queryExecution().toString()
+    assert all("status=ACTIVE" in path for path in (
+        active.select(F.input_file_name()).distinct().toPandas().iloc[:, 0]))
 
 
 def test_command_line(spark, folder, tmp_path, capsys):
@@ -175,5 +183,5 @@ def test_command_line(spark, folder, tmp_path, capsys):
     assert main(["validate", str(tmp_path / "gen")]) == 0
     assert main(["report", folder, "--as-of", "2025-09-10", "--brief"]) == 0
     assert "|14                |15            |" in capsys.readouterr().out
-    assert main(["run", folder, str(tmp_path / "out"), "--as-of", "2025-09-10"]) == 0
+    assert main(["run", folder, str(tmp_path / "out"), "--as-of", "2025-09-10", "--by-status"]) == 0
     assert "by_type_and_product" in capsys.readouterr().out
