@@ -25,6 +25,14 @@ from seatwise.session import table_store  # noqa: E402
 from seatwise.sources import generated  # noqa: E402
 from seatwise.sources.star import AS_OF, NOW, StarTables, read_source  # noqa: E402
 
+try:
+    from seatwise.llm import oracle as llm_oracle
+    from seatwise.llm import queries as llm_queries
+except ModuleNotFoundError as error:
+    if error.name not in ("seatwise.llm", "corpus_pipeline"):
+        raise
+    llm_oracle = llm_queries = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 SEED = 7
 
@@ -125,6 +133,11 @@ def _user_numbers(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = library_queries()
+    return found | llm_queries.queries() if llm_queries else found
+
+
+def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = ("users", "licenses", "requests")
 
     on_tables: dict[str, Callable[[StarTables], DataFrame]] = {
@@ -493,6 +506,11 @@ def _generator_sql() -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
+    found = library_sql()
+    return found | llm_oracle.oracle_sql() if llm_oracle else found
+
+
+def library_sql() -> dict[str, str]:
     exists = _flags("licenses", ">")
     bodies = {
         "pending_requests": f"SELECT {_REQUEST} FROM pending",

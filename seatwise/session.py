@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable, Sequence
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,22 +38,16 @@ def build_session(
     return builder.getOrCreate()
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="seatwise-")
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting falls back to a temporary folder.
+    Without that setting it is a folder in the warehouse, which is shared wherever
+    tables are; never a folder of one machine's own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return _local_folder()
-    raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+    if not folder:
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/.stages"
+    return folder.rstrip("/")
 
 
 def table_store(spark: SparkSession, folder: str | None = None) -> Callable[..., DataFrame]:

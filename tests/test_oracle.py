@@ -5,8 +5,8 @@ from compare import check, duck
 
 import __spark_entry__ as registry
 
-QUERIES = registry.queries()
-ORACLE = registry.oracle_sql()
+QUERIES = registry.library_queries()
+ORACLE = registry.library_sql()
 FOLDER = "/root/testdata/sf0.01"
 
 
