@@ -1,0 +1,45 @@
+"""Tables with nulls, empty and long texts, ties, repeated rows and clashing columns."""
+
+import random
+
+SYLLABLES = ["an", "the", "ou", "ré", "ing", "ß", "tion", "el", "qu", "ñ", "st", "er", "日本", "o"]
+
+
+def prose(rng, words):
+    text = []
+    for _ in range(words):
+        text.append("".join(rng.choice(SYLLABLES) for _ in range(rng.randint(1, 4))))
+        if rng.random() < 0.1:
+            text[-1] += rng.choice([".", ",\n", "!", " 's", "12"])
+    return " ".join(text)
+
+
+def documents(seed=0):
+    """(doc_id, text) rows; ids repeat only with equal texts."""
+    rng = random.Random(seed)
+    shared = prose(rng, 40)
+    base = [prose(rng, rng.randint(60, 200)) for _ in range(12)]
+    rows = [(i, text) for i, text in enumerate(base)]
+    for i in range(20, 40):  # near copies: a few words changed
+        words = base[i % 5].split(" ")
+        for _ in range(rng.randint(0, 2)):
+            words[rng.randrange(len(words))] = prose(rng, 1)
+        rows.append((i, " ".join(words)))
+    rows += [(40 + i, prose(rng, 30) + " " + shared + "\n" + prose(rng, 20)) for i in range(8)]
+    rows += [(60, None), (61, ""), (62, " \n\t "), (63, "one"), (64, "one"), (65, "one two three"),
+             (66, prose(rng, 3000)), (67, "ab" * 4000), (68, "ab " * 2000),
+             (69, "line\n" * 60), (70, base[0]), (71, base[0]), (72, "x" * 49), (73, "x" * 50),
+             (74, "x" * 51), (75, "12345 !!! --- 67"), (76, "été " * 30), (77, "\x1c\x85  a")]
+    rows += [(2, base[2]), (61, "")]
+    rng.shuffle(rows)
+    return rows
+
+
+def frame(spark, rows, schema="doc_id bigint, text string", **constants):
+    """A DataFrame with columns whose names operators use inside."""
+    from pyspark.sql import functions as F
+
+    extra = {"lang": "en", "source": "s", "id": 1, "h": 2, "text_key": 3, "bucket": 4, "n": 5,
+             "_row": 6, "word": "w", "label": 7, "_words": "v", "rep": 8} | constants
+    return spark.createDataFrame(rows, schema).select(
+        "*", *(F.lit(v).alias(k) for k, v in extra.items())).repartition(5)
