@@ -9,7 +9,9 @@ out by rank and each round sorts them:
 
 1. anchors by their 16 bytes; those found in one document alone are unique and leave;
 2. the others by all the bytes of the strings that share the anchor (up to 84): if a
-   smaller document has the same, all these strings are repeats, and leave;
+   smaller document has the same, all these strings are repeats, and leave; else by the
+   33 bytes that end or begin with the anchor, one of which is in every string of the
+   anchor: a side that no other document has (by a fingerprint) leaves;
 3. what is left, where two copies part, by the strings of ``least`` bytes themselves.
 
 Ranks are 64-bit hashes of the bytes. Before pairs are moved a task drops those that
@@ -29,6 +31,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,11 +55,12 @@ def runs(data: np.ndarray, offsets: np.ndarray, least: int) -> dict[str, np.ndar
     """Runs of neighbouring strings of ``least`` bytes with one anchor.
 
     By run: document, hash of the anchor, hash of all the run's bytes, start in the
-    document and number of strings.
+    document, number of strings, place of the anchor in the run, and fingerprints of the
+    half strings that end and begin with the anchor (0 where the document has none).
     """
-    none = {"doc": np.zeros(0, np.int64), "anchor": np.zeros(0, np.uint64),
-            "whole": np.zeros(0, np.uint64), "start": np.zeros(0, np.int64),
-            "count": np.zeros(0, np.int64)}
+    none = {name: np.zeros(0, kind) for name, kind in (
+        ("doc", np.int64), ("anchor", np.uint64), ("whole", np.uint64), ("start", np.int64),
+        ("count", np.int64), ("place", np.int64), ("left", np.uint8), ("right", np.uint8))}
     if len(data) < least:
         return none
     sums = Substrings(data)
@@ -85,8 +89,14 @@ def runs(data: np.ndarray, offsets: np.ndarray, least: int) -> dict[str, np.ndar
     place = at[start]
     whole = mix(sums.hash(start, start + count + least - 1) + (place - start).astype(np.uint64))
     doc = np.searchsorted(offsets, start, "right") - 1
+    half = (least - ANCHOR) // 2
+    sides = {}
+    for name, a, b in (("left", place - half, place + ANCHOR), ("right", place, place + ANCHOR + half)):
+        there = (a >= offsets[doc]) & (b <= offsets[doc + 1])
+        sides[name] = np.zeros(len(doc), np.uint8)
+        sides[name][there] = 1 + sums.hash(a[there], b[there]) % np.uint64(255)
     return {"doc": doc, "anchor": anchor[place], "whole": whole, "start": start - offsets[doc],
-            "count": count}
+            "count": count, "place": place - start, **sides}
 
 
 def _pack(bucket: np.ndarray, doc: np.ndarray, docs: np.ndarray, columns: list[np.ndarray],
@@ -157,6 +167,24 @@ def _repeats(rank: list[np.ndarray], ids: np.ndarray) -> tuple[np.ndarray, np.nd
     return order, group, ids[order][np.flatnonzero(new)] if len(order) else ids
 
 
+def _different(*columns: np.ndarray) -> np.ndarray:
+    """For each row: how many values the last column has (up to 2) where the others are
+    those of the row."""
+    *keys, value = columns
+    order = np.lexsort((value, *reversed(keys)))
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for key in keys:
+        key = key[order]
+        new[1:] |= key[1:] != key[:-1]
+    at = np.flatnonzero(new)
+    ends = np.append(at[1:], len(order)) - 1
+    several = value[order[at]] != value[order[ends]] if len(order) else np.zeros(0, bool)
+    out = np.empty(len(order), np.int64)
+    out[order] = 1 + several[np.cumsum(new) - 1]
+    return out
+
+
 def _docs_of(part: pa.RecordBatch) -> np.ndarray:
     docs = np.zeros(part.num_rows, _DOC)
     docs["id"] = part.column("doc_id").to_numpy(zero_copy_only=False)
@@ -203,9 +231,32 @@ def keyed(documents: DataFrame, doc_id: str, text: str, *others: Column) -> Data
         F.coalesce(F.col(text), F.lit("")).alias("text"), *others)
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``text`` compressed, for a shuffle that moves all texts."""
+
+    def run(batches):
+        pack = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            small = pa.array([pack.compress(x) for x in
+                              batch.column(at).cast(pa.binary()).to_pylist()], pa.binary())
+            yield batch.set_column(at, "text", small)
+
+    schema = rows.withColumn("text", F.col("text").cast("binary")).schema
+    return rows.mapInArrow(run, schema)
+
+
+def _unpacked(batch: pa.RecordBatch) -> pa.RecordBatch:
+    unpack = zstandard.ZstdDecompressor()
+    at = batch.schema.get_field_index("text")
+    plain = pa.array([unpack.decompress(x) for x in batch.column(at).to_pylist()], pa.binary())
+    return batch.set_column(at, "text", plain)
+
+
 def _first_rounds(rows: DataFrame, buckets: int, least: int) -> DataFrame:
     """Rounds 1 and 2: repeats for certain, and runs that need round 3."""
-    kinds = ["<u4", "<u8", "<u4", "u1"]
+    kinds = ["<u4", "<u8", "<u4", "u1", "u1", "u1", "u1"]
+    half = (least - ANCHOR) // 2
 
     def anchors(batches):
         for batch in batches:
@@ -225,7 +276,9 @@ def _first_rounds(rows: DataFrame, buckets: int, least: int) -> DataFrame:
                 yield from _pack(
                     (anchor % np.uint64(buckets)).astype(np.int64), doc[left], docs,
                     [(anchor >> np.uint64(32)).astype("<u4"), found["whole"][left].astype("<u8"),
-                     start[left].astype("<u4"), count[left].astype("u1")], False)
+                     start[left].astype("<u4"),
+                     *(found[x][left].astype("u1") for x in ("count", "place", "left", "right"))],
+                    False)
 
     def sort(batches):
         held: list[pa.RecordBatch] = []
@@ -241,33 +294,38 @@ def _first_rounds(rows: DataFrame, buckets: int, least: int) -> DataFrame:
         docs, columns = _unpack([x for b in held for x in b.column("docs").to_pylist()],
                                 [x for b in held for x in b.column("data").to_pylist()], kinds)
         held.clear()
-        anchor, whole, start, count = columns
+        anchor, whole, start, count, place, left, right = columns
         ids = docs["id"]
         # Round 1: an anchor of one document alone leaves.
         order, group, smallest = _repeats([anchor], ids)
         largest = np.full(len(smallest), _NULL_ID, np.int64)
         np.maximum.at(largest, group, ids[order])
         keep = np.sort(order[(largest > smallest)[group]])
-        docs, anchor, whole, start, count = (x[keep] for x in (docs, anchor, whole, start, count))
+        docs, anchor, whole, start, count, place, left, right = (
+            x[keep] for x in (docs, anchor, whole, start, count, place, left, right))
         ids = docs["id"]
         # Round 2: the whole run in a smaller document.
         order, group, smallest = _repeats([anchor, whole], ids)
         later = np.zeros(len(ids), bool)
         later[order] = ids[order] > smallest[group]
-        # Runs whose anchor has no other whole run are first ones and need nothing more.
-        by_anchor, anchors_group, _ = _repeats([anchor], ids)
-        least_whole = np.full(len(ids), np.iinfo(np.uint64).max, np.uint64)
-        most_whole = np.zeros(len(ids), np.uint64)
-        np.minimum.at(least_whole, anchors_group, whole[by_anchor])
-        np.maximum.at(most_whole, anchors_group, whole[by_anchor])
-        several = np.zeros(len(ids), bool)
-        several[by_anchor] = (least_whole != most_whole)[anchors_group]
-        edge = several & ~later
+        # First runs whose anchor has no other whole run need nothing more. Of the rest,
+        # a string has ``half`` bytes on one side of its anchor at least.
+        first = ~later & (_different(anchor, whole) > 1)
+        near = _different(anchor[first], left[first], whole[first]) > 1
+        far = _different(anchor[first], right[first], whole[first]) > 1
+        near &= left[first] > 0
+        far &= right[first] > 0
+        begin, place = start.astype(np.int64), place.astype(np.int64)
+        count = count.astype(np.int64)
+        lows = begin[first] + np.where(near, 0, np.maximum(place[first] - half + 1, 0))
+        highs = begin[first] + np.where(
+            far, count[first], np.clip(place[first] - half + 1, 0, count[first]))
+        some = (near | far) & (highs > lows)
+        edge = np.flatnonzero(first)[some]
         names, number = _number(docs)
-        begin = start.astype(np.int64)
         yield from _rows(
             names, (number[later], begin[later], begin[later] + count[later] + least - 1),
-            (number[edge], begin[edge], count[edge].astype(np.int64)))
+            (number[edge], lows[some], (highs - lows)[some]))
 
     return (
         rows.select("doc_id", "text_key", "text").mapInArrow(anchors, _BLOCK)
@@ -281,7 +339,7 @@ def _last_round(rows: DataFrame, open_runs: DataFrame, buckets: int, least: int)
 
     def strings(batches):
         for batch in batches:
-            for part, data, offsets in parts(batch, "text"):
+            for part, data, offsets in parts(_unpacked(batch), "text"):
                 docs, sums = _docs_of(part), Substrings(data)
                 pairs = [np.frombuffer(b"".join(x), "<u4").reshape(-1, 2).astype(np.int64)
                          for x in part.column("open").to_pylist()]
@@ -322,7 +380,7 @@ def _last_round(rows: DataFrame, open_runs: DataFrame, buckets: int, least: int)
 
     listed = open_runs.groupBy("doc_id", "text_key").agg(F.collect_list("open").alias("open"))
     return (
-        rows.select("doc_id", "text_key", "text").join(listed, ["doc_id", "text_key"])
+        _packed(rows.select("doc_id", "text_key", "text")).join(listed, ["doc_id", "text_key"])
         .mapInArrow(strings, _BLOCK).repartition(buckets, "bucket").mapInArrow(sort, _FOUND)
     )
 
@@ -347,10 +405,10 @@ def repeated_spans(documents: DataFrame, keep: Keep, doc_id: str = "doc_id", tex
 
 def with_spans(documents: DataFrame, spans: DataFrame, doc_id: str, text: str, *others: Column,
                ) -> DataFrame:
-    """doc_id, the other columns asked for, text, and ``_spans``: the row's packed spans."""
+    """doc_id, the other columns asked for, text (compressed), and ``_spans``."""
     listed = spans.groupBy("doc_id", "text_key").agg(F.collect_list("spans").alias("_spans"))
-    return keyed(documents, doc_id, text, *others).join(listed, ["doc_id", "text_key"], "left").drop(
-        "text_key")
+    rows = _packed(keyed(documents, doc_id, text, *others))
+    return rows.join(listed, ["doc_id", "text_key"], "left").drop("text_key")
 
 
 def _cut(data: bytes, packed: list[bytes] | None, whole_characters: bool,
@@ -380,10 +438,12 @@ def digests(documents: DataFrame, spans: DataFrame, doc_id: str = "doc_id", text
                         ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 
     def run(batches):
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             rows = []
             for doc_id, data, packed in zip(
-                    batch.column("doc_id").to_pylist(), batch.column("data").to_pylist(),
+                    batch.column("doc_id").to_pylist(),
+                    map(unpack.decompress, batch.column("text").to_pylist()),
                     batch.column("_spans").to_pylist(), strict=True):
                 left, gone, spans = _cut(data, packed, False)
                 rows.append((None if doc_id == _NULL_ID else doc_id, len(data), gone, spans,
@@ -392,8 +452,7 @@ def digests(documents: DataFrame, spans: DataFrame, doc_id: str = "doc_id", text
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    rows = with_spans(documents, spans, doc_id, text).select(
-        "doc_id", F.col("text").cast("binary").alias("data"), "_spans")
+    rows = with_spans(documents, spans, doc_id, text).select("doc_id", "text", "_spans")
     return rows.mapInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, "
                                 "kept_sha256 string")
 
@@ -404,22 +463,23 @@ def removed(documents: DataFrame, spans: DataFrame, doc_id: str = "doc_id", text
 
     A character that a span cuts through stays whole. A null text stays null.
     """
-    row = F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(documents.columns)))
-    joined = with_spans(documents, spans, doc_id, text, row.alias("_row"))
     at = documents.columns.index(text)
+    others = F.struct(*(
+        F.isnull(F.col(c)).alias(f"c{i}") if i == at else F.col(c).alias(f"c{i}")
+        for i, c in enumerate(documents.columns)))
+    joined = with_spans(documents, spans, doc_id, text, others.alias("_row"))
+    flat = joined.select(*(F.col(f"_row.c{i}") for i in range(len(documents.columns))),
+                         "text", "_spans")
 
     def run(batches):
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            left = [None if t is None else _cut(t, s, True)[0].decode()
-                    for t, s in zip(batch.column("_data").to_pylist(),
-                                    batch.column("_spans").to_pylist(), strict=True)]
+            left = [None if gone else _cut(unpack.decompress(t), s, True)[0].decode()
+                    for gone, t, s in zip(*(batch.column(c).to_pylist() for c in
+                                            (at, "text", "_spans")), strict=True)]
             columns = list(batch.columns[:-2])
             columns[at] = pa.array(left, pa.string())
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-2])
 
-    flat = joined.select(
-        *(F.lit(None).cast("string").alias(f"c{i}") if i == at else F.col(f"_row.c{i}")
-          for i in range(len(documents.columns))),
-        F.col(f"_row.c{at}").cast("binary").alias("_data"), "_spans")
-    schema = flat.drop("_data", "_spans").schema
+    schema = flat.drop("text", "_spans").withColumn(f"c{at}", F.lit(None).cast("string")).schema
     return flat.mapInArrow(run, schema).toDF(*documents.columns)
