@@ -23,6 +23,7 @@ from seatwise.operators import expiry, quality, reports, requests, tables  # noq
 from seatwise.plans.jobs import PipelineRun, plan_pipeline, process_requests  # noqa: E402
 from seatwise.session import table_store  # noqa: E402
 from seatwise.sources import generated  # noqa: E402
+from seatwise.sources.tables import Tables  # noqa: E402
 from seatwise.sources.star import AS_OF, NOW, StarTables, read_source  # noqa: E402
 
 try:
@@ -91,7 +92,7 @@ def _renames(t: StarTables) -> DataFrame:
     return off.withColumn("new_userid", -F.col("userid") - 1)
 
 
-def _rule_counts(t: StarTables, pick: Callable[[str], list[quality.Rule]], *names: str) -> DataFrame:
+def _rule_counts(t: Tables, pick: Callable[[str], list[quality.Rule]], *names: str) -> DataFrame:
     parts = [
         quality.rule_counts(rows, pick(name), name)
         for name, rows in t.items() if name in names and pick(name)
@@ -106,7 +107,7 @@ def _domain(column: str, values: tuple[str, ...]) -> Callable[[str], list[qualit
     return lambda table: [quality.domain_rule(column, values)]
 
 
-def _key_counts(t: StarTables) -> DataFrame:
+def _key_counts(t: Tables) -> DataFrame:
     return (
         quality.key_counts(t.users, "userid", "users")
         .unionByName(quality.key_counts(t.licenses, "license_id", "licenses"))
@@ -127,6 +128,19 @@ def _bare_requests(t: StarTables) -> DataFrame:
     )
 
 
+def _bare_licenses(t: StarTables) -> DataFrame:
+    """Licenses as they arrive: no ids, stamps or status."""
+    return t.licenses.select(
+        "userid", "license_type", "start_date", "expiry_date", "product_name")
+
+
+def _reissued(t: StarTables) -> DataFrame:
+    """Licenses for the approved requests, and again where those are opened a year later."""
+    again = AS_OF.replace(year=AS_OF.year + 1)
+    return requests.new_licenses(_approved(t), AS_OF, NOW).unionByName(
+        requests.new_licenses(_approved(t), again, NOW))
+
+
 def _user_numbers(spark: SparkSession, folder: str) -> DataFrame:
     customer = read_source(spark, folder, "customer")
     return customer.select((F.col("c_custkey") + 1).alias("user_no"))
@@ -157,7 +171,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "new_licenses": lambda t: requests.new_licenses(_approved(t), AS_OF, NOW),
         "issue_licenses_table": lambda t: requests.add_licenses(t.licenses, _issued(t)),
         "requests_after_decision": lambda t: requests.apply_decisions(
-            t.requests, _decisions(t), NOW),
+            t.requests, _decisions(t), NOW, complete=True),
         # expiry and flags
         "licenses_to_expire": lambda t: expiry.licenses_to_expire(t.licenses, AS_OF),
         "licenses_after_expiry": lambda t: expiry.expire_licenses(t.licenses, AS_OF, NOW),
@@ -169,6 +183,10 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "active_license_count_per_user": lambda t: expiry.active_license_counts(
             t.licenses, AS_OF),
         "user_status_drift": lambda t: expiry.flag_drift(t.users, t.licenses, AS_OF),
+        "user_status_drift_null_safe": lambda t: expiry.flag_drift(
+            t.users, t.licenses, AS_OF, null_safe=True),
+        "user_status_drift_exclusive": lambda t: expiry.flag_drift(
+            t.users, t.licenses, AS_OF, inclusive=False),
         "users_after_refresh": lambda t: expiry.refresh_flags(
             t.users, t.licenses, AS_OF, NOW),
         "user_flag_exists": lambda t: expiry.flags_from_licenses(t.users, t.licenses, AS_OF),
@@ -177,7 +195,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             t.licenses.filter(is_due(AS_OF)), AS_OF, NOW),
         "cascade_delete_users": lambda t: expiry.remove_users(t.users, _bad_standing(t)),
         "cascade_delete_licenses": lambda t: expiry.remove_users(t.licenses, _bad_standing(t)),
-        "cascade_rekey_users": lambda t: expiry.rename_users(t.users, _renames(t)),
+        "cascade_rekey_users": lambda t: expiry.rename_unique_users(t.users, _renames(t)),
         "cascade_rekey_licenses": lambda t: expiry.rename_users(t.licenses, _renames(t)),
         # reports
         "license_counts_by_type": lambda t: reports.counts_by_type(t.licenses, AS_OF),
@@ -201,24 +219,29 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "insert_ignore_users": lambda t: tables.insert_or_ignore(
             t.users, _signups(t), "userid", ["requested_at", "id"]),
         "request_defaults": lambda t: tables.fill_defaults(_bare_requests(t), "requests", NOW),
+        "user_defaults": lambda t: tables.fill_defaults(
+            t.users.select("userid", "name", "email", F.when(
+                F.col("islicenseactive"), True).alias("islicenseactive")), "users", NOW),
+        "license_defaults": lambda t: tables.fill_defaults(_bare_licenses(t), "licenses", NOW),
+        "reissued_licenses": _reissued,
         # data quality
-        "dq_duplicate_keys": _key_counts,
+        "dq_duplicate_keys": lambda t: _key_counts(t.raw),
         "dq_duplicate_email": lambda t: quality.repeated_keys(t.users, "email"),
-        "dq_nulls": lambda t: _rule_counts(t, quality.not_null_rules, *every),
+        "dq_nulls": lambda t: _rule_counts(t.raw, quality.not_null_rules, *every),
         "dq_bad_email": lambda t: quality.broken_rows(
             t.users, [quality.email_rule()]).select("userid", "email", "rule"),
         "dq_bad_dates": lambda t: _rule_counts(
-            t, lambda _: [quality.date_rule()], "licenses"),
+            t.raw, lambda _: [quality.date_rule()], "licenses"),
         "dq_bad_license_status": lambda t: _rule_counts(
-            t, _domain("status", quality.LICENSE_STATUSES), "licenses"),
+            t.raw, _domain("status", quality.LICENSE_STATUSES), "licenses"),
         "dq_bad_license_type": lambda t: _rule_counts(
-            t, _domain("license_type", quality.LICENSE_TYPES), "licenses", "requests"),
+            t.raw, _domain("license_type", quality.LICENSE_TYPES), "licenses", "requests"),
         "dq_bad_request_status": lambda t: _rule_counts(
-            t, _domain("request_status", quality.REQUEST_STATUSES), "requests"),
-        "dq_length": lambda t: _rule_counts(t, quality.length_rules, *every),
+            t.raw, _domain("request_status", quality.REQUEST_STATUSES), "requests"),
+        "dq_length": lambda t: _rule_counts(t.raw, quality.length_rules, *every),
         "dq_orphan_licenses": lambda t: quality.orphan_licenses(t.licenses, t.users).select(
             "license_id", "userid"),
-        "dq_report": lambda t: _rule_counts(t, quality.rules_for, *every),
+        "dq_report": lambda t: _rule_counts(t.raw, quality.rules_for, *every),
         # all jobs in a row
         "pipeline_report": _pipeline_report,
         "pipeline_licenses": lambda t: _pipeline(t).licenses_after,
@@ -254,9 +277,11 @@ _BASE = {
                CASE WHEN c_custkey % 10 <> 8 THEN c_acctbal > 5000 END AS islicenseactive,
                CAST(NULL AS TIMESTAMP) AS created_at,
                CAST(NULL AS TIMESTAMP) AS updated_at
-        FROM customer WHERE c_acctbal >= 0""",
+        FROM customer""",
     "licenses": """
-        SELECT CAST(o_orderkey AS VARCHAR) AS license_id, o_custkey AS userid,
+        SELECT CAST(o_orderkey AS VARCHAR) AS license_id,
+               CASE WHEN o_orderkey % 11 = 7 THEN o_custkey + 1000000000000 ELSE o_custkey END
+                   AS userid,
                'Type ' || CAST(o_orderkey % 3 + 1 AS VARCHAR) AS license_type,
                CAST(o_orderdate AS DATE) AS start_date,
                CAST(CAST(o_orderdate AS DATE) + CASE o_orderkey % 3
@@ -268,7 +293,9 @@ _BASE = {
                o_orderdate AS created_at, o_orderdate AS updated_at
         FROM orders""",
     "requests": """
-        SELECT event_id AS id, user_id AS userid,
+        SELECT event_id AS id,
+               CASE WHEN event_id % 11 = 7 THEN user_id + 1000000000000 ELSE user_id END
+                   AS userid,
                CASE WHEN event_id % 5 <= 2 THEN 'PENDING'
                     WHEN event_id % 5 = 3 THEN 'APPROVED' ELSE 'REJECTED' END AS request_status,
                CASE WHEN event_id % 4 < 3
@@ -281,6 +308,63 @@ _BASE = {
         FROM events""",
 }
 
+def _license_id(request: str, asked: str, start: str) -> str:
+    key = (f"md5(CAST({request} AS VARCHAR) || '|' || "
+           f"coalesce(strftime({asked}, '%Y%m%d%H%M%S%f'), '') || '|' || CAST({start} AS VARCHAR))")
+    return _uuid(key)
+
+
+def _uuid(digest: str) -> str:
+    parts = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))
+    return " || '-' || ".join(f"substr({digest}, {start}, {size})" for start, size in parts)
+
+
+_LATER = f"DATE '{AS_OF.replace(year=AS_OF.year + 1)}'"
+_BARE_KEY = ("md5(concat_ws('|', CAST(userid AS VARCHAR), license_type, CAST(start_date AS VARCHAR), "
+             "CAST(expiry_date AS VARCHAR), product_name))")
+
+
+# Rows of the base tables, some broken, for the quality rules.
+_NUMBER = "CAST(license_id AS BIGINT)"
+_RAW = {
+    "raw_users": """
+        SELECT CASE WHEN userid % 29 <> 3 THEN userid END AS userid,
+               CASE WHEN userid % 31 = 4 THEN NULL WHEN userid % 37 = 5 THEN repeat(name, 20)
+                    ELSE name END AS name,
+               CASE WHEN userid % 41 = 6 THEN NULL WHEN userid % 43 = 7 THEN repeat(email, 20)
+                    ELSE email END AS email
+        FROM users
+        UNION ALL SELECT userid, 'again', email FROM users WHERE userid % 47 = 8""",
+    "raw_licenses": f"""
+        SELECT CASE WHEN {_NUMBER} % 101 = 1 THEN NULL WHEN {_NUMBER} % 103 = 2 THEN '0'
+                    ELSE license_id END AS license_id,
+               CASE WHEN {_NUMBER} % 107 <> 3 THEN userid END AS userid,
+               CASE WHEN {_NUMBER} % 109 = 4 THEN NULL WHEN {_NUMBER} % 113 = 5 THEN 'Type 9'
+                    WHEN {_NUMBER} % 127 = 6 THEN repeat(license_type, 4)
+                    ELSE license_type END AS license_type,
+               CASE WHEN {_NUMBER} % 131 <> 7 THEN start_date END AS start_date,
+               CASE WHEN {_NUMBER} % 137 = 8 THEN NULL WHEN {_NUMBER} % 139 = 9 THEN start_date
+                    WHEN {_NUMBER} % 149 = 10 THEN CAST(start_date - 1 AS DATE)
+                    ELSE expiry_date END AS expiry_date,
+               CASE WHEN {_NUMBER} % 151 = 11 THEN NULL
+                    WHEN {_NUMBER} % 157 = 12 THEN repeat(product_name, 30)
+                    ELSE product_name END AS product_name,
+               CASE WHEN {_NUMBER} % 163 = 13 THEN NULL WHEN {_NUMBER} % 167 = 14 THEN 'active'
+                    WHEN {_NUMBER} % 173 = 15 THEN repeat(status, 6) ELSE status END AS status
+        FROM licenses""",
+    "raw_requests": """
+        SELECT CASE WHEN id % 101 = 1 THEN NULL WHEN id % 103 = 2 THEN 0 ELSE id END AS id,
+               CASE WHEN id % 107 <> 3 THEN userid END AS userid,
+               CASE WHEN id % 109 = 4 THEN NULL WHEN id % 113 = 5 THEN 'pending'
+                    WHEN id % 127 = 6 THEN repeat(request_status, 5)
+                    ELSE request_status END AS request_status,
+               CASE WHEN id % 131 = 7 THEN repeat('Type 1', 9) ELSE license_type END
+                   AS license_type,
+               CASE WHEN id % 137 = 8 THEN repeat(product_name, 30) ELSE product_name END
+                   AS product_name
+        FROM requests""",
+}
+
 _ACTIVE = f"status = 'ACTIVE' AND expiry_date >= {_DAY}"
 _DUE = f"status = 'ACTIVE' AND expiry_date < {_DAY}"
 
@@ -298,11 +382,7 @@ _STEPS = {
             ELSE 'APPROVED' END AS decision
         FROM pending p""",
     "granted": f"""
-        SELECT substr(md5(CAST(id AS VARCHAR)), 1, 8) || '-'
-               || substr(md5(CAST(id AS VARCHAR)), 9, 4) || '-'
-               || substr(md5(CAST(id AS VARCHAR)), 13, 4) || '-'
-               || substr(md5(CAST(id AS VARCHAR)), 17, 4) || '-'
-               || substr(md5(CAST(id AS VARCHAR)), 21, 12) AS license_id,
+        SELECT {_license_id('id', 'requested_at', _DAY)} AS license_id,
                userid, license_type, {_DAY} AS start_date,
                CAST({_DAY} + CASE license_type WHEN 'Type 1' THEN 30 WHEN 'Type 2' THEN 90
                     WHEN 'Type 3' THEN 365 ELSE 30 END AS DATE) AS expiry_date,
@@ -321,7 +401,7 @@ _STEPS = {
 
 def _sql(body: str, **more: str) -> str:
     """``body`` after the CTEs it needs, directly or through one another."""
-    steps = {**_BASE, **_STEPS, **more}
+    steps = {**_BASE, **_RAW, **_STEPS, **more}
     needed: set[str] = set()
 
     def visit(text: str) -> None:
@@ -385,7 +465,7 @@ def _report(licenses: str) -> str:
 def _count_rules(table: str, rules: dict[str, str]) -> str:
     return "\nUNION ALL\n".join(
         f"SELECT '{table}' AS table_name, '{rule}' AS rule, "
-        f"count(CASE WHEN {broken} THEN 1 END) AS violations FROM {table}"
+        f"count(CASE WHEN {broken} THEN 1 END) AS violations FROM raw_{table}"
         for rule, broken in rules.items()
     )
 
@@ -442,7 +522,7 @@ def _key_count(table: str, key: str) -> str:
                count(CASE WHEN {key} IS NOT NULL AND copies > 1 THEN 1 END) AS repeated_keys,
                CAST(coalesce(sum(CASE WHEN {key} IS NULL THEN copies ELSE 0 END), 0) AS BIGINT)
                    AS null_keys
-        FROM (SELECT {key}, count(*) AS copies FROM {table} GROUP BY {key})"""
+        FROM (SELECT {key}, count(*) AS copies FROM raw_{table} GROUP BY {key})"""
 
 
 def _by_type(where: str, keys: str = "license_type") -> str:
@@ -548,10 +628,14 @@ def library_sql() -> dict[str, str]:
             SELECT userid, count(CASE WHEN {_ACTIVE} THEN 1 END) AS active_licenses,
                    count(*) AS licenses FROM licenses GROUP BY userid""",
         "user_status_drift": f"""
-            SELECT u.userid, count(CASE WHEN {_ACTIVE} THEN 1 END) > 0 AS should_be_active
-            FROM users u LEFT JOIN licenses l ON u.userid = l.userid
-            GROUP BY u.userid, u.islicenseactive
-            HAVING u.islicenseactive <> (count(CASE WHEN {_ACTIVE} THEN 1 END) > 0)""",
+            SELECT u.userid, {_flags("licenses", ">=")} AS should_be_active FROM users u
+            WHERE islicenseactive <> {_flags("licenses", ">=")}""",
+        "user_status_drift_null_safe": f"""
+            SELECT u.userid, {_flags("licenses", ">=")} AS should_be_active FROM users u
+            WHERE islicenseactive IS DISTINCT FROM {_flags("licenses", ">=")}""",
+        "user_status_drift_exclusive": f"""
+            SELECT u.userid, {_flags("licenses", ">")} AS should_be_active FROM users u
+            WHERE islicenseactive <> {_flags("licenses", ">")}""",
         "users_after_refresh": _refreshed("licenses"),
         "user_flag_exists": f"SELECT u.userid, {exists} AS islicenseactive FROM users u",
         "flag_refresh_for_touched_users": f"""
@@ -621,6 +705,24 @@ def library_sql() -> dict[str, str]:
                        AS requested_at,
                    CAST(NULL AS TIMESTAMP) AS processed_at
             FROM requests""",
+        "user_defaults": f"""
+            SELECT userid, name, email,
+                   CAST(NULL AS TIMESTAMP) AS lastlogin,
+                   coalesce(islicenseactive, FALSE) AS islicenseactive,
+                   {_NOW} AS created_at, {_NOW} AS updated_at FROM users""",
+        "license_defaults": f"""
+            SELECT {_uuid(_BARE_KEY)} AS license_id, userid,
+                   license_type, start_date, expiry_date, product_name, 'ACTIVE' AS status,
+                   {_NOW} AS created_at, {_NOW} AS updated_at FROM licenses""",
+        "reissued_licenses": f"""
+            SELECT * FROM granted
+            UNION ALL
+            SELECT * EXCLUDE (id, requested_at) REPLACE (
+                              {_license_id('id', 'requested_at', _LATER)} AS license_id,
+                              {_LATER} AS start_date,
+                              CAST(expiry_date + 365 AS DATE) AS expiry_date)
+            FROM (SELECT d.id, d.requested_at, g.* FROM decisions d JOIN granted g
+                  ON g.license_id = {_license_id('d.id', 'd.requested_at', _DAY)})""",
         "dq_duplicate_keys": "\nUNION ALL\n".join((
             _key_count("users", "userid"),
             _key_count("licenses", "license_id"),

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from seatwise.plans.jobs import license_report
 from seatwise.plans.pipeline import run_on_folder
 from seatwise.plans.validation import validate
-from seatwise.session import build_session
+from seatwise.session import build_session, require_apart, size_shuffles, table_store, temporary_store
 from seatwise.sinks.parquet import write_tables
 from seatwise.sources.generated import generate_tables, user_ids
 from seatwise.sources.tables import preflight, read_parquet
@@ -18,6 +18,9 @@ from seatwise.sources.tables import preflight, read_parquet
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="seatwise")
     parser.add_argument("--master", help="Spark master; the cluster's own setting if not given")
+    parser.add_argument("--conf", action="append", default=[], metavar="KEY=VALUE",
+                        help="a Spark setting; may be repeated")
+    parser.add_argument("--rows", type=int, default=20, help="rows of each result to print")
     commands = parser.add_subparsers(dest="command", required=True)
 
     generate = commands.add_parser("generate", help="write synthetic tables")
@@ -34,11 +37,15 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
 
     report = commands.add_parser("report", help="count users and licenses")
     report.add_argument("tables")
-    report.add_argument("--include-expired", action="store_true")
-    report.add_argument("--brief", action="store_true", help="only counts by type and totals")
+    report.add_argument("out")
+    for command in (run, report):
+        command.add_argument("--include-expired", action="store_true")
+        command.add_argument("--brief", action="store_true",
+                             help="only counts by type and totals")
 
     validate = commands.add_parser("validate", help="count rows that break a constraint")
     validate.add_argument("tables")
+    validate.add_argument("out")
 
     for command in (generate, run, report):
         command.add_argument("--as-of", help="reference date, today if not given")
@@ -47,28 +54,34 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
 
 def main(argv: Sequence[str] | None = None) -> int:
     args = _arguments(argv)
-    spark = build_session(master=args.master)
+    settings = dict(pair.split("=", 1) for pair in args.conf)
+    spark = build_session(master=args.master, **settings)
     if args.command == "generate":
         as_of = dt.date.fromisoformat(args.as_of) if args.as_of else dt.date.today()
         write_tables(generate_tables(user_ids(spark, args.users), as_of, args.seed), args.out)
         return 0
+    size_shuffles(spark, args.tables)
+    require_apart(spark, args.out, [args.tables])
     if args.command == "run":
         results = run_on_folder(
             spark, args.tables, args.out, args.as_of, args.now,
             snapshots=not args.changes_only, by_status=args.by_status,
-        )
-    elif args.command == "report":
-        licenses = read_parquet(spark, args.tables).licenses
-        results = license_report(
-            licenses, args.as_of, args.include_expired, detailed=not args.brief
+            include_expired=args.include_expired, brief=args.brief,
         )
     else:
-        tables = read_parquet(spark, args.tables)
-        preflight(tables)
-        results = validate(tables)
+        tables, store = read_parquet(spark, args.tables), table_store(spark, args.out)
+        if args.command == "report":
+            with temporary_store(spark) as own:
+                found = license_report(tables.licenses, args.as_of, args.include_expired,
+                                       detailed=not args.brief, store=own)
+                results = {name: store(rows, name) for name, rows in found.items()}
+        else:
+            preflight(tables)
+            results = {name: store(rows, name) for name, rows in validate(tables).items()}
     for name, rows in results.items():
-        print(name)
-        rows.show(100, truncate=False)
+        number = rows.count()
+        print(f"{name}: {number} rows" + f", {args.rows} shown" * (number > args.rows))
+        rows.show(args.rows, truncate=False)
     return 0
 
 

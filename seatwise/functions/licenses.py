@@ -49,16 +49,26 @@ def term_days(license_type: str | Column = "license_type") -> Column:
     )
 
 
-def license_id_for(request_id: str | Column = "id") -> Column:
-    """A UUID-shaped id that is the same on every run and task retry."""
-    key = F.col(request_id) if isinstance(request_id, str) else request_id
-    digest = F.md5(key.cast("string"))
+def license_id_for(*parts: Column) -> Column:
+    """A UUID-shaped id that is the same on every run and task retry.
+
+    The parts as text, NULL as an empty one, make up the key.
+    """
+    key = F.concat_ws("|", *(F.coalesce(part.cast("string"), F.lit("")) for part in parts))
+    digest = F.md5(key.cast("binary"))
     return F.concat_ws(
         "-", *(F.substring(digest, start, size) for start, size in
                ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)))
     )
 
 
+def issued_id(start: Column) -> Column:
+    """The id of the license issued for a request at ``start``: a request that is opened
+    again later gets another one."""
+    asked = F.date_format("requested_at", "yyyyMMddHHmmssSSSSSS")
+    return license_id_for(F.col("id"), asked, start)
+
+
 def is_issuable() -> Column:
     """The license table accepts this request's type and product."""
     return F.coalesce(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatwise.functions.clock import Day, Moment, moment
@@ -178,10 +178,13 @@ def remove_users(rows: DataFrame, removed: DataFrame) -> DataFrame:
 def rename_users(rows: DataFrame, renames: DataFrame) -> DataFrame:
     """Users or licenses after changing user ids by ``renames(userid, new_userid)``.
 
-    Two different new ids for one user fail the job.
+    Two different new ids for one user, and a new id that is NULL, fail the job. For the
+    user table, whose ids are unique, use ``rename_unique_users``.
     """
     target = renames.groupBy("userid").agg(
-        F.when(F.min("new_userid") == F.max("new_userid"), F.max("new_userid"))
+        F.when(F.count("new_userid") < F.count(F.lit(1)),
+               F.raise_error(F.lit("a user is renamed to NULL")))
+        .when(F.min("new_userid") == F.max("new_userid"), F.max("new_userid"))
         .otherwise(F.raise_error(F.lit("one user is renamed to two ids")))
         .alias("_new_userid")
     )
@@ -190,3 +193,12 @@ def rename_users(rows: DataFrame, renames: DataFrame) -> DataFrame:
         F.coalesce("_new_userid", "userid").alias("userid") if name == "userid" else F.col(name)
         for name in rows.columns
     ))
+
+
+def rename_unique_users(users: DataFrame, renames: DataFrame) -> DataFrame:
+    """The user table after ``rename_users``; two users of one id fail the job."""
+    moved = rename_users(users, renames)
+    place = F.row_number().over(Window.partitionBy("userid").orderBy(F.lit(1)))
+    first = F.when(place == 1, F.col("userid")).otherwise(
+        F.raise_error(F.lit("two users would have one id")).cast(moved.schema["userid"].dataType))
+    return moved.select(*(first.alias(c) if c == "userid" else F.col(c) for c in moved.columns))

@@ -77,7 +77,7 @@ def counts_at_all_levels(
 ) -> DataFrame:
     """By type, by type and product, and overall, from one scan.
 
-    ``level`` tells the three apart. An empty table gives no rows here.
+    ``level`` tells the three apart. An empty table gives the total row alone.
     """
     user, kind, product = (F.col(c) for c in ("userid", "license_type", "product_name"))
     rows = licenses.filter(in_scope(as_of, include_expired))
@@ -89,9 +89,18 @@ def counts_at_all_levels(
     per_user = rows.groupingSets(
         [[user, kind], [user, kind, product], [user]], user, kind, product
     ).agg(level.alias("level"), F.count(F.lit(1)).alias("_copies"))
-    return per_user.groupBy("license_type", "product_name", "level").agg(
+    counted = per_user.groupBy("license_type", "product_name", "level").agg(
         _unique("unique_users"), _total()
     )
+    nobody = licenses.sparkSession.range(1).select(*(
+        F.lit("total").alias(name) if name == "level"
+        else F.lit(0 if name in ("unique_users", "total_licenses") else None)
+        .cast(counted.schema[name].dataType).alias(name)
+        for name in counted.columns
+    ))
+    return counted.unionByName(nobody).groupBy("license_type", "product_name", "level").agg(
+        F.sum("unique_users").alias("unique_users"), F.sum("total_licenses").alias("total_licenses")
+    )
 
 
 def status_levels(licenses: DataFrame, as_of: Day = None) -> DataFrame:
@@ -119,15 +128,11 @@ def detailed_summary(licenses: DataFrame, as_of: Day = None) -> dict[str, DataFr
     }
 
 
-def full_report(
+def report_in_scope(
     licenses: DataFrame, as_of: Day = None, include_expired: bool = False
 ) -> DataFrame:
-    """All five report tables as one, told apart by ``report``.
-
-    Two scans instead of five: the counts in scope read only ACTIVE rows, which the
-    scan can filter, and the status counts read everything.
-    """
-    in_scope_rows = counts_at_all_levels(licenses, as_of, include_expired).select(
+    """The part of ``full_report`` that counts rows in scope."""
+    return counts_at_all_levels(licenses, as_of, include_expired).select(
         F.concat(F.lit("active_"), "level").alias("report"),
         "license_type",
         "product_name",
@@ -135,6 +140,17 @@ def full_report(
         "unique_users",
         "total_licenses",
     )
+
+
+def full_report(
+    licenses: DataFrame, as_of: Day = None, include_expired: bool = False
+) -> DataFrame:
+    """All five report tables as one, told apart by ``report``.
+
+    Two scans instead of five: the counts in scope read only ACTIVE rows, which the
+    scan can filter, and the status counts read everything.
+    """
+    in_scope_rows = report_in_scope(licenses, as_of, include_expired)
     by_status = status_levels(licenses, as_of).select(
         F.concat(F.lit("all_"), "level").alias("report"),
         "license_type",
@@ -146,7 +162,7 @@ def full_report(
     return in_scope_rows.unionByName(by_status)
 
 
-def split_report(report: DataFrame) -> dict[str, DataFrame]:
+def split_report(report: DataFrame, brief: bool = False) -> dict[str, DataFrame]:
     """The single report tables out of a stored ``full_report``, sorted."""
 
     def part(name: str, *by: str) -> DataFrame:
@@ -157,9 +173,10 @@ def split_report(report: DataFrame) -> dict[str, DataFrame]:
         F.coalesce(F.max("unique_users"), F.lit(0)).alias("total_unique_users"),
         F.coalesce(F.max("total_licenses"), F.lit(0)).alias("total_licenses"),
     )
-    return {
-        "by_type": part("active_type", "license_type"),
-        "totals": total,
+    counts = {"by_type": part("active_type", "license_type"), "totals": total}
+    if brief:
+        return counts
+    return counts | {
         "by_type_and_product": part("active_type_product", "license_type", "product_name"),
         "by_status": part("all_status", "license_status")
         .withColumnRenamed("license_status", "status"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seatwise.functions.clock import Day, Moment, day, moment
-from seatwise.functions.licenses import is_active, is_issuable, license_id_for, term_days
+from seatwise.functions.licenses import is_active, is_issuable, issued_id, term_days
 from seatwise.operators.matching import having_match, lacking_match, mark_match
 
 REQUEST_COLUMNS = ["id", "userid", "license_type", "product_name", "requested_at"]
@@ -15,6 +15,7 @@ SEAT = ["userid", "license_type", "product_name"]
 APPROVED = "APPROVED"
 UNKNOWN_USER = "REJECTED_UNKNOWN_USER"
 DUPLICATE = "REJECTED_DUPLICATE"
+QUARANTINED = "QUARANTINED"
 
 
 def pending_requests(requests: DataFrame) -> DataFrame:
@@ -84,8 +85,11 @@ def quarantined(decisions: DataFrame) -> DataFrame:
     return decisions.filter((F.col("decision") == APPROVED) & ~is_issuable())
 
 
-def without_quarantined(decisions: DataFrame) -> DataFrame:
-    return decisions.filter((F.col("decision") != APPROVED) | is_issuable())
+def hold_quarantined(decisions: DataFrame) -> DataFrame:
+    """The decisions with those of ``quarantined`` marked as such."""
+    held = (F.col("decision") == APPROVED) & ~is_issuable()
+    return decisions.withColumn(
+        "decision", F.when(held, QUARANTINED).otherwise(F.col("decision")))
 
 
 def new_licenses(
@@ -93,10 +97,11 @@ def new_licenses(
 ) -> DataFrame:
     """One ACTIVE license per approved request, running from ``as_of`` for its term.
 
-    Ids derive from the request id, so a repeated run or a retried task issues the
-    same license again instead of another one. ``random_ids`` draws fresh UUIDs.
+    Ids derive from the request's id and time and from ``as_of``, so a repeated run or a
+    retried task issues the same license again, and a request opened again on another
+    day gets a new one. ``random_ids`` draws fresh UUIDs.
     """
-    license_id = F.uuid() if random_ids else license_id_for("id")
+    license_id = F.uuid() if random_ids else issued_id(day(as_of))
     return approved.select(
         license_id.alias("license_id"),
         "userid",
@@ -117,29 +122,48 @@ def add_licenses(licenses: DataFrame, issued: DataFrame) -> DataFrame:
 
 
 def not_issued_for_pending(licenses: DataFrame, requests: DataFrame) -> DataFrame:
-    """Licenses except those an interrupted run issued for requests still pending."""
-    own = pending_requests(requests).select(license_id_for("id").alias("license_id"))
-    return lacking_match(licenses, own, ["license_id"], unique=True)
+    """Licenses except those an interrupted run issued for requests still pending.
+
+    Such a license starts on that run's day, which its id contains, and its request was
+    never processed; a request that was opened again was.
+    """
+    waiting = requests.filter(
+        (F.col("request_status") == "PENDING") & F.col("processed_at").isNull())
+    starts = licenses.select(*SEAT, "start_date").distinct()
+    own = waiting.join(starts, SEAT).select(issued_id(F.col("start_date")).alias("license_id"))
+    return lacking_match(licenses, own, ["license_id"])
+
+
+def require_new_ids(licenses: DataFrame, issued: DataFrame) -> None:
+    """Raise if an id that is to be issued is in the license table already."""
+    taken = having_match(issued.select("license_id"), licenses, ["license_id"], unique=True).first()
+    if taken is not None:
+        raise ValueError(f"license id {taken['license_id']} is issued already")
 
 
-def apply_decisions(requests: DataFrame, decisions: DataFrame, now: Moment = None) -> DataFrame:
-    """The request table after the run.
+def apply_decisions(
+    requests: DataFrame, decisions: DataFrame, now: Moment = None, complete: bool = False
+) -> DataFrame:
+    """The request table after the run: as many rows as before.
 
     ``decisions`` comes from ``decide`` on this same table and already carries each
-    decided row in full, so no join is needed: undecided rows pass through and
-    decided rows get their new status. PENDING rows missing from ``decisions``
-    (quarantined ones) must be passed through with ``keep_pending``.
+    decided row in full. QUARANTINED rows stay PENDING and unstamped, and so do pending
+    rows that ``decisions`` lacks; ``complete`` says that there are none of those, which
+    saves the look-up.
     """
-    settled = requests.filter(~F.col("request_status").eqNullSafe("PENDING"))
-    outcome = F.when(F.col("decision") == APPROVED, "APPROVED").otherwise("REJECTED")
+    waiting = F.col("request_status").eqNullSafe("PENDING")
+    untouched = requests.filter(~waiting)
+    if not complete:
+        untouched = untouched.unionByName(
+            lacking_match(requests.filter(waiting), decisions, ["id"], unique=True))
+    held = F.col("decision") == QUARANTINED
+    outcome = (
+        F.when(held, F.col("request_status"))
+        .when(F.col("decision") == APPROVED, "APPROVED").otherwise("REJECTED")
+    )
     decided = (
         decisions.withColumn("request_status", outcome)
-        .withColumn("processed_at", moment(now))
+        .withColumn("processed_at", F.when(held, F.col("processed_at")).otherwise(moment(now)))
         .select(*requests.columns)
     )
-    return settled.unionByName(decided)
-
-
-def keep_pending(requests: DataFrame, undecided: DataFrame) -> DataFrame:
-    """Add back rows that stay PENDING."""
-    return requests.unionByName(undecided.select(*requests.columns))
+    return untouched.unionByName(decided)

@@ -8,12 +8,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seatwise.functions.clock import Moment, moment
+from seatwise.functions.licenses import license_id_for
 from seatwise.operators.matching import lacking_match
 from seatwise.schemas import BY_NAME
 
 
 def fill_defaults(rows: DataFrame, table: str, now: Moment = None) -> DataFrame:
-    """``rows`` with the table's declared defaults in place of NULLs or absent columns."""
+    """``rows`` with the table's declared defaults in place of NULLs or absent columns.
+
+    A license without an id gets one derived from its other columns, so that it is the
+    same on every read; equal rows get equal ids.
+    """
     # The declared column defaults.
     defaults = {
         "requests": {"request_status": F.lit("PENDING"), "requested_at": moment(now)},
@@ -23,7 +28,10 @@ def fill_defaults(rows: DataFrame, table: str, now: Moment = None) -> DataFrame:
             "updated_at": moment(now),
         },
         "licenses": {
-            "license_id": F.uuid(),
+            "license_id": license_id_for(*(
+                F.col(f.name) for f in BY_NAME["licenses"]
+                if f.name != "license_id" and f.name in rows.columns
+            )),
             "status": F.lit("ACTIVE"),
             "created_at": moment(now),
             "updated_at": moment(now),

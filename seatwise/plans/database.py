@@ -12,7 +12,7 @@ from seatwise.functions.clock import Day, Moment, moment, pinned
 from seatwise.operators import reports
 from seatwise.operators.requests import APPROVED, not_issued_for_pending
 from seatwise.plans.jobs import expire_and_refresh, process_requests
-from seatwise.session import table_store
+from seatwise.session import table_store, temporary_store
 from seatwise.sinks import jdbc as sink
 from seatwise.sources import jdbc as source
 from seatwise.sources.jdbc import Database, Split
@@ -32,13 +32,14 @@ class Place:
     table: str
     connect: Callable
     split: Split | None = None
+    one_task: bool = False
 
     @property
     def staging(self) -> str:
         return f"{self.table}_staged"
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return source.read_table(spark, self.database, self.table, self.split)
+        return source.read_table(spark, self.database, self.table, self.split, self.one_task)
 
     def change(self, rows: DataFrame, statement: str) -> int:
         sink.stage(rows, self.database, self.staging)
@@ -69,35 +70,35 @@ def request_job(
     as before, issues nothing twice and updates the request rows.
     """
     as_of, now = pinned(spark, as_of, now)
-    store = table_store(spark)
-    tables = places.read(spark)
-    earlier = not_issued_for_pending(tables.licenses, tables.requests)
-    run = process_requests(replace(tables, licenses=earlier), as_of, now, store)
-    issued = store(run.new_licenses, "issued")
-    changes = store(
-        run.decisions.select(
-            "id",
-            F.when(F.col("decision") == APPROVED, "APPROVED").otherwise("REJECTED")
-            .alias("request_status"),
-            moment(now).alias("processed_at"),
-        ),
-        "request_changes",
-    )
-    inserted = places.licenses.change(
-        issued,
-        sink.insert_statement(
-            places.licenses.table, places.licenses.staging, ISSUED_COLUMNS, "license_id"
-        ),
-    )
-    updated = places.requests.change(
-        changes,
-        sink.update_statement(
-            places.requests.table, places.requests.staging,
-            ("request_status", "processed_at"), "id",
-            only_where="t.request_status = 'PENDING'",
-        ),
-    )
-    return {"licenses_issued": inserted, "requests_updated": updated}
+    with temporary_store(spark) as store:
+        tables = places.read(spark)
+        earlier = not_issued_for_pending(tables.licenses, tables.requests)
+        run = process_requests(replace(tables, licenses=earlier), as_of, now, store)
+        issued = store(run.new_licenses, "issued")
+        changes = store(
+            run.decisions.select(
+                "id",
+                F.when(F.col("decision") == APPROVED, "APPROVED").otherwise("REJECTED")
+                .alias("request_status"),
+                moment(now).alias("processed_at"),
+            ),
+            "request_changes",
+        )
+        inserted = places.licenses.change(
+            issued,
+            sink.insert_statement(
+                places.licenses.table, places.licenses.staging, ISSUED_COLUMNS, "license_id"
+            ),
+        )
+        updated = places.requests.change(
+            changes,
+            sink.update_statement(
+                places.requests.table, places.requests.staging,
+                ("request_status", "processed_at"), "id",
+                only_where="t.request_status = 'PENDING'",
+            ),
+        )
+        return {"licenses_issued": inserted, "requests_updated": updated}
 
 
 def expiry_job(
@@ -105,33 +106,33 @@ def expiry_job(
 ) -> dict[str, int]:
     """Expire due licenses, then correct the flags."""
     as_of, now = pinned(spark, as_of, now)
-    store = table_store(spark)
-    tables = places.read(spark)
-    run = expire_and_refresh(tables.users, tables.licenses, as_of, now)
-    due = store(run.license_changes, "license_changes")
-    flags = store(
-        run.flag_changes.select(
-            "userid",
-            F.col("should_be_active").alias("islicenseactive"),
-            moment(now).alias("updated_at"),
-        ),
-        "flag_changes",
-    )
-    expired = places.licenses.change(
-        due,
-        sink.update_statement(
-            places.licenses.table, places.licenses.staging, ("status", "updated_at"),
-            "license_id", key_type="uuid", only_where="t.status = 'ACTIVE'",
-        ),
-    )
-    updated = places.users.change(
-        flags,
-        sink.update_statement(
-            places.users.table, places.users.staging,
-            ("islicenseactive", "updated_at"), "userid",
-        ),
-    )
-    return {"licenses_expired": expired, "users_updated": updated}
+    with temporary_store(spark) as store:
+        tables = places.read(spark)
+        run = expire_and_refresh(tables.users, tables.licenses, as_of, now)
+        due = store(run.license_changes, "license_changes")
+        flags = store(
+            run.flag_changes.select(
+                "userid",
+                F.col("should_be_active").alias("islicenseactive"),
+                moment(now).alias("updated_at"),
+            ),
+            "flag_changes",
+        )
+        expired = places.licenses.change(
+            due,
+            sink.update_statement(
+                places.licenses.table, places.licenses.staging, ("status", "updated_at"),
+                "license_id", key_type="uuid", only_where="t.status = 'ACTIVE'",
+            ),
+        )
+        updated = places.users.change(
+            flags,
+            sink.update_statement(
+                places.users.table, places.users.staging,
+                ("islicenseactive", "updated_at"), "userid",
+            ),
+        )
+        return {"licenses_expired": expired, "users_updated": updated}
 
 
 def run_database_pipeline(
@@ -151,7 +152,8 @@ def run_database_pipeline(
         **request_job(spark, places, as_of, now),
         **expiry_job(spark, places, as_of, now),
     }
-    store = table_store(spark)
-    licenses = store(places.licenses.read(spark), "licenses")
-    report = store(reports.full_report(licenses, as_of), "report")
+    # The report stays, being what is returned; the copy of the licenses goes.
+    with temporary_store(spark) as store:
+        licenses = store(places.licenses.read(spark), "licenses")
+        report = table_store(spark)(reports.full_report(licenses, as_of), "report")
     return affected, reports.split_report(report)

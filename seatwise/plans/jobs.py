@@ -35,17 +35,16 @@ class RequestRun:
     @cached_property
     def _all_decisions(self) -> DataFrame:
         t = self.tables
-        return self.store(
-            requests.decide(t.requests, t.users, t.licenses, self.as_of), "decisions"
-        )
+        decided = requests.decide(t.requests, t.users, t.licenses, self.as_of)
+        return self.store(requests.hold_quarantined(decided), "decisions")
 
     @cached_property
     def decisions(self) -> DataFrame:
-        return requests.without_quarantined(self._all_decisions)
+        return self._all_decisions.filter(F.col("decision") != requests.QUARANTINED)
 
     @cached_property
     def quarantined(self) -> DataFrame:
-        return requests.quarantined(self._all_decisions)
+        return self._all_decisions.filter(F.col("decision") == requests.QUARANTINED)
 
     @cached_property
     def new_licenses(self) -> DataFrame:
@@ -54,8 +53,9 @@ class RequestRun:
 
     @cached_property
     def requests_after(self) -> DataFrame:
-        after = requests.apply_decisions(self.tables.requests, self.decisions, self.now)
-        return requests.keep_pending(after, self.quarantined)
+        return requests.apply_decisions(
+            self.tables.requests, self._all_decisions, self.now, complete=True
+        )
 
     @cached_property
     def licenses_after(self) -> DataFrame:
@@ -123,20 +123,18 @@ def expire_and_refresh(
 
 
 def license_report(
-    licenses: DataFrame, as_of: Day = None, include_expired: bool = False, detailed: bool = True
+    licenses: DataFrame, as_of: Day = None, include_expired: bool = False, detailed: bool = True,
+    store: Store = _as_is,
 ) -> dict[str, DataFrame]:
-    """Counts by type and totals; with ``detailed`` also by product and by status."""
-    report = {
-        "by_type": reports.counts_by_type(licenses, as_of, include_expired),
-        "totals": reports.totals(licenses, as_of, include_expired),
-    }
-    if detailed:
-        report["by_type_and_product"] = reports.counts_by_type_and_product(
-            licenses, as_of, include_expired
-        )
-        report["by_status"] = reports.counts_by_status(licenses)
-        report["expiry_breakdown"] = reports.expiry_breakdown(licenses, as_of)
-    return report
+    """Counts by type and totals; with ``detailed`` also by product and by status.
+
+    ``store`` keeps the report once, so that its tables do not each scan the licenses.
+    """
+    if not detailed:
+        report = store(reports.report_in_scope(licenses, as_of, include_expired), "report")
+    else:
+        report = store(reports.full_report(licenses, as_of, include_expired), "report")
+    return reports.split_report(report, brief=not detailed)
 
 
 @dataclass(frozen=True)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from seatwise.functions.clock import Day, Moment, pinned
 from seatwise.operators import expiry, reports, requests
 from seatwise.plans.jobs import plan_pipeline
 from seatwise.plans.validation import require_unique_keys
-from seatwise.session import table_store
+from seatwise.session import require_apart, table_store
 from seatwise.sinks.parquet import write_table
 from seatwise.sources.tables import Tables, preflight, read_parquet
 
@@ -22,27 +25,42 @@ def run_pipeline(
     snapshots: bool = True,
     check_keys: bool = True,
     by_status: bool = False,
+    include_expired: bool = False,
+    brief: bool = False,
+    roots: Sequence[str] | None = None,
 ) -> dict[str, DataFrame]:
     """Run all jobs and write their results under the new folder ``out``.
 
+    ``out`` must lie apart from the input: from ``roots``, or else from all files of
+    the tables, which takes a listing of them.
+
     The decisions are written first and read back by every later step. Change sets
     (decisions, issued and expired licenses, corrected flags) are always written;
     ``snapshots`` adds the three full tables. ``check_keys`` costs one aggregation of
     the user ids and one of the pending request ids. ``by_status`` writes the license
     table in one folder per status, so that the next run, which needs ACTIVE rows for
-    all but the status counts, skips the others. With fixed ``as_of`` and ``now`` a
-    run that was interrupted can be repeated over the same folder.
+    all but the status counts, skips the others; an empty status, which has no folder, is
+    refused. With fixed ``as_of`` and ``now`` a run that was interrupted can be repeated
+    over the same folder. ``brief`` returns only the counts by type and the totals.
     """
+    if roots is None:
+        roots = [path for _, rows in tables.items() for path in rows.inputFiles()]
+        roots += sorted({path.rsplit("/", 1)[0] for path in roots})
+    require_apart(spark, out, roots)
     preflight(tables)
     if check_keys:
         require_unique_keys(tables)
+    if by_status and not tables.licenses.filter(F.col("status") == "").isEmpty():
+        raise ValueError("an empty status cannot be kept by one folder per status")
     as_of, now = pinned(spark, as_of, now)
     out = out.rstrip("/")
     store = table_store(spark, out)
     run = plan_pipeline(tables, as_of, now, store)
-    write_table(run.requests_run.new_licenses, f"{out}/new_licenses")
+    issued = store(run.requests_run.new_licenses, "new_licenses")
+    if check_keys:
+        requests.require_new_ids(tables.licenses, issued)
     write_table(run.requests_run.quarantined, f"{out}/quarantined")
-    write_table(run.expiry_run.license_changes, f"{out}/license_changes")
+    license_changes = store(run.expiry_run.license_changes, "license_changes")
     flag_changes = store(run.expiry_run.flag_changes, "flag_changes")
     licenses_after = run.licenses_after
     if snapshots:
@@ -52,9 +70,13 @@ def run_pipeline(
         licenses_after = store(
             licenses_after, "after/licenses", ["status"] if by_status else ()
         )
-    report = store(reports.full_report(licenses_after, as_of), "report")
-    results = reports.split_report(report)
+    report = store(reports.full_report(licenses_after, as_of, include_expired), "report")
+    results = reports.split_report(report, brief)
+    results["distribution"] = store(run.requests_run.distribution(), "distribution")
     results["decision_counts"] = requests.decision_counts(run.requests_run.decisions)
+    results["run_counts"] = store(
+        license_changes.agg(F.count(F.lit(1)).alias("licenses_expired")).join(
+            flag_changes.agg(F.count(F.lit(1)).alias("users_updated"))), "run_counts")
     return results
 
 
@@ -62,6 +84,5 @@ def run_on_folder(
     spark: SparkSession, folder: str, out: str, as_of: Day = None, now: Moment = None, **options: bool
 ) -> dict[str, DataFrame]:
     """``run_pipeline`` with its options on Parquet tables under ``folder``."""
-    if out.rstrip("/") == folder.rstrip("/"):
-        raise ValueError("the results need a folder of their own")
-    return run_pipeline(spark, read_parquet(spark, folder), out, as_of, now, **options)
+    return run_pipeline(
+        spark, read_parquet(spark, folder), out, as_of, now, roots=[folder], **options)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import posixpath
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,12 +16,8 @@ from seatwise.sinks.parquet import write_table
 # small ones up to the advisory size and splits skewed ones. A join whose build
 # partitions all turn out below the map threshold hashes instead of sorting.
 SETTINGS = {
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "32MB",
-    "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
 }
@@ -50,6 +49,55 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as Hadoop's."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def resolved(spark: SparkSession, path: str) -> str:
+    """The path with scheme, without ``..``, and on a local disk without links."""
+    files, place = _file_system(spark, path)
+    uri = files.makeQualified(place).toUri()
+    plain = posixpath.normpath(uri.getPath())
+    if uri.getScheme() == "file":
+        plain = os.path.realpath(plain)
+    return f"{uri.getScheme()}://{uri.getAuthority() or ''}{plain}"
+
+
+def require_apart(spark: SparkSession, out: str, inputs: Sequence[str]) -> None:
+    """Raise if ``out`` is, contains or lies inside one of the input folders or files."""
+    target = resolved(spark, out)
+    for path in inputs:
+        place = resolved(spark, path)
+        if target == place or f"{target}/".startswith(f"{place}/") or (
+                f"{place}/".startswith(f"{target}/")):
+            raise ValueError(f"the results need a folder apart from the input: {out}, {path}")
+
+
+def size_shuffles(spark: SparkSession, folder: str, each: int = 128 << 20) -> int:
+    """Start shuffles with partitions of about ``each`` bytes of the tables in ``folder``.
+
+    Adaptive execution merges small partitions, so more than needed do no harm.
+    """
+    files, place = _file_system(spark, folder)
+    wanted = -(-files.getContentSummary(place).getLength() // each)
+    number = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(number))
+    return number
+
+
+@contextmanager
+def temporary_store(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
+    """A ``table_store`` whose tables are deleted at the end, after an error too."""
+    base = f"{shared_folder(spark)}/seatwise-{uuid.uuid4().hex}"
+    try:
+        yield table_store(spark, base)
+    finally:
+        files, place = _file_system(spark, base)
+        files.delete(place, True)
+
+
 def table_store(spark: SparkSession, folder: str | None = None) -> Callable[..., DataFrame]:
     """A function that writes a DataFrame once and hands back the written table.
 

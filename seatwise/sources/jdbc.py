@@ -56,9 +56,15 @@ class Split:
 
 
 def read_table(
-    spark: SparkSession, database: Database, table: str, split: Split | None = None
+    spark: SparkSession, database: Database, table: str, split: Split | None = None,
+    one_task: bool = False,
 ) -> DataFrame:
-    """A whole table; Spark sends the filters and columns a query uses to the database."""
+    """A whole table; Spark sends the filters and columns a query uses to the database.
+
+    Without a ``split`` one task reads all of it, which the caller must ask for.
+    """
+    if split is None and not one_task:
+        raise ValueError(f"{table}: give a split, or one_task for a small table")
     options = {**database.options(), **(split.options() if split else {}), "dbtable": table}
     return spark.read.format("jdbc").options(**options).load()
 

@@ -6,6 +6,7 @@ and run the jobs' SQL statements unchanged.
 
 import duckdb
 import pytest
+import seed as known
 from seed import AS_OF, NOW, license_rows, request_rows, seed_tables, user_rows
 
 from seatwise.plans import database as jobs
@@ -127,7 +128,7 @@ def handed_over(monkeypatch, base):
     kinds = {"string": "VARCHAR", "bigint": "BIGINT", "date": "DATE", "boolean": "BOOLEAN",
              "timestamp_ntz": "TIMESTAMP"}
 
-    def read_table(spark, database, table, split=None):
+    def read_table(spark, database, table, split=None, one_task=False):
         columns = ", ".join(
             f"CAST({f.name} AS VARCHAR) AS {f.name}" if f.name == "license_id" else f.name
             for f in schemas[table])
@@ -158,9 +159,9 @@ def statuses(base):
 
 def test_issuing_does_not_turn_approvals_into_rejections(spark, base, handed_over):
     result = jobs.request_job(spark, places(base), AS_OF, NOW)
-    assert result == {"licenses_issued": 5, "requests_updated": 5}
-    assert statuses(base) == {"APPROVED": 6, "PROCESSING": 2, "REJECTED": 1}
-    assert base.execute("SELECT count(*) FROM licenses").fetchall() == [(40,)]
+    assert result == {"licenses_issued": known.ISSUED, "requests_updated": known.ISSUED}
+    assert statuses(base) == known.REQUESTS_AFTER
+    assert base.execute("SELECT count(*) FROM licenses").fetchall() == [(known.LICENSES_AFTER,)]
     assert jobs.request_job(spark, places(base), AS_OF, NOW) == {
         "licenses_issued": 0, "requests_updated": 0}
 
@@ -168,28 +169,28 @@ def test_issuing_does_not_turn_approvals_into_rejections(spark, base, handed_ove
 def test_interrupted_request_job_can_be_repeated(spark, base, handed_over):
     with pytest.raises(RuntimeError, match="connection lost"):
         jobs.request_job(spark, places(base, fail_on="UPDATE requests"), AS_OF, NOW)
-    assert base.execute("SELECT count(*) FROM licenses").fetchall() == [(40,)]
-    assert statuses(base)["PENDING"] == 5
+    assert base.execute("SELECT count(*) FROM licenses").fetchall() == [(known.LICENSES_AFTER,)]
+    assert statuses(base)["PENDING"] == known.ISSUED
     assert jobs.request_job(spark, places(base), AS_OF, NOW) == {
-        "licenses_issued": 0, "requests_updated": 5}
-    assert statuses(base) == {"APPROVED": 6, "PROCESSING": 2, "REJECTED": 1}
-    assert base.execute("SELECT count(*) FROM licenses").fetchall() == [(40,)]
+        "licenses_issued": 0, "requests_updated": known.ISSUED}
+    assert statuses(base) == known.REQUESTS_AFTER
+    assert base.execute("SELECT count(*) FROM licenses").fetchall() == [(known.LICENSES_AFTER,)]
 
 
 def test_failed_statement_rolls_back(spark, base, handed_over):
     connect = lambda: Connection(base, fail_on="second")
     with pytest.raises(RuntimeError):
         sink.apply_statements(connect, ["DELETE FROM requests", "second"])
-    assert base.execute("SELECT count(*) FROM requests").fetchall() == [(9,)]
+    assert base.execute("SELECT count(*) FROM requests").fetchall() == [(len(request_rows()),)]
 
 
 def test_expiry_job(spark, base, handed_over):
     assert jobs.expiry_job(spark, places(base), AS_OF, NOW) == {
-        "licenses_expired": 13, "users_updated": 13}
+        "licenses_expired": known.DUE, "users_updated": len(known.FLAGS_OFF)}
     assert base.execute(
         "SELECT count(*) FROM licenses WHERE status = 'EXPIRED' AND updated_at = TIMESTAMP '2025-09-10 07:00:00'"
-    ).fetchall() == [(13,)]
-    assert base.execute("SELECT count(*) FROM users WHERE islicenseactive").fetchall() == [(14,)]
+    ).fetchall() == [(known.DUE,)]
+    assert base.execute("SELECT count(*) FROM users WHERE islicenseactive").fetchall() == [(len(known.HOLDERS),)]
     assert jobs.expiry_job(spark, places(base), AS_OF, NOW) == {
         "licenses_expired": 0, "users_updated": 0}
 
@@ -214,10 +215,10 @@ def test_whole_pipeline(spark, base, handed_over, monkeypatch):
 
     monkeypatch.setattr(source, "read_query", read_query)
     affected, results = jobs.run_database_pipeline(spark, places(base), AS_OF, NOW)
-    # the row trigger that flags users on insert is the database's; here the 5 new
+    # the row trigger that flags users on insert is the database's; here the new
     # holders are found by the expiry job
-    assert affected == {"licenses_issued": 5, "requests_updated": 5,
-                        "licenses_expired": 13, "users_updated": 18}
+    assert affected == {
+        "licenses_issued": known.ISSUED, "requests_updated": known.ISSUED,
+        "licenses_expired": known.DUE, "users_updated": known.FLAGS_CHANGED}
     assert probed == ["jdbc:postgresql://host/db"]
-    assert [tuple(r) for r in results["by_status"].collect()] == [
-        ("ACTIVE", 19, 20), ("EXPIRED", 18, 18), ("SUSPENDED", 2, 2)]
+    assert [tuple(r) for r in results["by_status"].collect()] == known.STATUS_AFTER

@@ -1,9 +1,11 @@
+import os
 from dataclasses import replace
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 from rows import values
+import seed as known
 from seed import AS_OF, NOW, seed_tables
 
 from seatwise.__main__ import main
@@ -11,7 +13,8 @@ from seatwise.operators import expiry, reports, requests
 from seatwise.plans import pipeline
 from seatwise.plans.pipeline import run_on_folder, run_pipeline
 from seatwise.plans.validation import validate
-from seatwise.session import shared_folder, table_store
+from seatwise.plans.jobs import process_requests
+from seatwise.session import shared_folder, table_store, temporary_store
 from seatwise.sinks.parquet import write_tables
 from seatwise.sources.tables import Tables, preflight, read_parquet, register
 
@@ -23,23 +26,31 @@ def folder(spark, tmp_path_factory):
     return path
 
 
+@pytest.fixture(autouse=True)
+def own_partition_number(spark):
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
 def test_run_writes_change_sets_and_tables(spark, folder, tmp_path):
     out = str(tmp_path / "run")
     results = run_on_folder(spark, folder, out, AS_OF, NOW)
     read = lambda name: spark.read.parquet(f"{out}/{name}")
-    assert read("decisions").count() == 5
-    assert read("new_licenses").count() == 5
-    assert read("license_changes").count() == 13
-    # the 13 users left without a license, and the 5 who got one
-    assert read("flag_changes").count() == 18
+    assert read("decisions").count() == known.ISSUED
+    assert read("new_licenses").count() == known.ISSUED
+    assert read("license_changes").count() == known.DUE
+    # users left without a license, and those who got one
+    assert read("flag_changes").count() == known.FLAGS_CHANGED
     assert read("quarantined").isEmpty()
     after = read_parquet(spark, f"{out}/after")
     assert preflight(after) == {"users": True, "licenses": True, "requests": True}
-    assert after.licenses.count() == 40
+    assert after.licenses.count() == known.LICENSES_AFTER
     assert values(read("report")) == values(reports.full_report(after.licenses, AS_OF))
-    assert values(results["by_status"]) == [
-        ("ACTIVE", 19, 20), ("EXPIRED", 18, 18), ("SUSPENDED", 2, 2)]
-    assert values(results["decision_counts"]) == [("APPROVED", 5)]
+    assert values(results["by_status"]) == known.STATUS_AFTER
+    assert values(results["decision_counts"]) == [("APPROVED", known.ISSUED)]
+    assert values(results["run_counts"]) == [(known.DUE, known.FLAGS_CHANGED)]
+    issued = process_requests(seed_tables(spark), AS_OF, NOW)
+    assert values(results["distribution"]) == values(issued.distribution())
 
 
 def test_repeated_run_gives_the_same_tables(spark, folder, tmp_path):
@@ -61,7 +72,7 @@ def test_interrupted_run_can_be_repeated(spark, folder, tmp_path, monkeypatch):
         patch.setattr(pipeline, "write_table", fail)
         with pytest.raises(OSError):
             run_on_folder(spark, folder, broken, AS_OF, NOW)
-    assert spark.read.parquet(f"{broken}/decisions").count() == 5
+    assert spark.read.parquet(f"{broken}/decisions").count() == known.ISSUED
     run_on_folder(spark, folder, broken, AS_OF, NOW)
     for name in ("users", "licenses", "requests"):
         assert values(spark.read.parquet(f"{broken}/after/{name}")) == values(
@@ -83,22 +94,22 @@ def test_change_sets_alone(spark, folder, tmp_path):
     out = str(tmp_path / "run")
     results = run_pipeline(spark, read_parquet(spark, folder), out, AS_OF, NOW, snapshots=False)
     assert not (tmp_path / "run" / "after").exists()
-    assert values(results["by_status"])[0] == ("ACTIVE", 19, 20)
+    assert values(results["by_status"]) == known.STATUS_AFTER
 
 
 def test_repeated_keys_stop_the_run(spark, tmp_path):
     tables = seed_tables(spark)
     twice = replace(tables, users=tables.users.unionByName(tables.users.limit(1)))
-    with pytest.raises(ValueError, match="users.userid 'user006' occurs 2 times"):
+    with pytest.raises(ValueError, match="users.userid 'member-00' occurs 2 times"):
         run_pipeline(spark, twice, str(tmp_path / "run"), AS_OF, NOW)
     twice = replace(tables, requests=tables.requests.unionByName(tables.requests.limit(1)))
-    with pytest.raises(ValueError, match="requests.id 1 occurs 2 times"):
+    with pytest.raises(ValueError, match="requests.id 100 occurs 2 times"):
         run_pipeline(spark, twice, str(tmp_path / "run"), AS_OF, NOW)
 
 
 def test_validation_covers_rules_keys_and_references(spark):
     tables = seed_tables(spark)
-    dropped = replace(tables, users=tables.users.filter("userid <> 'user022'"))
+    dropped = replace(tables, users=tables.users.filter("userid <> 'member-02'"))
     found = validate(dropped)
     assert found["rules"].filter("violations > 0").isEmpty()
     assert values(found["keys"]) == [("licenses", 0, 0), ("requests", 0, 0), ("users", 0, 0)]
@@ -125,7 +136,8 @@ def test_registered_views_serve_sql(spark):
         SELECT count(*) FROM users u WHERE EXISTS (
             SELECT 1 FROM licenses l WHERE l.userid = u.userid AND l.status = 'ACTIVE'
             AND l.expiry_date > DATE '2025-09-10')""").first()[0]
-    assert held == 14
+    late = {r[1] for r in known.license_rows() if known.active(r) and r[4] > AS_OF}
+    assert held == len(late)
 
 
 def test_store_lives_in_the_shared_folder(spark):
@@ -136,17 +148,101 @@ def test_store_lives_in_the_shared_folder(spark):
 
 
 def session_with(**settings):
-    conf = SimpleNamespace(get=lambda key, default: settings.get(key.replace(".", "_"), default))
+    conf = SimpleNamespace(
+        get=lambda key, default=None: settings.get(key.replace(".", "_"), default))
     return SimpleNamespace(conf=conf)
 
 
-def test_only_a_local_session_may_use_a_folder_of_its_own():
-    named = session_with(spark_checkpoint_dir="s3://shared/", spark_master="yarn")
+def test_stages_go_to_the_named_folder_or_the_warehouse():
+    warehouse = {"spark_sql_warehouse_dir": "s3://house/"}
+    named = session_with(spark_checkpoint_dir="s3://shared/", **warehouse)
     assert shared_folder(named) == "s3://shared"
-    local = session_with(spark_master="local[4]")
-    assert shared_folder(local) == shared_folder(local)
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(session_with(spark_master="yarn"))
+    assert shared_folder(session_with(**warehouse)) == "s3://house/.stages"
+
+
+def test_stages_are_deleted_after_use(spark):
+    with temporary_store(spark) as store:
+        kept = store(spark.range(5), "numbers")
+        files = kept.inputFiles()
+        assert files and kept.count() == 5
+    with pytest.raises(RuntimeError), temporary_store(spark) as store:
+        again = store(spark.range(5), "numbers").inputFiles()
+        raise RuntimeError
+    from urllib.parse import urlparse
+    assert not any(os.path.exists(urlparse(f).path) for f in files + again)
+
+
+def test_overlapping_folders_are_refused(spark, folder, tmp_path):
+    day_one = str(tmp_path / "one")
+    run_on_folder(spark, folder, day_one, AS_OF, NOW)
+    before = values(spark.read.parquet(f"{day_one}/after/users"))
+    os.symlink(day_one, tmp_path / "alias")
+    for out in (day_one, f"{day_one}/after", f"{day_one}/after/", f"{day_one}/after/users/deeper",
+                f"{day_one}/x/../after", f"file:{day_one}/after", str(tmp_path / "alias"),
+                str(tmp_path)):
+        with pytest.raises(ValueError, match="folder"):
+            run_on_folder(spark, f"{day_one}/after", out, AS_OF, NOW)
+        with pytest.raises(ValueError, match="folder"):
+            run_pipeline(spark, read_parquet(spark, f"{day_one}/after"), out, AS_OF, NOW)
+    assert values(spark.read.parquet(f"{day_one}/after/users")) == before
+    second = run_on_folder(spark, f"{day_one}/after", str(tmp_path / "two"), "2025-09-11", NOW)
+    assert values(second["decision_counts"]) == []
+
+
+def test_empty_status_is_refused_by_status_folders(spark, tmp_path):
+    tables = seed_tables(spark)
+    odd = replace(tables, licenses=tables.licenses.withColumn(
+        "status", F.when(F.col("status") == "SUSPENDED", "").otherwise(F.col("status"))))
+    with pytest.raises(ValueError, match="status"):
+        run_pipeline(spark, odd, str(tmp_path / "a"), AS_OF, NOW, by_status=True)
+    run_pipeline(spark, odd, str(tmp_path / "b"), AS_OF, NOW)
+    assert read_parquet(spark, str(tmp_path / "b/after")).licenses.filter("status = ''").count() > 0
+
+
+def test_a_reopened_request_gets_another_license(spark, folder, tmp_path):
+    one, two, three = (str(tmp_path / n) for n in ("one", "two", "three"))
+    run_on_folder(spark, folder, one, AS_OF, NOW)
+    tables = read_parquet(spark, f"{one}/after")
+    reopened = replace(tables, requests=tables.requests.withColumn(
+        "request_status", F.when(F.col("id") == 100, "PENDING").otherwise(F.col("request_status"))))
+    later = "2027-01-01"
+    run_pipeline(spark, reopened, two, later, NOW)
+    licenses = read_parquet(spark, f"{two}/after").licenses
+    assert licenses.select("license_id").distinct().count() == licenses.count()
+    assert licenses.count() == known.LICENSES_AFTER + 1
+    run_on_folder(spark, f"{two}/after", three, later, NOW)
+    assert read_parquet(spark, f"{three}/after").licenses.count() == licenses.count()
+
+
+def test_issued_ids_that_are_taken_stop_the_run(spark, folder, tmp_path):
+    tables = seed_tables(spark)
+    first = process_requests(tables, AS_OF, NOW)
+    revoked = first.licenses_after.withColumn("status", F.lit("REVOKED"))
+    with pytest.raises(ValueError, match="issued already"):
+        run_pipeline(spark, replace(tables, licenses=revoked), str(tmp_path / "x"), AS_OF, NOW)
+
+
+def test_reports_beyond_a_hundred_groups_are_whole(spark, tmp_path):
+    tables = seed_tables(spark)
+    many = spark.range(250).select(
+        F.concat(F.lit("l"), "id").alias("license_id"), F.lit("member-01").alias("userid"),
+        F.lit("Type 1").alias("license_type"), F.lit(AS_OF).alias("start_date"),
+        F.lit(AS_OF).alias("expiry_date"), F.concat(F.lit("p"), "id").alias("product_name"),
+        F.lit("ACTIVE").alias("status"), F.lit(NOW).cast("timestamp_ntz").alias("created_at"),
+        F.lit(NOW).cast("timestamp_ntz").alias("updated_at"))
+    mails = tables.users.unionByName(tables.users.withColumn(
+        "userid", F.concat(F.lit("twin-"), "userid")))
+    doubled = mails.crossJoin(spark.range(4).toDF("n")).select(
+        F.concat("userid", F.lit("-"), "n").alias("userid"), "name",
+        F.concat("n", "email").alias("email"), "lastlogin", "islicenseactive", "created_at",
+        "updated_at")
+    source = str(tmp_path / "in")
+    write_tables(Tables(doubled, many, tables.requests), source)
+    assert main(["report", source, str(tmp_path / "report"), "--as-of", "2025-09-10"]) == 0
+    assert spark.read.parquet(str(tmp_path / "report/by_type_and_product")).count() == 250
+    assert main(["validate", source, str(tmp_path / "validate")]) == 0
+    assert spark.read.parquet(str(tmp_path / "validate/repeated_emails")).count() == (
+        4 * known.USERS_IN_ALL)
 
 
 def test_filters_and_columns_reach_the_scan(spark, folder, capsys):
@@ -180,8 +276,15 @@ def test_licenses_by_status_are_pruned(spark, folder, tmp_path):
 
 def test_command_line(spark, folder, tmp_path, capsys):
     assert main(["generate", str(tmp_path / "gen"), "--users", "50", "--as-of", "2025-09-10"]) == 0
-    assert main(["validate", str(tmp_path / "gen")]) == 0
-    assert main(["report", folder, "--as-of", "2025-09-10", "--brief"]) == 0
-    assert "|14                |15            |" in capsys.readouterr().out
-    assert main(["run", folder, str(tmp_path / "out"), "--as-of", "2025-09-10", "--by-status"]) == 0
-    assert "by_type_and_product" in capsys.readouterr().out
+    assert main(["validate", str(tmp_path / "gen"), str(tmp_path / "found")]) == 0
+    assert main(["report", folder, str(tmp_path / "brief"), "--as-of", "2025-09-10", "--brief"]) == 0
+    out = capsys.readouterr().out
+    active = [r for r in known.license_rows() if known.active(r)]
+    assert f"|{len(known.HOLDERS)} " in out and f"|{len(active)} " in out
+    assert sorted(os.listdir(tmp_path / "brief")) == ["by_type", "totals"]
+    assert main(["--conf", "spark.sql.shuffle.partitions=5", "run", folder, str(tmp_path / "out"),
+                 "--as-of", "2025-09-10", "--by-status", "--include-expired", "--brief"]) == 0
+    out = capsys.readouterr().out
+    assert "by_type_and_product" not in out and "run_counts" in out
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "5"
+    spark.conf.set("spark.sql.shuffle.partitions", "8")

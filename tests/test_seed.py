@@ -1,14 +1,19 @@
-"""Known answers on the small seed database."""
+"""Answers on the small seed database against brute force."""
 
 import datetime as dt
 
 import pytest
+import seed as known
 from pyspark.sql import functions as F
 from seed import AS_OF, NOW, seed_tables
 
 from seatwise.operators import expiry, quality, reports, requests
 from seatwise.plans.jobs import plan_pipeline
 
+ROWS = known.license_rows()
+ACTIVE = [r for r in ROWS if known.active(r)]
+BY_STATUS_ACTIVE = [r for r in ROWS if r[6] == "ACTIVE"]
+
 
 @pytest.fixture(scope="module")
 def seed(spark):
@@ -19,60 +24,61 @@ def values(rows):
     return [tuple(row) for row in rows.collect()]
 
 
+def total(rows):
+    return [(len({r[1] for r in rows}), len(rows))]
+
+
+def test_the_seed_has_the_cases(seed):
+    assert known.DUE > 0 and known.FLAGS_OFF and known.ISSUED > 1
+    assert {r[6] for r in ROWS} == {"ACTIVE", "EXPIRED", "SUSPENDED"}
+    assert any(r[4] == AS_OF for r in ACTIVE)
+
+
 def test_counts_by_status(seed):
-    assert values(reports.counts_by_status(seed.licenses)) == [
-        ("ACTIVE", 27, 28), ("EXPIRED", 5, 5), ("SUSPENDED", 2, 2)]
+    assert values(reports.counts_by_status(seed.licenses)) == known.tally(ROWS, known.status)
 
 
 def test_active_counts(seed):
-    assert values(reports.counts_by_type(seed.licenses, AS_OF)) == [
-        ("Type 1", 5, 5), ("Type 2", 6, 6), ("Type 3", 4, 4)]
-    assert values(reports.totals(seed.licenses, AS_OF)) == [(14, 15)]
+    assert values(reports.counts_by_type(seed.licenses, AS_OF)) == known.tally(ACTIVE, known.kind)
+    assert values(reports.totals(seed.licenses, AS_OF)) == total(ACTIVE)
 
 
 def test_counts_with_expired(seed):
-    assert values(reports.counts_by_type(seed.licenses, AS_OF, include_expired=True)) == [
-        ("Type 1", 8, 8), ("Type 2", 11, 11), ("Type 3", 9, 9)]
-    assert values(reports.totals(seed.licenses, AS_OF, include_expired=True)) == [(27, 28)]
-    assert values(reports.distribution(seed.licenses)) == [
-        ("Type 1", 8, 8), ("Type 2", 11, 11), ("Type 3", 9, 9)]
+    wanted = known.tally(BY_STATUS_ACTIVE, known.kind)
+    assert values(reports.counts_by_type(seed.licenses, AS_OF, include_expired=True)) == wanted
+    assert values(reports.totals(seed.licenses, AS_OF, include_expired=True)) == total(
+        BY_STATUS_ACTIVE)
+    assert values(reports.distribution(seed.licenses)) == wanted
 
 
 def test_counts_by_product(seed):
-    assert values(reports.counts_by_type_and_product(seed.licenses, AS_OF)) == [
-        ("Type 1", "Automation Tools", 1, 1), ("Type 1", "Educational Suite", 1, 1),
-        ("Type 1", "Professional Suite", 3, 3), ("Type 2", "AI Analytics", 1, 1),
-        ("Type 2", "Analytics Pro", 4, 4), ("Type 2", "Data Insights", 1, 1),
-        ("Type 3", "Enterprise Suite", 4, 4)]
+    assert values(reports.counts_by_type_and_product(seed.licenses, AS_OF)) == known.tally(
+        ACTIVE, known.kind, known.product)
 
 
 def test_expiry_breakdown_in_binary_order(seed):
-    assert values(reports.expiry_breakdown(seed.licenses, AS_OF)) == [
-        ("Type 1", "Active", 5, 5), ("Type 1", "EXPIRED", 3, 3), ("Type 1", "Expired", 3, 3),
-        ("Type 1", "SUSPENDED", 1, 1), ("Type 2", "Active", 6, 6), ("Type 2", "EXPIRED", 2, 2),
-        ("Type 2", "Expired", 5, 5), ("Type 2", "SUSPENDED", 1, 1), ("Type 3", "Active", 4, 4),
-        ("Type 3", "Expired", 5, 5)]
+    found = values(reports.expiry_breakdown(seed.licenses, AS_OF))
+    assert found == known.tally(ROWS, known.kind, known.shown)
+    assert {"Expired", "EXPIRED"} <= {row[1] for row in found}
 
 
 def test_expiry_and_drift(seed):
-    assert expiry.licenses_to_expire(seed.licenses, AS_OF).count() == 13
+    assert expiry.licenses_to_expire(seed.licenses, AS_OF).count() == known.DUE
     drift = expiry.flag_drift(seed.users, seed.licenses, AS_OF)
-    assert drift.filter(~F.col("should_be_active")).count() == 13
-    assert drift.filter("should_be_active").count() == 0
+    assert {r.userid for r in drift.collect()} == known.FLAGS_OFF
+    assert drift.filter("should_be_active").isEmpty()
 
 
 def test_requests(seed):
     by_status = seed.requests.groupBy("request_status").count()
-    assert dict(values(by_status)) == {
-        "PENDING": 5, "PROCESSING": 2, "APPROVED": 1, "REJECTED": 1}
+    assert dict(values(by_status)) == known.REQUESTS_BEFORE
     decided = requests.decide(seed.requests, seed.users, seed.licenses, AS_OF)
-    assert values(requests.decision_counts(decided)) == [("APPROVED", 5)]
+    assert values(requests.decision_counts(decided)) == [("APPROVED", known.ISSUED)]
     approved = requests.approved_requests(seed.requests, seed.users, seed.licenses, AS_OF)
-    issued = requests.new_licenses(approved, AS_OF, NOW).orderBy("userid")
-    assert values(issued.select("userid", "expiry_date")) == [
-        ("user019", dt.date(2025, 10, 10)), ("user020", dt.date(2025, 12, 9)),
-        ("user033", dt.date(2025, 10, 10)), ("user037", dt.date(2025, 12, 9)),
-        ("user046", dt.date(2025, 10, 10))]
+    issued = requests.new_licenses(approved, AS_OF, NOW)
+    terms = {"Type 1": 30, "Type 2": 90, "Type 3": 365}
+    assert sorted(values(issued.select("userid", "expiry_date"))) == sorted(
+        (r[1], AS_OF + dt.timedelta(days=terms[r[3]])) for r in known.PENDING)
 
 
 def test_quality(seed):
@@ -84,11 +90,9 @@ def test_quality(seed):
 
 def test_whole_pipeline(seed):
     after = plan_pipeline(seed, AS_OF, NOW).tables
-    assert values(reports.counts_by_status(after.licenses)) == [
-        ("ACTIVE", 19, 20), ("EXPIRED", 18, 18), ("SUSPENDED", 2, 2)]
-    # 14 users held an active license, 5 got one
-    assert after.users.filter("islicenseactive").count() == 19
-    assert dict(values(after.requests.groupBy("request_status").count())) == {
-        "PROCESSING": 2, "APPROVED": 6, "REJECTED": 1}
+    assert values(reports.counts_by_status(after.licenses)) == known.STATUS_AFTER
+    flagged = {r.userid for r in after.users.filter("islicenseactive").collect()}
+    assert flagged == known.HOLDERS | known.NEW_HOLDERS
+    assert dict(values(after.requests.groupBy("request_status").count())) == known.REQUESTS_AFTER
     stamped = after.requests.filter(F.col("processed_at") == F.lit(str(NOW)).cast("timestamp_ntz"))
-    assert stamped.count() == 5
+    assert stamped.count() == known.ISSUED
