@@ -8,34 +8,37 @@ from pyspark.sql import functions as F
 
 from seatwise.llm import bpe, decontamination, near_dedup, quality_rules, suffix_dedup
 from seatwise.llm.common import read, store
+from seatwise.session import temporary_store
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents within the base rule and the fences of their language and source."""
-    keep = store(spark)
-    measured = keep(quality_rules.measure(docs), "measured")
-    judged = keep(quality_rules.judge(docs, measured=measured).select("doc_id", "_key", "kept"),
-                  "judged")
-    return quality_rules.accepted(docs, judged)
+    with temporary_store(spark) as own:
+        judged = quality_rules.judge(docs, measured=own(quality_rules.measure(docs), "measured"))
+        verdicts = store(spark)(judged.select("doc_id", "_key", "kept"), "verdicts")
+    return quality_rules.accepted(docs, verdicts)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each class of near duplicates."""
-    keep = store(spark)
-    return near_dedup.representatives(docs, keep(near_dedup.classes(docs, keep), "classes"))
+    with temporary_store(spark) as own:
+        classes = store(spark)(near_dedup.classes(docs, own), "classes")
+    return near_dedup.representatives(docs, classes)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages of 50 bytes that an earlier one has."""
-    left = suffix_dedup.removed(docs, suffix_dedup.repeated_spans(docs, store(spark)))
-    return left.withColumn("n_chars", F.length("text").cast("long"))
+    with temporary_store(spark) as own:
+        spans = store(spark)(suffix_dedup.repeated_spans(docs, own), "spans")
+    return suffix_dedup.removed(docs, spans).withColumn("n_chars", F.length("text").cast("long"))
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain no benchmark item."""
-    keep = store(spark)
-    found = decontamination.leaks(docs, read(spark, sf_dir, "benchmark"), keep)
-    return decontamination.clean(docs, keep(found, "leaks"))
+    with temporary_store(spark) as own:
+        found = decontamination.leaks(docs, read(spark, sf_dir, "benchmark"), own)
+        listed = store(spark)(found, "leaks")
+    return decontamination.clean(docs, listed)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
