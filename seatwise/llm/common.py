@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from seatwise.session import table_store
 
 #: Bytes of text handled by one numpy pass. Longer single texts make longer passes.
-PART_BYTES = 4 << 20
+PART_BYTES = 1 << 20
 
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -61,12 +61,12 @@ def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def parts(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Cut a batch into runs of rows of about ``PART_BYTES`` of text."""
+def parts(batch: pa.RecordBatch, text: str, size: int = PART_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Cut a batch into runs of rows of about ``size`` bytes of text."""
     data, offsets = utf8(batch.column(text))
     row, rows = 0, batch.num_rows
     while row < rows:
-        end = int(np.searchsorted(offsets, offsets[row] + PART_BYTES, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1
         end = min(max(end, row + 1), rows)
         yield (
             batch.slice(row, end - row),

@@ -26,13 +26,14 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
+from math import lgamma
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatwise.llm.common import parts, ranges, text_bytes
+from seatwise.llm.common import parts, ranges
 
 DEPTH = 5
 NODES = 1 << 15
@@ -130,8 +131,6 @@ def grow(grams: DataFrame) -> Tree:
 
 def weigh(depth: np.ndarray, context: np.ndarray, byte: np.ndarray, n: np.ndarray) -> Tree:
     """The tree from counts of the byte after each context."""
-    from math import lgamma
-
     if not len(depth):
         return Tree(np.zeros((1, 256), np.uint16), np.full((1, 256), 8 * np.log10(0.5), np.float32))
     keys = depth.astype(np.int64) << 40 | context
@@ -148,74 +147,75 @@ def weigh(depth: np.ndarray, context: np.ndarray, byte: np.ndarray, n: np.ndarra
     oldest = name >> (8 * np.maximum(level - 1, 0)) & 255
     child[parent[deep], oldest[deep]] = np.flatnonzero(deep)
 
-    # Zeros and ones of the 255 decisions: node 1 is the first bit, 2i and 2i+1 follow i.
-    total = np.zeros((len(nodes), 512))
-    total[:, 256:] = after
-    for i in range(255, 0, -1):
-        total[:, i] = total[:, 2 * i] + total[:, 2 * i + 1]
-    zeros, ones = total[:, 2:512:2], total[:, 3:512:2]
-    gammas = np.array([lgamma(i + 0.5) for i in range(1024)])
+    # The 255 decisions of a byte have a tree of contexts each; one after the other, so
+    # that only vectors over the nodes are held. Decision i has first the bits of i
+    # behind its leading 1.
+    levels = [np.flatnonzero(level == d) for d in range(DEPTH + 1)]
+    logs = np.zeros((len(nodes), 256), np.float32)
+    for i in range(1, 256):
+        bits = i.bit_length() - 1
+        low, size = (i << (8 - bits)) & 255, 1 << (8 - bits)
+        middle, high = low + size // 2, low + size
+        zeros, ones = after[:, low:middle].sum(axis=1), after[:, middle:high].sum(axis=1)
+        zero = np.clip(_mixed_odds(zeros, ones, parent, levels), 1e-12, 1 - 1e-12)
+        logs[:, low:middle] += np.log10(zero)[:, None].astype(np.float32)
+        logs[:, middle:high] += np.log10(1 - zero)[:, None].astype(np.float32)
+    return Tree(child, logs)
+
+
+_GAMMAS = np.array([lgamma(i + 0.5) for i in range(1024)])
+
+
+def _log_estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    """Log of the Krichevsky-Trofimov probability of so many zeros and ones."""
 
     def log_gamma(x):  # of x + 1/2: a table, and Stirling's series for large counts
         y = x + 0.5
         series = (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y)
-        return np.where(x < 1024, gammas[np.minimum(x, 1023).astype(np.int64)], series)
+        return np.where(x < 1024, _GAMMAS[np.minimum(x, 1023).astype(np.int64)], series)
+
+    y = zeros + ones + 1.0
+    factorial = (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y**3)
+    return (log_gamma(zeros) + log_gamma(ones) - np.log(np.pi)
+            - np.where(y < 2, 0.0, factorial))
 
-    def log_factorial(x):
-        y = x + 1.0
-        series = (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y**3)
-        return np.where(x < 1, 0.0, series)
 
-    estimate = (log_gamma(zeros) + log_gamma(ones) - np.log(np.pi)
-                - log_factorial(zeros + ones))
-    odds = (zeros + 0.5) / (zeros + ones + 1.0)
+def _mixed_odds(zeros: np.ndarray, ones: np.ndarray, parent: np.ndarray, levels: list[np.ndarray],
+                ) -> np.ndarray:
+    """Probability of a zero where the context ends at each node: the mixture over depths."""
+    estimate, odds = _log_estimate(zeros, ones), (zeros + 0.5) / (zeros + ones + 1.0)
     # From the deepest level up: the weighted probability of a node, and what its
     # children coded. Counts whose longer context is not kept belong to a leaf of their
-    # own, which is coded by the node's own estimate of those counts.
-    below, inside = np.zeros_like(estimate), np.zeros_like(zeros)
-    inside_ones = np.zeros_like(ones)
+    # own, which is coded by the estimate of those counts.
+    below, inside, inside_ones = (np.zeros_like(zeros) for _ in range(3))
     share = np.ones_like(estimate)
     for d in range(DEPTH, -1, -1):
-        here = np.flatnonzero(level == d)
-        if d == DEPTH:
-            weighted = estimate[here]
-        else:
-            rest_zeros, rest_ones = zeros[here] - inside[here], ones[here] - inside_ones[here]
-            rest = (log_gamma(rest_zeros) + log_gamma(rest_ones) - np.log(np.pi)
-                    - log_factorial(rest_zeros + rest_ones))
-            split = below[here] + rest
-            weighted = np.logaddexp(estimate[here], split) - np.log(2)
-            share[here] = np.exp(estimate[here] - np.log(2) - weighted)
+        here = levels[d]
+        weighted = estimate[here]
+        if d < DEPTH:
+            rest = _log_estimate(zeros[here] - inside[here], ones[here] - inside_ones[here])
+            own = weighted
+            weighted = np.logaddexp(own, below[here] + rest) - np.log(2)
+            share[here] = np.exp(own - np.log(2) - weighted)
         if d:
-            np.add.at(below, parent[here], weighted)
-            np.add.at(inside, parent[here], zeros[here])
-            np.add.at(inside_ones, parent[here], ones[here])
+            up = parent[here]
+            below += np.bincount(up, weighted, len(zeros))
+            inside += np.bincount(up, zeros[here], len(zeros))
+            inside_ones += np.bincount(up, ones[here], len(zeros))
     # From the root down: the mixture at a node is its own odds and what lies below it.
     # A context that ends at a node for want of a longer one uses the counts left over.
     rest_odds = (zeros - inside + 0.5) / (zeros + ones - inside - inside_ones + 1.0)
-    mixed = np.empty_like(odds)
-    carried, weight = np.zeros_like(odds), np.ones_like(odds)
+    mixed, carried, weight = np.empty_like(odds), np.zeros_like(odds), np.ones_like(odds)
     for d in range(DEPTH + 1):
-        here = np.flatnonzero(level == d)
+        here = levels[d]
         if d:
             up = parent[here]
             carried[here] = carried[up] + weight[up] * share[up] * odds[up]
             weight[here] = weight[up] * (1 - share[up])
-        if d == DEPTH:
-            mixed[here] = carried[here] + weight[here] * odds[here]
-        else:
-            mixed[here] = carried[here] + weight[here] * (
-                share[here] * odds[here] + (1 - share[here]) * rest_odds[here])
-    mixed = np.clip(mixed, 1e-12, 1 - 1e-12)
-    path = np.zeros((len(nodes), 256))
-    log_zero, log_one = np.log10(mixed), np.log10(1 - mixed)
-    for value in range(256):
-        i = 1
-        for bit in range(7, -1, -1):
-            one = value >> bit & 1
-            path[:, value] += (log_one if one else log_zero)[:, i - 1]
-            i = 2 * i + one
-    return Tree(child, path.astype(np.float32))
+        last = odds[here] if d == DEPTH else (
+            share[here] * odds[here] + (1 - share[here]) * rest_odds[here])
+        mixed[here] = carried[here] + weight[here] * last
+    return mixed
 
 
 def word_counts(training: DataFrame, text: str) -> DataFrame:
