@@ -13,8 +13,14 @@ yet in one class:
 
 1. each text with the smallest text of any of its buckets,
 2. each text with the smallest text of each of its buckets,
-3. in buckets that still hold several classes, with a growing share of the bucket's
-   texts, at last with all of them.
+3. in buckets that still hold several classes, with an eighth of the bucket's texts,
+   at last with all of them.
+
+Before step 3, texts leave that cannot be similar to any text of another class: less than
+``SIMILARITY`` of their weight is in shingles that a text of another class also has. In a
+large family of texts that resemble each other somewhat, few are left to be paired. A pair
+whose registers agree in far fewer places (six standard deviations) than at the threshold
+is not compared shingle by shingle.
 
 So a bucket of thousands of near copies costs a few comparisons per text, no bucket is
 cut, and any two texts of a bucket end in one class or have been compared.
@@ -37,11 +43,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seatwise.llm.common import Substrings, mix, parts, ranges, words
+from seatwise.operators.matching import attach
 
 WIDTH = 5
-REGISTERS = 64
-ROWS = 4
+#: 30 bands of 6 registers: of pairs at similarity 0.8, 1 in 10,000 shares no bucket.
+REGISTERS = 180
+ROWS = 6
 SIMILARITY = 0.8
+#: Standard deviations of the number of equal registers by which a pair may fall short of
+#: what its similarity leads to expect, before the exact comparison is left out.
+SLACK = 6.0
 
 Keep = Callable[[DataFrame, str], DataFrame]
 
@@ -105,11 +116,11 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return key
 
 
-_SIGNED = "doc_id bigint, copy_key binary, total bigint, bands array<bigint>"
+_SIGNED = "doc_id bigint, copy_key binary, total bigint, bands array<bigint>, sketch binary"
 
 
 def sign(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, a key that copies share, number of shingles, and the band keys.
+    """doc_id, a key that copies share, number of shingles, band keys, a byte per register.
 
     Texts without shingles are left out.
     """
@@ -121,7 +132,8 @@ def sign(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
                 row, element, weight = weighted_shingles(data, offsets)
                 n = part.num_rows
                 totals = np.bincount(row, weight, n).astype(np.int64)
-                keys = band_keys(signatures(row, element, weight, n))
+                registers = signatures(row, element, weight, n)
+                keys, low = band_keys(registers), (mix(registers) & np.uint64(255)).astype(np.uint8)
                 # Two sums over all (shingle, count) tell different texts apart.
                 one = mix(element + weight.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
                 two = mix(one ^ np.uint64(0xA0761D6478BD642F))
@@ -135,14 +147,18 @@ def sign(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id").take(pa.array(some)),
                     pa.array([c.tobytes() for c in copies], pa.binary()),
-                    pa.array(totals[some]), bands],
-                    ["doc_id", "copy_key", "total", "bands"])
+                    pa.array(totals[some]), bands,
+                    pa.array([x.tobytes() for x in low[some]], pa.binary())],
+                    ["doc_id", "copy_key", "total", "bands", "sketch"])
 
     return rows.filter(F.col("doc_id").isNotNull()).mapInArrow(run, _SIGNED)
 
 
 def shingle_table(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, and the different shingles and their counts as packed arrays."""
+    """doc_id, and the different shingles and their counts as packed arrays.
+
+    No counts stand for a count of one each.
+    """
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
     def run(batches):
@@ -155,16 +171,21 @@ def shingle_table(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"),
                     pa.array([element[a:b].tobytes() for a, b in spans], pa.binary()),
-                    pa.array([weight[a:b].tobytes() for a, b in spans], pa.binary())],
+                    pa.array([weight[a:b].tobytes() if (weight[a:b] > 1).any() else b""
+                              for a, b in spans], pa.binary())],
                     ["doc_id", "shingles", "counts"])
 
     return rows.mapInArrow(run, "doc_id bigint, shingles binary, counts binary")
 
 
+def _counts(packed: bytes, shingles: np.ndarray) -> np.ndarray:
+    return np.frombuffer(packed, np.uint32) if packed else np.ones(len(shingles), np.uint32)
+
+
 def similarity(a: tuple[bytes, bytes], b: tuple[bytes, bytes]) -> float:
     """Weighted Jaccard similarity of two packed rows."""
     left, right = np.frombuffer(a[0], np.uint64), np.frombuffer(b[0], np.uint64)
-    many, more = np.frombuffer(a[1], np.uint32), np.frombuffer(b[1], np.uint32)
+    many, more = _counts(a[1], left), _counts(b[1], right)
     _, i, j = np.intersect1d(left, right, assume_unique=True, return_indices=True)
     low = int(np.minimum(many[i], more[j]).sum())
     high = int(many.sum(dtype=np.int64)) + int(more.sum(dtype=np.int64)) - low
@@ -189,6 +210,56 @@ def verified(pairs: DataFrame, table: DataFrame, least: float) -> DataFrame:
     return joined.select("u", "v", "su", "cu", "sv", "cv").mapInArrow(run, "u bigint, v bigint")
 
 
+def promising(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """The pairs (u, v) whose registers do not rule similarity out."""
+    floor = REGISTERS * least - SLACK * (REGISTERS * least * (1 - least)) ** 0.5
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8)
+                            .reshape(-1, REGISTERS) for i in (2, 3))
+                good = pa.array((one == two).sum(axis=1) >= floor)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).filter(good), batch.column(1).filter(good)], ["u", "v"])
+
+    def side(name: str) -> DataFrame:
+        return sketches.select(F.col("doc_id").alias(name), F.col("sketch").alias(f"s{name}"))
+
+    joined = pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "su", "sv")
+    return joined.mapInArrow(run, "u bigint, v bigint")
+
+
+def linkable(texts: DataFrame, table: DataFrame, least: float) -> DataFrame:
+    """doc_id of the texts (doc_id, label, total) that may be similar to one of another label.
+
+    A similarity of ``least`` takes that share of a text's weight in common shingles.
+    """
+
+    def run(batches):
+        for batch in batches:
+            for low in range(0, batch.num_rows, 500):
+                part = batch.slice(low, 500)
+                shingles = [np.frombuffer(x, np.uint64) for x in part.column(3).to_pylist()]
+                counts = [_counts(c, x) for c, x in
+                          zip(part.column(4).to_pylist(), shingles, strict=True)]
+                sizes = [len(x) for x in shingles]
+                rows = [np.repeat(part.column(i).to_numpy(), sizes) for i in range(3)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.concatenate(shingles).astype(np.int64)),
+                    *map(pa.array, rows), pa.array(np.concatenate(counts).astype(np.int64))],
+                    ["h", "doc_id", "label", "total", "weight"])
+
+    each = texts.join(table, "doc_id").select(
+        "doc_id", "label", "total", "shingles", "counts").mapInArrow(
+        run, "h bigint, doc_id bigint, label bigint, total bigint, weight bigint")
+    shared = each.groupBy("h").agg(F.min("label").alias("_low"), F.max("label").alias("_high"))
+    shared = shared.filter("_low <> _high").select("h", F.lit(True).alias("_shared"))
+    common = attach(each.select("h", "doc_id", "total", "weight"), shared, ["h"]).filter("_shared")
+    return common.groupBy("doc_id", "total").agg(F.sum("weight").alias("_weight")).filter(
+        F.col("_weight") >= F.col("total") * least - 1e-9).select("doc_id")
+
+
 def merge_classes(labels: DataFrame, links: DataFrame, keep: Keep, name: str) -> DataFrame:
     """Labels (doc_id, label) after all links (u, v); a label is the smallest doc_id.
 
@@ -225,10 +296,13 @@ def classes(documents: DataFrame, keep: Keep, doc_id: str = "doc_id", text: str
     """doc_id and class_id (the smallest doc_id of its class) of every document."""
     signed = keep(
         sign(documents, doc_id, text).groupBy("doc_id")
-        .agg(F.max(F.struct("copy_key", "total", "bands")).alias("_s")).select("doc_id", "_s.*"),
+        .agg(F.max(F.struct("copy_key", "total", "bands", "sketch")).alias("_s"))
+        .select("doc_id", "_s.*"),
         "signed")
+    # ``attach`` keeps the join splittable where very many texts are copies of one.
     copies = keep(
-        signed.join(signed.groupBy("copy_key").agg(F.min("doc_id").alias("rep")), "copy_key")
+        attach(signed.select("doc_id", "copy_key"),
+               signed.groupBy("copy_key").agg(F.min("doc_id").alias("rep")), ["copy_key"])
         .select("doc_id", "rep"), "copies")
     firsts = signed.join(copies.filter("doc_id = rep").select("doc_id"), "doc_id", "left_semi")
     members = firsts.select("doc_id", "total", F.explode("bands").alias("bucket"))
@@ -243,8 +317,12 @@ def classes(documents: DataFrame, keep: Keep, doc_id: str = "doc_id", text: str
         .agg(F.max(F.struct("shingles", "counts")).alias("_t")).select("doc_id", "_t.*"), "shingles")
     labels = keep(candidates.select("doc_id", F.col("doc_id").alias("label")), "labels")
 
+    sketches = keep(signed.select("doc_id", "sketch").join(candidates, "doc_id", "left_semi"),
+                    "sketches")
+
     def merged(labels: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
-        found = keep(verified(pairs, table, least), f"{name}-links")
+        likely = keep(promising(pairs, sketches, least), f"{name}-likely")
+        found = keep(verified(likely, table, least), f"{name}-links")
         return merge_classes(labels, found, keep, name)
 
     others = members.filter("doc_id <> center")
@@ -254,14 +332,18 @@ def classes(documents: DataFrame, keep: Keep, doc_id: str = "doc_id", text: str
     labels = merged(labels, apart, "centers")
 
     # Buckets that still hold several classes: compare with 1/8 of their texts, then
-    # 1/4, half and all of them, always only across classes.
-    for share in (8, 4, 2, 1):
-        held = members.join(labels, "doc_id")
-        open_buckets = held.groupBy("bucket").agg(
-            F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low <> _high")
-        held = keep(held.join(open_buckets.select("bucket"), "bucket", "left_semi"), f"open{share}")
+    # with all of them, always only across classes.
+    held = keep(_in_open_buckets(members.join(labels, "doc_id")), "open")
+    for turn in range(2):  # texts that leave may leave others without a partner
+        if not held.isEmpty():
+            texts = held.select("doc_id", "label", "total").distinct()
+            able = keep(linkable(texts, table, least), f"able{turn}")
+            held = keep(_in_open_buckets(held.join(able, "doc_id", "left_semi")), f"left{turn}")
+    for share in (8, 1):
         if held.isEmpty():
             break
+        if share == 1:
+            held = keep(_in_open_buckets(held.drop("label").join(labels, "doc_id")), "last")
         tried = held.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select(
             "bucket", F.col("doc_id").alias("v"), F.col("label").alias("_of_v"),
             F.col("total").alias("_total"))
@@ -278,6 +360,13 @@ def classes(documents: DataFrame, keep: Keep, doc_id: str = "doc_id", text: str
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
+def _in_open_buckets(members: DataFrame) -> DataFrame:
+    """The rows of buckets that hold texts of several labels."""
+    several = members.groupBy("bucket").agg(
+        F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low <> _high")
+    return members.join(several.select("bucket"), "bucket", "left_semi")
+
+
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs whose texts are in different classes."""
     first = labels.select(F.col("doc_id").alias("u"), F.col("label").alias("_a"))
