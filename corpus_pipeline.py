@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seatwise.llm import bpe, decontamination, near_dedup, quality_rules, suffix_dedup
-from seatwise.llm.common import read, store
+from seatwise.llm.common import importable, read, store
 from seatwise.session import temporary_store
 
 
@@ -43,8 +43,9 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document left, and digests that show that they decode to its text."""
+    importable(spark)
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    return bpe.digests(bpe.decode(bpe.encode(docs, ranks, pattern), ranks, pattern))
+    return bpe.digests(bpe.encode(docs, ranks, pattern), ranks)
 
 
 STAGES = [

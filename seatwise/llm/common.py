@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,12 +20,25 @@ _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from the path of the driver's copy.
+
+    Where a cluster does not share that path, the package has to be installed.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    found = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in found.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, (root, found)))
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def store(spark: SparkSession):
     """Write a DataFrame once in the shared folder and read it back."""
+    importable(spark)
     return table_store(spark)
 
 
