@@ -40,9 +40,10 @@ from seatwise.llm.warc import folder_of
 BUCKET_KEYS = 50_000
 #: Keys that share a seed on average, and most entries of a worker's table of words.
 SEED_KEYS = 4
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 
 _MAGIC = b"MPHX"
+_MARKS = ".,;:!?%&$*#|()\""
 _NULL_KEY = -(1 << 63)
 _KEYS = "doc_id bigint, copy bigint, path string, first bigint, n bigint"
 
@@ -51,26 +52,67 @@ class WordIds(dict):
     """Ids, as bytes, of the parts of texts between blanks and line ends.
 
     The tokenizer drops white space and joins nothing across it, so the ids of a text
-    are those of its parts. The table begins anew when it is full.
+    are those of its parts. Nor does it join a letter and the marks in ``_MARKS``, so a
+    part that ends in marks is a word and a run of marks. It lowers letters; a text of
+    Latin-1 characters is lowered as a whole first, so that fewer words differ. When the
+    table is full, further words are encoded where they occur.
     """
 
     def __init__(self, path: str, width: type):
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.width = width
+        super().__init__({"": b""})
+        self.tokenizer, self.width = Tokenizer.from_file(path), width
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _learn(self, words: list[str]) -> None:
+        """Words of letters alone are encoded as one text and told apart by their ends."""
+        plain = [w for w in words if w.isalpha()]
+        ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, self.width)
+        ends = (np.flatnonzero(self.ends_word[ids]) + 1) * ids.itemsize
+        if len(ends) == len(plain):
+            raw, low = ids.tobytes(), 0
+            for word, high in zip(plain, ends.tolist(), strict=True):
+                self[word] = raw[low:high]
+                low = high
+        rest = [w for w in words if w not in self]
+        found = self.tokenizer.encode_batch_fast(rest, add_special_tokens=False)
+        for word, one in zip(rest, found, strict=True):
+            self[word] = np.array(one.ids, self.width).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list(set().union(*split).difference(self))
-        if len(self) + len(new) > CACHED_WORDS:
-            self.clear()
-            new = list(set().union(*split))
-        for word, found in zip(
-                new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self[word] = np.array(found.ids, self.width).tobytes()
-        return [b"".join(map(self.__getitem__, words)) for words in split]
+        split = [_lowered(t).replace("\n", " ").split(" ") for t in texts]
+        full = len(self) >= CACHED_WORDS
+        new = set().union(*split).difference(self)
+        whole, cut = set(), []
+        for word in new:
+            stem = word.rstrip(_MARKS)
+            if stem and len(stem) < len(word) and stem[-1].isalpha():
+                cut.append((word, stem, word[len(stem):]))
+                whole.update(cut[-1][1:])
+            else:
+                whole.add(word)
+        whole = list(whole.difference(self))
+        self._learn(whole)
+        for word, stem, marks in cut:
+            self[word] = self[stem] + self[marks]
+        found = [b"".join(map(self.__getitem__, words)) for words in split]
+        if full:
+            for word in new.union(whole):
+                self.pop(word, None)
+        return found
+
+
+def _lowered(text: str) -> str:
+    if "<|" in text:  # a special token is one only as it is written
+        return text
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
 
 
 @cache
@@ -110,8 +152,8 @@ def write_shards(documents: DataFrame, folder: str, tokenizer_path: str, end_id:
             if out is None and batch.num_rows:
                 where.create_dir(base)
                 out = where.open_output_stream(f"{name}.part", compression=None)
-            for start in range(0, batch.num_rows, 500):
-                part = batch.slice(start, 500)
+            for start in range(0, batch.num_rows, 1_000):
+                part = batch.slice(start, 1_000)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 for key, ids in zip(part.column(0).to_pylist(), encoder.encode(texts), strict=True):
                     copy = copy + 1 if last == (key,) else 0
