@@ -79,7 +79,7 @@ def encode(documents: DataFrame, ranks_path: str, pattern: str, doc_id: str = "d
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                ids = [_ids(encoding, t) for t in part.column(1).to_pylist()]
+                ids = [_ids(encoding, t.as_py()) for t in part.column(1)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
@@ -142,7 +142,7 @@ def _encode_long(long: DataFrame, ranks_path: str, pattern: str, chunk: int, ove
     def together(batches):
         encoding = encoder(ranks_path, pattern)
         for batch in batches:
-            for doc_id, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc_id, found in ((a.as_py(), b.as_py()) for a, b in zip(*batch.columns, strict=True)):
                 if found[0]["text"] is None:
                     ids = b"".join(p["ids"] for p in found)
                 else:
@@ -160,47 +160,51 @@ def _encode_long(long: DataFrame, ranks_path: str, pattern: str, chunk: int, ove
 
 
 @cache
-def _token_bytes(ranks_path: str, pattern: str) -> list[bytes]:
-    encoding = encoder(ranks_path, pattern)
-    return [encoding.decode_single_token_bytes(i) for i in range(encoding.max_token_value + 1)]
+def _token_bytes(ranks_path: str) -> list[bytes]:
+    import base64
+
+    with open(ranks_path, "rb") as lines:
+        ranks = {int(b): base64.b64decode(a) for a, b in map(bytes.split, lines)}
+    return [ranks.get(i, b"") for i in range(max(ranks) + 1)]
+
 
+def _bytes_of(ids: np.ndarray, table: list[bytes]) -> bytes:
+    return b"".join(map(table.__getitem__, ids.tolist()))
 
-def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """doc_id, ids and the decoded bytes of every row of ``encode``."""
 
-    def join_bytes(batches):
-        table = _token_bytes(ranks_path, pattern)
+def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
+    """doc_id and the decoded bytes of every row of ``encode``."""
+
+    def run(batches):
+        table = _token_bytes(ranks_path)
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                data = [b"".join(map(table.__getitem__, np.frombuffer(x, np.uint32).tolist()))
-                        for x in part.column(1).to_pylist()]
+                data = [_bytes_of(np.frombuffer(x.as_py(), np.uint32), table) for x in part.column(1)]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(data, pa.binary())], ["doc_id", "ids", "decoded"])
+                    [part.column(0), pa.array(data, pa.binary())], ["doc_id", "decoded"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(
-        join_bytes, "doc_id bigint, ids binary, decoded binary")
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, decoded binary")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """Number of ids, and hex SHA-256 of the decimal ids and of the decoded bytes."""
+def digests(encoded: DataFrame, ranks_path: str) -> DataFrame:
+    """Number of ids, and hex SHA-256 of the decimal ids and of the bytes that they decode to."""
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()),
                         ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
-    def sums(batches):
-        names: list[str] = []
+    def run(batches):
+        table = _token_bytes(ranks_path)
+        names = [str(i) for i in range(len(table))]
         for batch in batches:
             rows = []
-            for doc_id, raw, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                ids = np.frombuffer(raw, np.uint32)
-                if len(ids) and ids.max() >= len(names):
-                    names = [str(i) for i in range(int(ids.max()) + 1)]
+            for doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids = np.frombuffer(raw.as_py(), np.uint32)
                 text = " ".join(map(names.__getitem__, ids.tolist()))
                 rows.append((doc_id, len(ids), hashlib.sha256(text.encode()).hexdigest(),
-                             hashlib.sha256(data).hexdigest()))
+                             hashlib.sha256(_bytes_of(ids, table)).hexdigest()))
             columns = list(zip(*rows, strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    return decoded.select("doc_id", "ids", "decoded").mapInArrow(
-        sums, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return encoded.select("doc_id", "ids").mapInArrow(
+        run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

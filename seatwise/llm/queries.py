@@ -59,8 +59,7 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     pattern = public_tokenizers.PATTERN
-    encoded = bpe.encode(read(spark, sf_dir, "documents"), ranks, pattern)
-    return bpe.digests(bpe.decode(encoded, ranks, pattern))
+    return bpe.digests(bpe.encode(read(spark, sf_dir, "documents"), ranks, pattern), ranks)
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

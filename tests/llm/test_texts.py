@@ -53,8 +53,7 @@ BPE = ("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 def encoded(frame, **options):
-    ids = bpe.encode(frame, RANKS, tokens.PATTERN, **options)
-    return bpe.digests(bpe.decode(ids, RANKS, tokens.PATTERN))
+    return bpe.digests(bpe.encode(frame, RANKS, tokens.PATTERN, **options), RANKS)
 
 
 def test_bpe(spark, given, oddities, empty):
@@ -62,6 +61,9 @@ def test_bpe(spark, given, oddities, empty):
     rows, frame = oddities
     assert rows_of(encoded(frame), *BPE) == ordered(brute.bpe(rows))
     assert rows_of(encoded(empty), *BPE) == []
+    decoded = bpe.decode(bpe.encode(frame, RANKS, tokens.PATTERN, chunk=64, overlap=16), RANKS)
+    assert rows_of(decoded.withColumn("decoded", F.col("decoded").cast("string")),
+                   "doc_id", "decoded") == ordered((d, t or "") for d, t in rows)
 
 
 @pytest.mark.parametrize(("chunk", "overlap"), [(50, 20), (7, 3), (40, 1), (5, 5)])
