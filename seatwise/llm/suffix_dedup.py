@@ -31,6 +31,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +42,8 @@ LEAST = 50
 ANCHOR = 16
 #: Bytes of text whose pairs one task sorts.
 TASK_BYTES = 24 << 20
+#: Bytes of text within which repeats are dropped before pairs are moved.
+BLOCK_BYTES = 4 << 20
 
 Keep = Callable[[DataFrame, str], DataFrame]
 
@@ -212,6 +215,30 @@ def _rows(doc: np.ndarray, spans: tuple, edges: tuple) -> Iterator[pa.RecordBatc
              *(x.slice(low, 5_000) for x in out)], ["doc_id", "text_key", "spans", "open"])
 
 
+def _deal(names: np.ndarray, spans: tuple, edges: tuple, blocks: int) -> Iterator[pa.RecordBatch]:
+    """Spans and open runs of many documents, to be gathered by document."""
+    for (doc, a, b), done in ((spans, True), (edges, False)):
+        yield from _pack(names["text"][doc].astype(np.int64) % blocks, doc, names,
+                         [a.astype("<u4"), b.astype("<u4")], done)
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document from the blocks of a task."""
+    held: dict[bool, list[tuple[list, list]]] = {True: [], False: []}
+    for batch in batches:
+        done = batch.column("done")
+        for flag, mask in ((True, done), (False, pc.invert(done))):
+            some = batch.filter(mask)
+            held[flag].append((some.column("docs").to_pylist(), some.column("data").to_pylist()))
+    found = {flag: _unpack([x for docs, _ in blocks for x in docs],
+                           [x for _, data in blocks for x in data], ["<u4", "<u4"])
+             for flag, blocks in held.items()}
+    names, number = _number(np.concatenate([found[True][0], found[False][0]]))
+    split = len(found[True][0])
+    spans = _merged(number[:split], *(x.astype(np.int64) for x in found[True][1]))
+    yield from _rows(names, spans, (number[split:], *found[False][1]))
+
+
 def _number(docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different documents, and the number of each row's among them."""
     keys = np.stack([docs["id"], docs["text"].astype(np.int64)], axis=1)
@@ -253,14 +280,14 @@ def _unpacked(batch: pa.RecordBatch) -> pa.RecordBatch:
     return batch.set_column(at, "text", plain)
 
 
-def _first_rounds(rows: DataFrame, buckets: int, least: int) -> DataFrame:
+def _first_rounds(rows: DataFrame, buckets: int, blocks: int, least: int) -> DataFrame:
     """Rounds 1 and 2: repeats for certain, and runs that need round 3."""
     kinds = ["<u4", "<u8", "<u4", "u1", "u1", "u1", "u1"]
     half = (least - ANCHOR) // 2
 
     def anchors(batches):
         for batch in batches:
-            for part, data, offsets in parts(batch, "text"):
+            for part, data, offsets in parts(batch, "text", BLOCK_BYTES):
                 docs = _docs_of(part)
                 found = runs(data, offsets, least)
                 doc, start, count = found["doc"], found["start"], found["count"]
@@ -289,8 +316,8 @@ def _first_rounds(rows: DataFrame, buckets: int, least: int) -> DataFrame:
                                          other.column("data").to_pylist(), ["<u4", "<u4"])
             names, number = _number(docs)
             none = np.zeros(0, np.int64)
-            yield from _rows(names, (number, start, end), (none, none, none))
-            held.append(batch.filter(pa.compute.invert(done)))
+            yield from _deal(names, (number, start, end), (none, none, none), blocks)
+            held.append(batch.filter(pc.invert(done)))
         docs, columns = _unpack([x for b in held for x in b.column("docs").to_pylist()],
                                 [x for b in held for x in b.column("data").to_pylist()], kinds)
         held.clear()
@@ -323,26 +350,27 @@ def _first_rounds(rows: DataFrame, buckets: int, least: int) -> DataFrame:
         some = (near | far) & (highs > lows)
         edge = np.flatnonzero(first)[some]
         names, number = _number(docs)
-        yield from _rows(
+        yield from _deal(
             names, (number[later], begin[later], begin[later] + count[later] + least - 1),
-            (number[edge], lows[some], (highs - lows)[some]))
+            (number[edge], lows[some], (highs - lows)[some]), blocks)
 
     return (
         rows.select("doc_id", "text_key", "text").mapInArrow(anchors, _BLOCK)
-        .repartition(buckets, "bucket").mapInArrow(sort, _FOUND)
+        .repartition(buckets, "bucket").mapInArrow(sort, _BLOCK)
+        .repartition(blocks, "bucket").mapInArrow(_gather, _FOUND)
     )
 
 
-def _last_round(rows: DataFrame, open_runs: DataFrame, buckets: int, least: int) -> DataFrame:
+def _last_round(rows: DataFrame, open_runs: DataFrame, buckets: int, blocks: int, least: int,
+                ) -> DataFrame:
     """Round 3: the strings of open runs; ``open_runs`` has doc_id, text_key and ``open``."""
     kinds = ["<u8", "<u4"]
 
     def strings(batches):
         for batch in batches:
-            for part, data, offsets in parts(_unpacked(batch), "text"):
+            for part, data, offsets in parts(_unpacked(batch), "text", BLOCK_BYTES):
                 docs, sums = _docs_of(part), Substrings(data)
-                pairs = [np.frombuffer(b"".join(x), "<u4").reshape(-1, 2).astype(np.int64)
-                         for x in part.column("open").to_pylist()]
+                pairs = [np.frombuffer(x, "<u4").reshape(-1, 2).astype(np.int64) for x in part.column("open").to_pylist()]
                 doc = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs])
                 start, count = np.concatenate(pairs).T if pairs else np.zeros((2, 0), np.int64)
                 doc, start = np.repeat(doc, count), np.repeat(start, count) + ranges(count)
@@ -367,8 +395,8 @@ def _last_round(rows: DataFrame, open_runs: DataFrame, buckets: int, least: int)
             docs, (start, end) = _unpack(other.column("docs").to_pylist(),
                                          other.column("data").to_pylist(), ["<u4", "<u4"])
             names, number = _number(docs)
-            yield from _rows(names, (number, start, end), (none, none, none))
-            held.append(batch.filter(pa.compute.invert(done)))
+            yield from _deal(names, (number, start, end), (none, none, none), blocks)
+            held.append(batch.filter(pc.invert(done)))
         docs, (rank, start) = _unpack([x for b in held for x in b.column("docs").to_pylist()],
                                       [x for b in held for x in b.column("data").to_pylist()], kinds)
         held.clear()
@@ -376,12 +404,13 @@ def _last_round(rows: DataFrame, open_runs: DataFrame, buckets: int, least: int)
         later = order[docs["id"][order] > smallest[group]]
         names, number = _number(docs[later])
         begin = start[later].astype(np.int64)
-        yield from _rows(names, _merged(number, begin, begin + least), (none, none, none))
+        yield from _deal(names, _merged(number, begin, begin + least), (none, none, none), blocks)
 
-    listed = open_runs.groupBy("doc_id", "text_key").agg(F.collect_list("open").alias("open"))
     return (
-        _packed(rows.select("doc_id", "text_key", "text")).join(listed, ["doc_id", "text_key"])
-        .mapInArrow(strings, _BLOCK).repartition(buckets, "bucket").mapInArrow(sort, _FOUND)
+        _packed(rows.select("doc_id", "text_key", "text")).join(open_runs, ["doc_id", "text_key"])
+        .mapInArrow(strings, _BLOCK)
+        .repartition(buckets, "bucket").mapInArrow(sort, _BLOCK)
+        .repartition(blocks, "bucket").mapInArrow(_gather, _FOUND)
     )
 
 
@@ -389,16 +418,17 @@ def repeated_spans(documents: DataFrame, keep: Keep, doc_id: str = "doc_id", tex
                    least: int = LEAST) -> DataFrame:
     """doc_id, text_key and ``spans``: packed (start, end) of bytes to remove, in any order.
 
-    A document may have several rows, and its spans may overlap.
+    A document may have two rows, and its spans may overlap.
     """
     if least < 2 * ANCHOR or least - ANCHOR + 1 > 255:
         raise ValueError(f"strings of {2 * ANCHOR} to {ANCHOR + 254} bytes only")
     rows = keyed(documents, doc_id, text)
     size = text_bytes(rows)
     buckets = max(12, -(-size // TASK_BYTES))
-    found = keep(_first_rounds(rows, buckets, least), "rounds12")
+    blocks = 4 * buckets
+    found = keep(_first_rounds(rows, buckets, blocks, least), "rounds12")
     open_runs = found.filter(F.octet_length("open") > 0).select("doc_id", "text_key", "open")
-    strings = keep(_last_round(rows, open_runs, buckets, least), "round3")
+    strings = keep(_last_round(rows, open_runs, buckets, blocks, least), "round3")
     return found.unionByName(strings).filter(F.octet_length("spans") > 0).select(
         "doc_id", "text_key", "spans")
 
