@@ -43,7 +43,7 @@ ANCHOR = 16
 #: Bytes of text whose pairs one task sorts.
 TASK_BYTES = 24 << 20
 #: Bytes of text within which repeats are dropped before pairs are moved.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 Keep = Callable[[DataFrame, str], DataFrame]
 
