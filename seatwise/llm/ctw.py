@@ -6,11 +6,13 @@ and the mixture of its children weigh by how well each coded the training texts.
 product over the bits is the probability of the byte, so a text's score is its code
 length.
 
-The tree keeps the ``NODES`` most frequent contexts of the training texts (a context is
-never rarer than a longer one that ends with it, so the tree has no gaps); deeper
-contexts stop at their longest kept end. The model is thus of a fixed size whatever the
-corpus, and is what the driver holds and every task gets. The counts behind it are
-grams of all training bytes, summed by Spark.
+The tree has every context of the training texts, however many. Its counts are a table,
+weighted from the longest contexts up and mixed from the root down in subtrees and, above
+those, by one ``groupBy`` and one join a depth; neither the driver nor a worker holds it. The grams of texts
+that are only scored are in it with a count of 0, which changes no estimate: a context
+never seen gives even odds. Texts are dealt into blocks of ``BLOCK`` bytes; the different
+grams of a block are joined with their log probabilities and meet the block's texts in
+one task, which so holds no more grams than the block has bytes.
 
 The base score needs the count of every word. The ``FREQUENT`` most frequent words, a
 fixed number, go to every task; all other words of a text are joined with the counts.
@@ -30,18 +32,26 @@ from math import lgamma
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatwise.llm.common import parts, ranges
+from seatwise.llm.common import partitions_for, parts, ranges, text_bytes
 
 DEPTH = 5
-NODES = 1 << 15
+#: Bytes of text whose different grams are looked up together.
+BLOCK = 24 << 20
+#: Bytes of a context whose subtree of longer contexts is weighed in one task: at most
+#: 256 to the power of DEPTH - CUT contexts, whatever the input.
+CUT = 3
 FREQUENT = 1 << 18
 #: Ends a text; no byte of UTF-8.
 END = 0xFF
 #: Different words that a task counts before it hands them on.
 HELD_WORDS = 300_000
+#: Grams that a task gathers at least before it merges equal ones.
+HELD_GRAMS = 500_000
 
 Keep = Callable[[DataFrame, str], DataFrame]
 
@@ -64,24 +74,220 @@ def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out, at, np.append(offsets[:-1] + np.arange(n), len(at))
 
 
-def gram_counts(training: DataFrame, text: str) -> DataFrame:
-    """gram, n: how often each ``DEPTH`` bytes and the byte after them occur."""
+def grams_at(seen: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Each place's byte and the ``DEPTH`` bytes before it, as one number, the byte lowest."""
+    gram = np.zeros(len(at), np.uint64)
+    for back in range(DEPTH, -1, -1):
+        gram = gram << np.uint64(8) | seen[at - back]
+    return gram
+
+
+def blocks(rows: DataFrame) -> DataFrame:
+    """_row, block, doc_id, held_out, text: rows one after the other in blocks of ``BLOCK`` bytes."""
+
+    def run(batches):
+        first, before = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            ends = before + np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(
+                zero_copy_only=False).astype(np.int64))
+            starts = np.append(before, ends[:-1])
+            before = int(ends[-1]) if len(ends) else before
+            whole = pa.RecordBatch.from_arrays(
+                [batch.column("_row"), pa.array(first + starts // BLOCK),
+                 *(batch.column(c) for c in ("doc_id", "held_out", "text"))],
+                ["_row", "block", "doc_id", "held_out", "text"])
+            yield from (part for part, _, _ in parts(whole, "text"))
+
+    return rows.select(F.monotonically_increasing_id().alias("_row"), "*").mapInArrow(
+        run, "_row bigint, block bigint, doc_id bigint, held_out boolean, text string")
+
+
+def _runs(values: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.append(True, values[1:] != values[:-1])) if len(values) else values[:0]
+
+
+def block_grams(dealt: DataFrame) -> DataFrame:
+    """block, gram, n: the different grams of each block, and how often training texts have them.
+
+    A block that two tasks read has its common grams twice.
+    """
 
     def count(batches):
+        block, grams, counts = None, [], []
+
+        def merge():
+            gram, n = np.concatenate(grams), np.concatenate(counts)
+            order = np.argsort(gram, kind="stable")
+            gram, n = gram[order], n[order]
+            first = _runs(gram)
+            grams[:], counts[:] = [gram[first]], [np.add.reduceat(n, first)]
+
+        def flush():
+            merge()
+            gram, n = grams.pop(), counts.pop()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(gram), block)), pa.array(gram.astype(np.int64)), pa.array(n)],
+                ["block", "gram", "n"])
+
         for batch in batches:
-            for _, data, offsets in parts(batch, "text"):
-                seen, at, _ = symbols(data, offsets)
-                gram = np.zeros(len(at), np.uint64)
-                for back in range(DEPTH, -1, -1):
-                    gram = gram << np.uint64(8) | seen[at - back]
-                gram.sort()
-                first = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(gram[first].astype(np.int64)),
-                     pa.array(np.diff(np.append(first, len(gram))))], ["gram", "n"])
+            for low, high, number in _stretches(batch.column("block").to_numpy()):
+                if number != block and grams:
+                    yield flush()
+                block = number
+                for part, data, offsets in parts(batch.slice(low, high - low), "text"):
+                    seen, at, begins = symbols(data, offsets)
+                    # The lowest bit tells held out places, which count 0.
+                    held = part.column("held_out").to_numpy(zero_copy_only=False).astype(np.uint64)
+                    key = grams_at(seen, at) << np.uint64(1) | np.repeat(held, np.diff(begins))
+                    key.sort()
+                    first = _runs(key)
+                    n = np.diff(np.append(first, len(key)))
+                    key = key[first]
+                    n[(key & np.uint64(1)).astype(bool)] = 0
+                    grams.append(key >> np.uint64(1))
+                    counts.append(n)
+                    if sum(map(len, grams[1:])) > max(HELD_GRAMS, len(grams[0])):
+                        merge()
+        if grams:
+            yield flush()
 
-    rows = training.select(F.col(text).alias("text"))
-    return rows.mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+    return dealt.select("block", "held_out", "text").mapInArrow(
+        count, "block bigint, gram bigint, n bigint")
+
+
+def _stretches(values: np.ndarray):
+    """Begin, end and value of each run of equal values."""
+    first = _runs(values)
+    for low, high in zip(first.tolist(), [*first[1:].tolist(), len(values)], strict=True):
+        yield low, high, int(values[low])
+
+
+def _raised(gram: np.ndarray, n: np.ndarray) -> tuple[list[tuple], np.ndarray, np.ndarray]:
+    """The levels from ``DEPTH`` up to ``CUT`` of whole subtrees, weighted.
+
+    A level: keys, zeros, ones, log of the whole probability, share of the node's own
+    estimate, and the place of each key of the level below. Then the place in the deepest
+    level of each gram's eight decisions, and whether each decided for one.
+    """
+    byte = gram & 255
+    rows = [(gram >> 8 << 8) + (1 << b) + (byte >> (8 - b)) for b in range(8)]
+    bit = np.stack([byte >> (7 - b) & 1 for b in range(8)], 1).astype(bool)
+    keys, place = np.unique(np.stack(rows, 1), return_inverse=True)
+    place = place.reshape(bit.shape)
+    times = np.repeat(n.astype(np.float64), 8)
+    ones = np.bincount(place.ravel(), times * bit.ravel(), len(keys))
+    zeros = np.bincount(place.ravel(), times, len(keys)) - ones
+    whole = _log_estimate(zeros, ones)
+    levels = [(keys, zeros, ones, whole, np.ones(len(keys)), None)]
+    for depth in range(DEPTH - 1, CUT - 1, -1):
+        keys, up = np.unique(keys & ((1 << 8 * (depth + 1)) - 1), return_inverse=True)
+        zeros, ones, below = (np.bincount(up, x, len(keys)) for x in (zeros, ones, whole))
+        own = _log_estimate(zeros, ones)
+        whole = np.logaddexp(own, below) - np.log(2)
+        levels.append((keys, zeros, ones, whole, np.exp(own - np.log(2) - whole), up))
+    return levels, place, bit
+
+
+def _subtrees(batches, name: str):
+    """Whole subtrees of rows sorted by ``name``, many at once."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        subtree = batch.column(name).to_numpy()
+        last = int(np.searchsorted(subtree, subtree[-1])) if len(subtree) else 0
+        if held and len(subtree) and held[-1].column(name)[-1].as_py() != subtree[0] and last == 0:
+            yield pa.Table.from_batches(held)
+            held = []
+        if last:
+            yield pa.Table.from_batches([*held, batch.slice(0, last)])
+            held = []
+        held.append(batch.slice(last))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _own() -> Column:
+    """Log of the Krichevsky-Trofimov probability of ``zeros`` and ``ones``."""
+
+    def log_gamma(x: Column) -> Column:  # Stirling's series from x + 8 on, and the steps down
+        y, steps = x + 8, x
+        for i in range(1, 8):
+            steps = steps * (x + i)
+        return ((y - 0.5) * F.log(y) - y + 0.5 * float(np.log(2 * np.pi)) + 1 / (12 * y)
+                - 1 / (360 * y * y * y) + 1 / (1260 * y * y * y * y * y) - F.log(steps))
+
+    return F.when(F.col("zeros") + F.col("ones") > 0, (
+        log_gamma(F.col("zeros") + 0.5) + log_gamma(F.col("ones") + 0.5) - float(np.log(np.pi))
+        - log_gamma(F.col("zeros") + F.col("ones") + 1.0))).otherwise(0.0)
+
+
+def log_probabilities(grams: DataFrame, keep: Keep) -> DataFrame:
+    """gram, log: log10 of the probability of each gram's byte after its context.
+
+    Row of a level: a context of that depth with one of the 255 decisions of a byte, as
+    ``key``. Decision i is the lowest byte of the key and has the bits of i behind its
+    leading 1; the oldest byte of the context is the highest. What lies below a context of
+    ``CUT`` bytes is a subtree, which one task weighs and later mixes; above, each depth
+    is a ``groupBy`` on the way up and a join on the way down.
+    """
+    subtree = F.expr(f"shiftright(gram, 8) & {(1 << 8 * CUT) - 1}").alias("subtree")
+    dealt = grams.select(subtree, "gram", "n")
+
+    def up(batches):
+        for table in _subtrees(batches, "subtree"):
+            gram, n = (table.column(c).to_numpy() for c in ("gram", "n"))
+            keys, zeros, ones, whole, _, _ = _raised(gram, n)[0][-1]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (keys, zeros, ones, whole)],
+                                             ["key", "zeros", "ones", "whole"])
+
+    level = keep(dealt.repartition("subtree").sortWithinPartitions("subtree").mapInArrow(
+        up, "key bigint, zeros double, ones double, whole double"), f"level-{CUT}")
+    log2, levels = float(np.log(2)), [level]
+    for depth in range(CUT - 1, -1, -1):
+        sums = level.groupBy(F.col("key").bitwiseAND((1 << 8 * (depth + 1)) - 1).alias("key")).agg(
+            F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("whole").alias("below"))
+        own, below = F.col("own"), F.col("below")
+        whole = F.greatest(own, below) + F.log1p(F.exp(-F.abs(own - below))) - log2
+        level = keep(sums.withColumn("own", _own()).withColumn("whole", whole).select(
+            "key", "zeros", "ones", "whole", F.exp(own - log2 - F.col("whole")).alias("share")),
+            f"level-{depth}")
+        levels.append(level)
+    odds = (F.col("zeros") + 0.5) / (F.col("zeros") + F.col("ones") + 1.0)
+    above = levels.pop().select("key", (F.col("share") * odds).alias("carried"),
+                                (1 - F.col("share")).alias("weight"))
+    for depth in range(1, CUT):
+        parent = F.col("key").bitwiseAND((1 << 8 * depth) - 1).alias("up")
+        above = levels.pop().select(parent, "key", odds.alias("odds"), "share").join(
+            above.withColumnRenamed("key", "up"), "up").select(
+            "key", (F.col("carried") + F.col("weight") * F.col("share") * F.col("odds")).alias("carried"),
+            (F.col("weight") * (1 - F.col("share"))).alias("weight"))
+    parent = F.col("key").bitwiseAND((1 << 8 * CUT) - 1).alias("up")
+    entry = levels.pop().select(parent, "key").join(above.withColumnRenamed("key", "up"), "up").select(
+        F.shiftright("key", 8).alias("subtree"), "key", "carried", "weight")
+
+    def down(batches):
+        for table in _subtrees(batches, "subtree"):
+            is_gram = table.column("gram").is_valid().to_numpy()
+            gram, n = (table.column(c).to_numpy()[is_gram].astype(np.int64) for c in ("gram", "n"))
+            key, carried, weight = (table.column(c).to_numpy()[~is_gram]
+                                    for c in ("key", "carried", "weight"))
+            levels, place, bit = _raised(gram, n)
+            order = np.argsort(key)  # the same keys as those of the level at CUT
+            carried, weight = carried[order], weight[order]
+            for depth in range(CUT, DEPTH + 1):
+                _, zeros, ones, _, share, _ = levels[DEPTH - depth]
+                if depth > CUT:
+                    above = levels[DEPTH - depth + 1][5]
+                    carried, weight = carried[above], weight[above]
+                carried = carried + weight * share * (zeros + 0.5) / (zeros + ones + 1.0)
+                weight = weight * (1 - share)
+            zero = np.clip(carried, 1e-12, 1 - 1e-12)
+            logs = np.where(bit, np.log10(1 - zero)[place], np.log10(zero)[place]).sum(axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(gram), pa.array(logs.astype(np.float32))],
+                                             ["gram", "log"])
+
+    return dealt.unionByName(entry, allowMissingColumns=True).repartition("subtree").sortWithinPartitions(
+        "subtree").mapInArrow(down, "gram bigint, log float")
 
 
 @dataclass
@@ -110,27 +316,11 @@ class Tree:
         return out
 
 
-def grow(grams: DataFrame) -> Tree:
-    """The tree of the most frequent contexts, weighted by what they coded.
+def weigh(depth: np.ndarray, context: np.ndarray, byte: np.ndarray, n: np.ndarray) -> Tree:
+    """The tree from counts of the byte after each context, in one process.
 
-    The driver gets at most ``NODES`` contexts and 256 counts of each.
+    The plain form of ``log_probabilities``, against which tests hold it.
     """
-    levels = F.array(*(F.struct(
-        F.lit(d).alias("depth"),
-        F.expr(f"shiftright(gram, 8) & {(1 << 8 * d) - 1}").alias("context"),
-    ) for d in range(DEPTH + 1)))
-    rows = grams.select(F.explode(levels).alias("c"),
-                        F.expr("cast(gram & 255 as int)").alias("byte"), "n").select("c.*", "byte", "n")
-    sums = rows.groupBy("depth", "context", "byte").agg(F.sum("n").alias("n"))
-    contexts = sums.groupBy("depth", "context").agg(F.sum("n").alias("n"))
-    kept = contexts.orderBy(F.desc("n"), "depth", "context").limit(NODES).select("depth", "context")
-    found = sums.join(kept, ["depth", "context"]).select("depth", "context", "byte", "n").toArrow()
-    depth, context, byte, n = (c.to_numpy() for c in found.columns)
-    return weigh(depth, context, byte, n)
-
-
-def weigh(depth: np.ndarray, context: np.ndarray, byte: np.ndarray, n: np.ndarray) -> Tree:
-    """The tree from counts of the byte after each context."""
     if not len(depth):
         return Tree(np.zeros((1, 256), np.uint16), np.full((1, 256), 8 * np.log10(0.5), np.float32))
     keys = depth.astype(np.int64) << 40 | context
@@ -256,8 +446,11 @@ def score(documents: DataFrame, held_out: Column, keep: Keep, doc_id: str = "doc
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"),
                             F.coalesce(held_out, F.lit(False)).alias("held_out"),
                             F.col(text).alias("text"))
-    training = rows.filter(~F.col("held_out"))
-    tree = grow(keep(gram_counts(training, "text"), "grams"))
+    dealt = keep(blocks(rows), "dealt")
+    training = dealt.filter(~F.col("held_out"))
+    pairs = keep(block_grams(dealt), "pairs")
+    grams = keep(pairs.groupBy("gram").agg(F.sum("n").alias("n")), "grams")
+    logs = keep(log_probabilities(grams, keep), "logs")
     counts = keep(word_counts(training, "text"), "words")
     ends = training.count()
     sums = counts.agg(F.sum("n").alias("n"), F.count("word").alias("v")).first()
@@ -268,36 +461,57 @@ def score(documents: DataFrame, held_out: Column, keep: Keep, doc_id: str = "doc
     table = (b"\n".join(frequent.column("word").to_pylist()),
              np.log10(frequent.column("n").to_numpy() + 1.0).astype(np.float64).tobytes())
     end_log = float(np.log10(ends + 1.0))
-    shared = documents.sparkSession.sparkContext.broadcast((tree, table))
+    shared = documents.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
-        tree, (names, logs) = shared.value
+        names, logs = shared.value
         logs = dict(zip(names.split(b"\n"), np.frombuffer(logs).tolist(), strict=True)) if logs else {}
+        # The grams of a block come before its texts.
+        held, known, chances, block = [], None, None, None
         for batch in batches:
-            for part, data, offsets in parts(batch, "text"):
-                seen, at, begins = symbols(data, offsets)
-                lm = np.add.reduceat(tree.score(seen, at).astype(np.float64), begins[:-1])
-                raw = data.tobytes()
-                out: list[list] = [[], [], [], []]
-                for low, high in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-                    words = raw[low:high].lower().split()
-                    found = [logs.get(w) for w in words]
-                    rare = Counter(w for w, x in zip(words, found, strict=True) if x is None)
-                    known = [x for x in found if x is not None]
-                    out[0].append(len(words) + 1)
-                    out[1].append(len(known) + (ends > 0))
-                    out[2].append(sum(known) + end_log - (len(words) + 1) * whole)
-                    out[3].append([{"word": w, "times": t} for w, t in sorted(rare.items())])
-                yield pa.RecordBatch.from_arrays([
-                    *(part.column(c) for c in ("_row", "doc_id", "held_out")),
-                    pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
-                    pa.array(out[2], pa.float64()), pa.array(lm),
-                    pa.array(out[3], pa.list_(pa.struct([("word", pa.binary()),
-                                                         ("times", pa.int64())])))],
-                    ["_row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
-
-    partial = keep(rows.select(F.monotonically_increasing_id().alias("_row"), "*")
-                   .mapInArrow(run, _PARTIAL), "partial")
+            for low, high, number in _stretches(batch.column("block").to_numpy()):
+                if number != block:
+                    held, known, block = [], None, number
+                stretch = batch.slice(low, high - low)
+                first = int(np.count_nonzero(~stretch.column("is_text").to_numpy(zero_copy_only=False)))
+                if first:
+                    held.append([stretch.column(c).slice(0, first).to_numpy() for c in ("gram", "log")])
+                if first == high - low:
+                    continue
+                if known is None:
+                    known, chances = (np.concatenate(c) for c in zip(*held, strict=True))
+                    order = np.argsort(known)
+                    known, chances, held = known[order], chances[order], []
+                for part, data, offsets in parts(stretch.slice(first), "text"):
+                    yield score_part(part, data, offsets, known, chances, logs)
+
+    def score_part(part, data, offsets, known, chances, logs):
+        seen, at, begins = symbols(data, offsets)
+        places = np.searchsorted(known, grams_at(seen, at).astype(np.int64))
+        lm = np.add.reduceat(chances[places].astype(np.float64), begins[:-1])
+        raw = data.tobytes()
+        out: list[list] = [[], [], [], []]
+        for low, high in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+            words = raw[low:high].lower().split()
+            found = [logs.get(w) for w in words]
+            rare = Counter(w for w, x in zip(words, found, strict=True) if x is None)
+            common = [x for x in found if x is not None]
+            out[0].append(len(words) + 1)
+            out[1].append(len(common) + (ends > 0))
+            out[2].append(sum(common) + end_log - (len(words) + 1) * whole)
+            out[3].append([{"word": w, "times": t} for w, t in sorted(rare.items())])
+        return pa.RecordBatch.from_arrays([
+            *(part.column(c) for c in ("_row", "doc_id", "held_out")),
+            pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()),
+            pa.array(out[2], pa.float64()), pa.array(lm),
+            pa.array(out[3], pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())])))],
+            ["_row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
+
+    texts = dealt.withColumn("is_text", F.lit(True))
+    chances = pairs.select("block", "gram").join(logs, "gram").withColumn("is_text", F.lit(False))
+    parted = texts.unionByName(chances, allowMissingColumns=True).repartition(
+        partitions_for(documents.sparkSession, text_bytes(dealt), BLOCK), "block")
+    partial = keep(parted.sortWithinPartitions("block", "is_text").mapInArrow(run, _PARTIAL), "partial")
     rare = partial.select("_row", F.explode("rare").alias("r")).select("_row", "r.*")
     joined = rare.join(counts, "word").select(
         "_row", "times", (F.col("times") * F.log10(F.col("n") + 1.0)).alias("logs"))

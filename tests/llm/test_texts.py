@@ -334,6 +334,32 @@ def test_context_tree_is_a_weighted_mixture():
     assert np.isclose(found, wanted, rtol=1e-5)
 
 
+def test_context_tree_is_whole(spark):
+    """More contexts than fit a fixed size; texts held out have contexts never seen."""
+    rng = np.random.default_rng(3)
+    letters = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz .,", np.uint8)
+    rows = [(i, rng.choice(letters, 400).tobytes().decode()) for i in range(80)]
+    rows += [(100, None), (101, ""), (None, rows[0][1]), rows[1]]
+    nodes = {}
+    for doc_id, text in rows:
+        if doc_id is None or not brute.held(doc_id, 7):
+            seen = b"\xff" * ctw.DEPTH + (text or "").encode() + b"\xff"
+            for at in range(ctw.DEPTH, len(seen)):
+                for d in range(ctw.DEPTH + 1):
+                    key = (d, int.from_bytes(seen[at - d:at], "big"), seen[at])
+                    nodes[key] = nodes.get(key, 0) + 1
+    assert len({k[:2] for k in nodes}) > 1 << 15
+    tree = ctw.weigh(*np.array(list(nodes)).T, np.array(list(nodes.values())))
+    wanted = []
+    for doc_id, text in rows:
+        data = np.frombuffer((text or "").encode(), np.uint8)
+        seen, at, _ = ctw.symbols(data, np.array([0, len(data)]))
+        wanted.append((doc_id, float(tree.score(seen, at).astype(float).sum())))
+    found = rows_of(scored(odd.frame(spark, rows)), "doc_id", "score")
+    assert [d for d, _ in found] == [d for d, _ in ordered(wanted)]
+    assert np.allclose([x for _, x in found], [x for _, x in ordered(wanted)], rtol=1e-5)
+
+
 def test_lm_gives_probabilities_and_learns(spark):
     found = queries.op8_lm_scoring(spark, "/root/testdata/sf0.01").filter("held_out").join(
         spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), "doc_id")
