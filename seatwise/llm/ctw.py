@@ -14,8 +14,8 @@ never seen gives even odds. Texts are dealt into blocks of ``BLOCK`` bytes; the
 grams of a block are joined with their log probabilities and meet the block's texts in
 one task, which so holds no more grams than the block has bytes.
 
-The base score needs the count of every word. The ``FREQUENT`` most frequent words, a
-fixed number, go to every task; all other words of a text are joined with the counts.
+The base score needs the count of every word. The ``FREQUENT`` most frequent words of
+at most ``SENT_BYTES`` bytes go to every task; all other words are joined with the counts.
 
 Defined results: a null text is empty: it has the end token and the end symbol. Nothing
 to learn from gives even odds for every bit, and base log10(1 / 1) for an empty V and N.
@@ -46,6 +46,8 @@ BLOCK = 24 << 20
 #: 256 to the power of DEPTH - CUT contexts, whatever the input.
 CUT = 3
 FREQUENT = 1 << 18
+#: Longer words are joined, however frequent.
+SENT_BYTES = 64
 #: Ends a text; no byte of UTF-8.
 END = 0xFF
 #: Different words that a task counts before it hands them on.
@@ -433,6 +435,11 @@ def word_counts(training: DataFrame, text: str) -> DataFrame:
     return rows.mapInArrow(count, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent_words(counts: DataFrame) -> DataFrame:
+    """The words whose counts go to every task: a bound on their number and on their bytes."""
+    return counts.filter(F.octet_length("word") <= SENT_BYTES).orderBy(F.desc("n"), "word").limit(FREQUENT)
+
+
 _PARTIAL = ("_row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
             "base double, score double, rare array<struct<word: binary, times: bigint>>")
 
@@ -456,7 +463,7 @@ def score(documents: DataFrame, held_out: Column, keep: Keep, doc_id: str = "doc
     sums = counts.agg(F.sum("n").alias("n"), F.count("word").alias("v")).first()
     tokens, distinct = (sums["n"] or 0) + ends, sums["v"] + (ends > 0)
     whole = float(np.log10(max(tokens + distinct + 1, 1)))
-    frequent = counts.orderBy(F.desc("n"), "word").limit(FREQUENT).toArrow()
+    frequent = frequent_words(counts).toArrow()
     # One string of words and one of logs: small to send, built into a table by each worker.
     table = (b"\n".join(frequent.column("word").to_pylist()),
              np.log10(frequent.column("n").to_numpy() + 1.0).astype(np.float64).tobytes())

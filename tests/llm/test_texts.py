@@ -260,6 +260,18 @@ def test_lm_rare_words_are_joined(spark, given, monkeypatch):
                        [b for _, b in ordered((r[0], r[5]) for r in wanted)])
 
 
+def test_lm_long_words_are_not_sent_to_tasks(spark):
+    rows = [(i, f"{'x' * 100_000} {'é' * 32} {'y' * 65} a b") for i in range(12)]
+    frame = odd.frame(spark, rows)
+    sent = ctw.frequent_words(ctw.word_counts(frame, "text")).collect()
+    assert {bytes(r.word) for r in sent} == {b"a", b"b", "é".encode() * 32}
+    wanted = brute.base_scores(rows)
+    found = scored(frame)
+    assert rows_of(found, *LM) == ordered(r[:5] for r in wanted)
+    assert np.allclose([r[1] for r in rows_of(found, "doc_id", "base_score")],
+                       [b for _, b in ordered((r[0], r[5]) for r in wanted)])
+
+
 def test_context_tree_is_a_weighted_mixture():
     """Against the recursion over a whole tree, of depth 2, on a short text."""
     from fractions import Fraction
