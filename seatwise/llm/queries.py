@@ -13,9 +13,12 @@ import corpus_pipeline
 from seatwise.llm import (
     bpe,
     chat_format,
+    conversation_repair,
     ctw,
     decontamination,
+    hard_negatives,
     language_id,
+    mixing,
     near_dedup,
     quality_rules,
     suffix_dedup,
@@ -108,8 +111,24 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine(
+        read(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, store(spark), label=moved)
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation_repair.damage(read(spark, sf_dir, "conversations"))
+    return conversation_repair.repair(damaged, store(spark))
+
+
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents"), store(spark))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (op1_language_id, op2_token_index, op3_near_duplicates, op4_byte_bpe,
              op5_decontamination, op6_warc, op7_suffix_dedup, op8_lm_scoring, op9_quality_rules,
-             op10_chat_format)
+             op10_chat_format, op11_hard_negatives, op12_conversation_repair, op13_source_mix)
     return {f.__name__: f for f in found} | {"pipeline": corpus_pipeline.run}

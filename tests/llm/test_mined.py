@@ -1,0 +1,329 @@
+"""Hard negatives, conversation repair and the source mix against brute force."""
+
+import hashlib
+import heapq
+import itertools
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import odd
+import pytest
+from pyspark.sql import functions as F
+
+from seatwise.llm import conversation_repair as repairs
+from seatwise.llm import hard_negatives as mining
+from seatwise.llm import mixing, queries
+from seatwise.llm.common import store
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+def rows_of(frame, *columns):
+    return sorted((tuple(r) for r in frame.select(*columns).collect()), key=repr)
+
+
+def ordered(rows):
+    return sorted(rows, key=repr)
+
+
+# Hard negatives
+
+MINED = ("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+def mined(rows, every, scale=256):
+    """All pairs, by the definition."""
+    taking = set()
+    for vec_id, vector, label in rows:
+        if None not in (vec_id, vector, label) and all(
+                x is not None and np.isfinite(x) for x in vector):
+            taking.add((vec_id, label, tuple(int(np.floor(scale * float(x))) for x in vector)))
+    found = []
+    for a_id, a_label, a in taking:
+        if a_id % every:
+            continue
+        scored = sorted(
+            (-sum(x * y for x, y in zip(a, v, strict=False)), i, label) for i, label, v in taking)
+        for p, p_id, _ in [r for r in scored if r[2] == a_label and r[1] != a_id][:5]:
+            near = [r for r in scored if r[2] != a_label and 30 * -p <= 100 * -r[0] <= 90 * -p]
+            found += [(a_id, p_id, n + 1, r[1], -p, -r[0]) for n, r in enumerate(near[:10])]
+    return ordered(found)
+
+
+def vectors(rng, count, dim=6, kinds=12):
+    """Clusters with copies; every component fits a float."""
+    centres = rng.normal(size=(kinds, dim))
+    rows = []
+    for i in range(count):
+        centre = centres[rng.integers(kinds)]
+        vector = centre + 0.15 * rng.normal(size=dim) if i % 3 else centres[0]
+        rows.append((i, [float(np.float32(x)) for x in vector], int(rng.integers(4))))
+    return rows
+
+
+
+
+SCHEMA = "vec_id bigint, embedding array<float>, label int"
+
+
+@pytest.mark.parametrize("sizes", [
+    {}, {"leaf_rows": 16, "block_rows": 32}, {"sample": 40, "leaf_rows": 5, "block_rows": 7}])
+def test_hard_negatives(spark, sizes):
+    rows = vectors(np.random.default_rng(1), 900)
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(4).selectExpr(
+        "*", "1 AS id", "2 AS tag", "3 AS leaf", "4 AS low", "5 AS score", "6 AS rank")
+    found = mining.mine(frame, F.col("id") % 50 == 0, store(spark), **sizes)
+    assert rows_of(found, *MINED) == mined(rows, 50)
+
+
+def test_hard_negatives_of_odd_rows(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = vectors(np.random.default_rng(2), 40, dim=3)
+    rows += [(100, None, 1), (101, [1.0, None, 2.0], 1), (102, [1.0, nan, 0.0], 1),
+             (103, [inf, 0.0, 0.0], 1), (104, [1.0, 1.0, 1.0], None), (None, [1.0, 0.0, 0.0], 1),
+             (105, [], 1), (110, [0.0, 0.0, 0.0], 2), (120, [1.0], 1), (130, [3e4, -3e4, 3e4], 1),
+             (0, rows[0][1], rows[0][2]), (0, rows[0][1], rows[0][2]), (-10, [0.5, 0.5, 0.5], 0)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    found = mining.mine(frame, F.col("id") % 10 == 0, store(spark), leaf_rows=4, block_rows=3)
+    assert rows_of(found, *MINED) == mined(rows, 10)
+    for few in ([], rows[40:46], [(1, [0.5], 1)], [(0, [0.5], 1)]):
+        frame = spark.createDataFrame(few, SCHEMA)
+        assert mining.mine(frame, F.col("id") % 10 == 0, store(spark)).isEmpty()
+    one = spark.createDataFrame([(0, [1e15], 1), (1, [1.0], 1)], SCHEMA)
+    with pytest.raises(ValueError):
+        mining.mine(one, F.col("id") % 10 == 0, store(spark))
+
+
+def test_siblings_are_dropped_only_where_nothing_is_lost():
+    rng = np.random.default_rng(3)
+    rows = np.floor(256 * np.array([v for _, v, _ in vectors(rng, 3000)]))
+    tree = mining.grow(rows[:1000], len(rows), float((rows ** 2).sum(1).max()) + 1)
+    leaf, distances = mining.place(tree, rows)
+    mining.set_ranges(tree, {
+        int(x): (distances[leaf == x].min(0).tolist(), distances[leaf == x].max(0).tolist())
+        for x in np.unique(leaf)})
+    anchors = rows[::100]
+    scores = anchors @ rows.T
+    best = np.sort(scores, 1)
+    kept = total = 0
+    for low, high in ((best[:, -20], best[:, -1]), (best[:, 500], best[:, 520])):
+        least = (anchors ** 2).sum(1) + tree.length
+        found = {(int(x), int(a)) for x, members in mining.reached(
+            tree, anchors, np.sqrt(np.maximum(least - 2 * high, 0)),
+            np.sqrt(np.maximum(least - 2 * low, 0))) for a in members}
+        for a, at in zip(*np.nonzero((scores >= low[:, None]) & (scores <= high[:, None])), strict=True):
+            assert (int(leaf[at]), int(a)) in found
+        kept += len(found)
+        total += len(anchors) * len(tree.paths)
+    assert kept < 0.6 * total
+
+
+def test_a_hot_leaf_is_many_blocks(spark):
+    rows = [(i, [0.5, 0.25] if i % 3 == 0 else [float(i % 17), float(i % 5)], i % 4) for i in range(1500)]
+    index = mining.build(
+        mining.clean(spark.createDataFrame(rows, SCHEMA), 256, "vec_id", "embedding", "label"),
+        store(spark), leaf_rows=64, block_rows=50)
+    sizes = [len(r.id) for r in index.blocks.collect()]
+    assert sum(sizes) == 1500 and max(sizes) < 100
+
+
+# Conversation repair
+
+REPAIRED = ("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+            "repaired_sha256")
+FOLLOWS = {0: {"s": 1, "u": 2}, 1: {"u": 2}, 2: {"a": 3}, 3: {"u": 2}}
+
+
+def cheapest(rows):
+    """Least cost, and of all cheapest audits the first: states in order of (cost, audit)."""
+    heap, seen = [(0, "", 0, 0)], set()
+    while True:
+        cost, audit, i, state = heapq.heappop(heap)
+        if i == len(rows) and state in (0, 3):
+            return cost, audit
+        if (i, state) in seen:
+            continue
+        seen.add((i, state))
+        made = [t for r, t in FOLLOWS[state].items() if r != "s"]
+        steps = [("I", 2, i, t) for t in made]
+        if i < len(rows):
+            initial, fault = rows[i]
+            steps.append(("D", 3, i + 1, state))
+            if fault in ("", "truncated"):
+                extra = fault == "truncated"
+                steps += [("R", 2 + extra, i + 1, t) for t in made]
+                steps += [("K", 0 + extra, i + 1, t)
+                          for r, t in FOLLOWS[state].items() if r == initial]
+        for letter, price, at, t in steps:
+            heapq.heappush(heap, (cost + price, audit + letter, at, t))
+
+
+def damaged(rows):
+    out = defaultdict(list)
+    for conv, turn, role, text in rows:
+        key = ":".join(" " if x is None else str(x) for x in (conv, turn))
+        kind = zlib.crc32(key.encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        text = {1: "", 2: re.sub("[.!?]", "", text)}.get(kind, text)
+        row = (turn, "user" if kind == 4 else role, text)
+        out[conv] += [] if kind == 0 else [row] * (2 if kind == 3 else 1)
+    return out
+
+
+def repaired(rows):
+    result = []
+    for conv, lines in damaged(rows).items():
+        lines.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+        seen, codes = set(), []
+        for _, role, text in lines:
+            black = re.findall(r"[^\x20\x09-\x0D]", text)
+            fault = ("blank" if not black else "duplicate" if (role, text) in seen
+                     else "truncated" if black[-1] not in ".!?" else "")
+            seen.add((role, text))
+            codes.append((role[:1], fault))
+        turns = [t for t, _, _ in lines if t is not None]
+        cost, audit = cheapest(codes)
+        state, at, out = 0, 0, []
+        for letter in audit:
+            made = [(t, r) for r, t in FOLLOWS[state].items() if r != "s"][0]
+            name = {"u": "user", "a": "assistant"}[made[1]]
+            if letter == "I":
+                out.append(f"{name}:")
+                state = made[0]
+                continue
+            _, role, text = lines[at]
+            at += 1
+            if letter == "K":
+                state = FOLLOWS[state][role[0]]
+                out.append(f"{role}:{text}")
+            elif letter == "R":
+                state = made[0]
+                out.append(f"{name}:{text}")
+        count = Counter(f for _, f in codes)
+        result.append((
+            conv, max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, count["blank"],
+            count["duplicate"], count["truncated"],
+            sum(a + b not in ("su", "ua", "au") for (a, _), (b, _) in itertools.pairwise(codes)),
+            cost, audit, hashlib.sha256("\n".join(out).encode()).hexdigest()))
+    return ordered(result)
+
+
+@pytest.mark.parametrize("segment", [None, 1, 2, 5])
+def test_search_finds_the_first_of_the_cheapest(segment):
+    rng = random.Random(segment or 0)
+    names = {"": repairs.SOUND, "truncated": repairs.TRUNCATED, "duplicate": repairs.DUPLICATE,
+             "blank": repairs.BLANK}
+    for _ in range(1500):
+        rows = [(rng.choice(["s", "u", "a", "u", "a", "x", ""]), rng.choice(["", "", *names]))
+                for _ in range(rng.randint(0, 13))]
+        assert repairs.search([(r, names[f]) for r, f in rows], segment) == cheapest(rows)
+
+
+def test_conversation_repair(spark):
+    given = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/conversations.parquet").select(
+        "conv_id", "turn", "role", "text").collect()]
+    found = rows_of(queries.op12_conversation_repair(spark, FOLDER), *REPAIRED)
+    assert found == repaired(given)
+
+
+def test_conversation_repair_of_odd_rows(spark):
+    rng = random.Random(4)
+    rows = []
+    for conv in [*range(60), None]:
+        rows += [(conv, rng.choice([None, 0, 1, 2, 5, 9]),
+                  rng.choice(["system", "user", "assistant", "user", None, "", "tool", "Ünder"]),
+                  rng.choice([None, "", " \n", "yes.", "yes. ", "no\x1c", "é!\x0b", "cut o", "日?"]))
+                 for _ in range(rng.randint(1, 12))]
+    rows += [(1000, t, "user" if t % 2 == 0 else "assistant", f"turn {t}.") for t in range(3000)]
+    rows += [(1001, 0, "user", "long " * 300_000 + "."), (1001, 0, "user", "long " * 300_000 + "."),
+             (-5, -(10 ** 12), "user", "a."), (-5, 10 ** 12, "assistant", "b.")]
+    # Of these conversations of one row some lose it.
+    rows += [(c, 0, "user", "x.") for c in range(2000, 2100)]
+    frame = spark.createDataFrame(
+        rows, "conv_id bigint, turn bigint, role string, text string").selectExpr(
+        "*", "1 AS gone", "2 AS fault", "3 AS initial", "4 AS plan", "5 AS _kind", "6 AS audit")
+    found = rows_of(repairs.repair(repairs.damage(frame.repartition(5)), store(spark)), *REPAIRED)
+    assert found == repaired(rows)
+    assert sum(r[-2] == "" for r in found) > 0
+    assert repairs.repair(repairs.damage(frame.limit(0)), store(spark)).isEmpty()
+
+
+# Mix
+
+MIXED = ("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+def goals(sized, weights=(3, 1, 2), share=1.5):
+    """Excess is shared again until no target is above twice its source's size."""
+    totals = Counter()
+    for _, source, size in sized:
+        totals[source] += size
+    names = sorted(totals, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % 3] for i, s in enumerate(names)}
+    full, unit = set(), 0.0
+    while True:
+        free = [s for s in names if s not in full]
+        left = share * sum(totals.values()) - sum(2 * totals[s] for s in full)
+        unit = left / sum(weight[s] for s in free) if free else 0.0
+        more = {s for s in free if 2 * totals[s] <= unit * weight[s]}
+        if not more:
+            return {s: (totals[s], 2.0 * totals[s] if s in full else unit * weight[s]) for s in names}
+        full |= more
+
+
+def check_mix(rows, found, block=mixing.BLOCK, slack=0):
+    sized = [(d, s, len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))) for d, s, t in rows]
+    assert ordered([r[:3] for r in found]) == ordered(sized)
+    wanted, taken = goals(sized), Counter()
+    for _, source, size, source_size, target, words in found:
+        assert source_size == wanted[source][0] and target == pytest.approx(wanted[source][1])
+        assert 0 <= words <= 2 * size
+        taken[source] += words
+    for source, (_, target) in wanted.items():
+        assert abs(taken[source] - target) <= 2 * block + slack
+    return taken
+
+
+def test_mix_of_given_documents(spark):
+    rows = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select(
+        "doc_id", "source", "text").collect()]
+    found = rows_of(queries.op13_source_mix(spark, FOLDER), *MIXED)
+    check_mix(rows, found)
+
+
+def test_mix_of_odd_rows(spark):
+    rng = random.Random(5)
+    rows = [(d, rng.choice(["a", "b", "Z", "é", "", None, "hot", "hot", "hot"]), t)
+            for d, t in odd.documents()]
+    rows += [(None, "a", "three words here")] * 40 + [(None, None, None), (1, "zero", " "), (2, "zero", None)]
+    rows += [(9, "hot", "word " * 5_000), (10, "one", "word " * 7)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, source string, text string").selectExpr(
+        "*", "1 AS size", "2 AS number", "3 AS shard", "4 AS quota", "5 AS seats", "6 AS taken")
+    mixes = []
+    for parts, shard in ((3, 32_768), (7, 32_768), (5, 700), (2, 700)):
+        found = rows_of(mixing.mix(frame.repartition(parts), store(spark), shard_words=shard), *MIXED)
+        # Copies take whole words each, and every shard ends with part of a block.
+        check_mix(rows, found, slack=20 + (0 if shard > 700 else 16 * 40))
+        mixes.append(found)
+    assert mixes[0] == mixes[1] and mixes[2] == mixes[3]
+    assert mixing.mix(frame.limit(0), store(spark)).isEmpty()
+    none = frame.withColumn("text", F.lit(" "))
+    assert {(r.target, r.taken) for r in mixing.mix(none, store(spark)).collect()} == {(0.0, 0)}
+
+
+def test_seats_go_to_the_highest_quotients(spark):
+    rng = random.Random(6)
+    parts = [(g, p, rng.choice([0, 1, 5, 5, 40, 1000]), seats)
+             for g, seats in enumerate([0, 1, 7, 100, 5000]) for p in range(rng.randint(1, 30))]
+    frame = spark.createDataFrame(parts, "g bigint, p bigint, w bigint, seats bigint")
+    found = rows_of(mixing.apportion(frame, store(spark), "g", "p", "w", "seats", "t"), "g", "p", "quota")
+    wanted = {(g, p): 0 for g, p, _, _ in parts}
+    for g in {g for g, *_ in parts}:
+        mine = [(p, w, s) for h, p, w, s in parts if h == g]
+        for _ in range(mine[0][2] if any(w for _, w, _ in mine) else 0):
+            best = max(mine, key=lambda r: (r[1] / (2 * wanted[g, r[0]] + 1), -r[0]))
+            wanted[g, best[0]] += 1
+    assert found == ordered((g, p, n) for (g, p), n in wanted.items())
