@@ -37,10 +37,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seatwise.llm.common import utf8
+
 #: Parameters of the index.
 SAMPLE = 4_096
 FANOUT = 8
-LEAF_ROWS = 256
+LEAF_ROWS = 1_024
 BLOCK_ROWS = 4_096
 #: Queries searched together.
 CHUNK = 512
@@ -189,14 +191,16 @@ def reached(tree: Tree, anchors: np.ndarray, inner: np.ndarray, outer: np.ndarra
     return found
 
 
-def matrix(packed, dim: int) -> np.ndarray:
+def matrix(packed: pa.Array, dim: int) -> np.ndarray:
     """Packed 32-bit components, one row each, as doubles filled up with zeros."""
-    rows = [np.frombuffer(p, np.int32) for p in packed]
-    out = np.zeros((len(rows), dim))
-    if rows and all(len(r) == dim for r in rows):
-        return np.concatenate(rows).reshape(len(rows), dim).astype(np.float64)
-    for i, row in enumerate(rows):
-        out[i, :len(row)] = row
+    data, offsets = utf8(packed)
+    starts = offsets // 4
+    values = data.view(np.int32)
+    if (np.diff(starts) == dim).all():
+        return values.reshape(len(packed), dim).astype(np.float64)
+    out = np.zeros((len(packed), dim))
+    for i in range(len(packed)):
+        out[i, :starts[i + 1] - starts[i]] = values[starts[i]:starts[i + 1]]
     return out
 
 
@@ -209,15 +213,33 @@ def _scores(queries: np.ndarray, rows: np.ndarray, length: float) -> np.ndarray:
 
 def _best(scores: np.ndarray, allowed: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray]]:
     """By row the places of the k highest allowed scores; on ties the first places."""
-    masked = np.where(allowed, scores, -_RANGE if scores.dtype == np.int64 else -np.inf)
-    if masked.shape[1] > k:
-        least = np.partition(masked, masked.shape[1] - k, axis=1)[:, -k]
-        allowed = allowed & (masked >= least[:, None])
     for row in np.flatnonzero(allowed.any(1)):
         places = np.flatnonzero(allowed[row])
         yield row, places[np.argsort(-scores[row, places], kind="stable")[:k]]
 
 
+class _Known:
+    """The best k scores that a task has seen for each query: less is not worth handing on.
+
+    Holds a bounded number of queries; forgetting some only means more rows to merge.
+    """
+
+    QUERIES = 50_000
+
+    def __init__(self, k: int):
+        self.k, self.scores = k, {}
+
+    def least(self, query) -> int:
+        found = self.scores.get(query)
+        return -_RANGE if found is None or len(found) < self.k else found[-1]
+
+    def add(self, query, scores: list[int]) -> None:
+        if len(self.scores) >= self.QUERIES:
+            self.scores.clear()
+        merged = sorted(self.scores.get(query, []) + scores, reverse=True)
+        self.scores[query] = merged[:self.k]
+
+
 _QUERY = "q_id bigint, q_tag bigint, q_label bigint, q_vector binary, q_key bigint, q_key_tag bigint, q_key_score bigint, low bigint, high bigint"
 _QUERY_NAMES = [part.split()[0] for part in _QUERY.split(", ")]
 _HIT = "q_id bigint, q_tag bigint, q_key bigint, q_key_tag bigint, q_key_score bigint, id bigint, tag bigint, score bigint"
@@ -233,51 +255,88 @@ class Index:
 
 
 def clean(rows: DataFrame, scale: int, vec_id: str, vector: str, label: str | Column) -> DataFrame:
-    """id, tag (a hash of the content), label and integer vector of the rows that take part."""
+    """id, label, vector (scaled 32-bit components, packed), squared length and tag (a hash of
+    the content) of the rows that take part."""
     label = F.col(label) if isinstance(label, str) else label
-    scaled = F.transform(F.col(vector), lambda x: F.floor(F.lit(scale) * x.cast("double")))
-    finite = F.forall(F.col(vector), lambda x: x.isNotNull() & ~F.isnan(x)
-                      & (F.abs(x) < F.lit(float("inf"))))
-    return rows.filter(
-        F.col(vec_id).isNotNull() & label.isNotNull() & F.coalesce(finite, F.lit(False))
-    ).select(F.col(vec_id).cast("long").alias("id"), label.cast("long").alias("label"),
-             scaled.alias("vector")).withColumn("tag", F.xxhash64("label", "vector"))
+    taking = rows.select(
+        F.col(vec_id).cast("long").alias("id"), label.cast("long").alias("label"),
+        F.col(vector).cast("array<double>").alias("vector")).dropna()
+
+    def pack(batches):
+        for batch in batches:
+            lists = batch.column("vector")
+            offsets = lists.offsets.to_numpy().astype(np.int64)
+            sizes = np.diff(offsets)
+            # A null component arrives as NaN.
+            values = lists.values.to_numpy(zero_copy_only=False)[offsets[0]:offsets[-1]]
+            values = np.floor(scale * values.astype(np.float64))
+            of_row = np.repeat(np.arange(len(sizes)), sizes)
+            whole = np.bincount(of_row, ~np.isfinite(values), len(sizes)) == 0
+            kept = whole[of_row]
+            values, of_row = values[kept], of_row[kept]
+            square = np.bincount(of_row, values ** 2, len(sizes))[whole]
+            ends = np.concatenate([[0], np.cumsum(4 * sizes[whole])])
+            # Components beyond 32 bits do not get past the check of the lengths in ``build``.
+            data = np.clip(values, -2.0 ** 31, 2.0 ** 31 - 1).astype(np.int32)
+            packed = pa.Array.from_buffers(
+                pa.large_binary(), len(square), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+            good = pa.array(whole)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id").filter(good), batch.column("label").filter(good),
+                 packed.cast(pa.binary()), pa.array(square)], ["id", "label", "vector", "square"])
+
+    return taking.mapInArrow(pack, "id bigint, label bigint, vector binary, square double").withColumn(
+        "tag", F.xxhash64("label", "vector"))
 
 
 def build(rows: DataFrame, store: Callable[..., DataFrame], sample: int = SAMPLE,
           leaf_rows: int = LEAF_ROWS, block_rows: int = BLOCK_ROWS) -> Index | None:
     """The index of the rows of ``clean``; None if there are none."""
-    squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x)
-    count, dim, length = rows.agg(
-        F.count(F.lit(1)), F.max(F.size("vector")), F.max(squares)).first()
+    rows = store(rows, "packed")
+    count, size, length = rows.agg(
+        F.count(F.lit(1)), F.max(F.octet_length("vector")), F.max("square")).first()
     if not count:
         return None
     if length >= 2.0 ** 61:
         raise ValueError("components are too large for scores of 64 bits")
-    length = length * (1 + 1e-9) + 1.0
-    taken = rows.orderBy(F.xxhash64("id", "tag"), "id", "tag").limit(sample).collect()
-    points = np.zeros((len(taken), dim))
-    for i, row in enumerate(taken):
-        points[i, :len(row.vector)] = row.vector
+    dim, length = size // 4, length * (1 + 1e-9) + 1.0
+    taken = rows.orderBy(F.xxhash64("id", "tag"), "id", "tag").limit(sample).select("vector")
+    points = matrix(pa.array([bytes(r.vector) for r in taken.collect()], pa.binary()), dim)
     tree = grow(points, count, length, leaf_rows=leaf_rows)
 
     def put(batches):
-        names = ["id", "tag", "label", "vector", "leaf", "distances"]
         for batch in batches:
-            packed = [np.array(v, np.int32).tobytes() for v in batch.column("vector").to_pylist()]
-            leaf, distances = place(tree, matrix(packed, dim))
-            yield pa.RecordBatch.from_arrays([
-                *(batch.column(c) for c in names[:3]), pa.array(packed, pa.binary()),
-                pa.array(leaf), pa.array(list(distances), pa.list_(pa.float64()))], names)
+            leaf, _ = place(tree, matrix(batch.column("vector"), dim))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(leaf)], [*batch.schema.names, "leaf"])
 
     placed = store(rows.select("id", "tag", "label", "vector").mapInArrow(
-        put, "id bigint, tag bigint, label bigint, vector binary, leaf int, distances array<double>"),
-        "placed")
+        put, "id bigint, tag bigint, label bigint, vector binary, leaf int"), "placed")
     width = tree.depth * FANOUT
-    found = placed.groupBy("leaf").agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.array(*(F.min(F.get("distances", F.lit(i))) for i in range(width))).alias("low"),
-        F.array(*(F.max(F.get("distances", F.lit(i))) for i in range(width))).alias("high"),
+
+    def measure(batches):
+        """Rows of each leaf and their distance ranges, as far as this task sees them."""
+        seen: dict[int, list] = {}
+        for batch in batches:
+            leaf, distances = place(tree, matrix(batch.column("vector"), dim))
+            for x in np.unique(leaf):
+                part = distances[leaf == x]
+                found = seen.setdefault(int(x), [0, part[0], part[0]])
+                found[0] += len(part)
+                found[1] = np.minimum(found[1], part.min(0))
+                found[2] = np.maximum(found[2], part.max(0))
+        if seen:
+            columns = zip(*seen.values(), strict=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(seen, pa.int32()), *(pa.array(list(c)) for c in columns)],
+                ["leaf", "rows", "low", "high"])
+
+    partial = placed.select("vector").mapInArrow(
+        measure, "leaf int, rows bigint, low array<double>, high array<double>")
+    found = partial.groupBy("leaf").agg(
+        F.sum("rows").alias("rows"),
+        F.array(*(F.min(F.get("low", F.lit(i))) for i in range(width))).alias("low"),
+        F.array(*(F.max(F.get("high", F.lit(i))) for i in range(width))).alias("high"),
     ).collect()
     set_ranges(tree, {r.leaf: (r.low, r.high) for r in found})
 
@@ -306,7 +365,7 @@ def _search(index: Index, queries: DataFrame, k: int, same_label: bool, own_leaf
         for batch in batches:
             for start in range(0, batch.num_rows, CHUNK):
                 part = batch.slice(start, CHUNK)
-                anchors = matrix(part.column("q_vector").to_pylist(), dim)
+                anchors = matrix(part.column("q_vector"), dim)
                 if own_leaf:
                     leaves = place_queries(anchors)
                     routes = [(leaf, np.flatnonzero(leaves == leaf)) for leaf in np.unique(leaves)]
@@ -316,44 +375,49 @@ def _search(index: Index, queries: DataFrame, k: int, same_label: bool, own_leaf
                         np.sqrt(np.maximum(least - 2.0 * numbers(part, side).astype(float), 0.0))
                         for side in ("high", "low"))
                     routes = reached(tree, anchors, inner, outer)
-                columns = [pa.array([int(leaf) for leaf, _ in routes], pa.int32())]
-                for column in _QUERY_NAMES:
-                    values = part.column(column)
-                    columns.append(pa.array([values.take(pa.array(m)).to_pylist() for _, m in routes],
-                                            pa.list_(values.type)))
-                yield pa.RecordBatch.from_arrays(columns, ["leaf", *_QUERY_NAMES])
+                if not routes:
+                    continue
+                members = pa.array(np.concatenate([m for _, m in routes]))
+                ends = pa.array(np.cumsum([0, *(len(m) for _, m in routes)]), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([int(leaf) for leaf, _ in routes], pa.int32()),
+                     *(pa.ListArray.from_arrays(ends, part.column(c).take(members))
+                       for c in _QUERY_NAMES)], ["leaf", *_QUERY_NAMES])
 
     def place_queries(anchors):
         return place(tree, anchors)[0]
 
     def scan(batches):
+        known = _Known(k)
         for batch in batches:
             hits = []
             for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].values for c in batch.schema.names if c != "leaf"}
-                hits.append(scan_block(row))
+                row = {c: batch.column(c)[i].values for c in batch.schema.names}
+                hits.append(scan_block(row, known))
             if hits:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(c), pa.int64()) for c in zip(*hits, strict=True)],
                     [part.split()[0] for part in _HIT.split(", ")])
 
-    def scan_block(row):
+    def scan_block(row, known):
         q = {c: row[c].to_numpy(zero_copy_only=False) for c in _QUERY_NAMES if c != "q_vector"}
-        anchors = matrix(row["q_vector"].to_pylist(), dim)
-        rows = matrix(row["vector"].to_pylist(), dim)
+        names = list(zip(*(q[c].tolist() for c in ("q_id", "q_tag", "q_key", "q_key_tag")), strict=True))
+        low = np.maximum(q["low"], [known.least(query) for query in names])
+        anchors, rows = matrix(row["q_vector"], dim), matrix(row["vector"], dim)
         ids, tags, labels = (row[c].to_numpy(zero_copy_only=False) for c in ("id", "tag", "label"))
         asked, places, scores = [], [], []
-        step = max(1, (1 << 20) // max(len(ids), 1))
+        step = max(1, (1 << 18) // max(len(ids), 1))
         for start in range(0, len(anchors), step):
             part = slice(start, start + step)
             found = _scores(anchors[part], rows, length)
+            allowed = (found >= low[part, None]) & (found <= q["high"][part, None])
             same = labels[None, :] == q["q_label"][part, None]
-            allowed = (found >= q["low"][part, None]) & (found <= q["high"][part, None])
             allowed &= same & (ids[None, :] != q["q_id"][part, None]) if same_label else ~same
             for at, best in _best(found, allowed, k):
                 asked.append(np.full(len(best), start + at))
                 places.append(best)
                 scores.append(found[at, best].astype(np.int64))
+                known.add(names[start + at], scores[-1].tolist())
         if not asked:
             return [np.zeros(0, np.int64)] * 8
         asked, places, scores = map(np.concatenate, (asked, places, scores))
