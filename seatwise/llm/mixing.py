@@ -43,6 +43,8 @@ MOST = 2
 BLOCK = 16
 SHARD_WORDS = 32_768
 SEED = 13
+#: Blocks hashed by one task.
+TASK_BLOCKS = 500_000
 
 _WORD = r"[^\x20\x09-\x0D]+"
 Store = Callable[..., DataFrame]
@@ -164,6 +166,9 @@ def mix(documents: DataFrame, store: Store, doc_id: str = "doc_id", source: str
     blocks = F.floor(F.lit(most) * F.col("shard_size") / block)
     shards = apportion(shards, store, "number", "shard", "shard_size", "seats", "shards")
     shards = shards.withColumn("blocks", blocks).withColumn("quota", F.least("quota", "blocks"))
+    # Few bytes but much hashing, so the shards are dealt out by blocks and not merged.
+    tasks = -(-most * words // (block * TASK_BLOCKS))
+    shards = shards.repartition(max(1, tasks), "number", "shard")
     # The hash of the last block chosen tells for every block whether it is.
     limit = F.expr("get(sort_array(transform(sequence(0L, greatest(blocks - 1, 0L)), j -> "
                    f"{_block_hash(seed, 'j')})), cast(quota - 1 as int))")
