@@ -2,11 +2,13 @@
 
 A text of more than ``chunk`` characters becomes chunks that overlap by ``overlap``.
 Each chunk is pre-tokenised from its own start, which may lie inside a pre-token. Two
-neighbours resynchronise at the first place where both begin a pre-token: matching
-looks only ahead, so from there on both agree. The text is cut at those places and the
-pieces are encoded by themselves; their ids follow one another. Where two neighbours
-find no common place, that text is encoded as one piece. Decoding puts the bytes of the
-ids together.
+neighbours resynchronise at the first place where both begin a pre-token behind a black
+character: matching looks only ahead, so from there on both agree. The text is cut at those
+places and the pieces are encoded by themselves; their ids follow one another. White space
+before a cut would match otherwise at the end of a piece than in the text, where a match
+may leave its last character to the word behind, so no piece ends in it. Where two
+neighbours find no common place, that text is encoded as one piece. Decoding puts the bytes
+of the ids together.
 
 Defined results: a null or empty text has no ids and decodes to no bytes. A null or
 repeated doc_id is a text of its own: texts are told apart by row, not by id. An empty
@@ -53,13 +55,13 @@ def _matcher(pattern: str):
 
 
 def boundaries(text: str, pattern: str, ends_here: bool) -> list[int]:
-    """Starts of the pre-tokens of a chunk.
+    """The chunk's start, and the starts of its pre-tokens that follow a black character.
 
     If the text goes on behind the chunk, the last match may be another one in the whole
     text, so only matches that end before the chunk's end count.
     """
     ends = [m.end() for m in _matcher(pattern).finditer(text)]
-    return [0, *(e for e in ends if ends_here or e < len(text))]
+    return [0, *(e for e in ends if (ends_here or e < len(text)) and not text[e - 1].isspace())]
 
 
 def _ids(encoding, text: str) -> bytes:

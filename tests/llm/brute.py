@@ -152,6 +152,53 @@ def quality(docs):
     return rows
 
 
+def fences(groups):
+    """{group: fence} of {(lang, source): values}: upper quartile and six times the distance
+    between the quartiles, at least ``floor``; own, language's and all texts' by their rows."""
+    def fence(values, floor):
+        low, high = (sorted(values)[max(0, -(-n * len(values) // 4) - 1)] for n in (1, 3))
+        return high + max(6.0 * (high - low), floor)
+
+    def between(values, floor, wider):
+        weight = len(values) / (len(values) + 10)
+        return weight * fence(values, floor) + (1 - weight) * wider
+
+    def judge(floor):
+        whole = fence([v for values in groups.values() for v in values], floor)
+        found = {}
+        for lang, source in groups:
+            of_lang = [v for (other, _), values in groups.items() if other == lang for v in values]
+            found[lang, source] = between(
+                groups[lang, source], floor, between(of_lang, floor, whole))
+        return found
+
+    return judge
+
+
+def verdicts(docs):
+    """[(doc_id, kept)] of rows (doc_id, text, lang, source)."""
+    floors = {"symbols": 0.03, "upper": 0.30, "repeat": 0.45, "lines": 0.50, "length": 3.0}
+    rows = []
+    counts = quality([d[:2] for d in docs])
+    for (doc_id, text, lang, source), (_, n, chars, symbols, dup, repeated, failed) in zip(
+            docs, counts, strict=True):
+        words = WORD.findall(text or "")
+        lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+        upper = sum(len(w) > 1 and w == w.upper() != w.lower() for w in words)
+        values = {"symbols": symbols / chars if chars else 0.0, "upper": upper / n if n else 0.0,
+                  "repeat": repeated / n if n else 0.0,
+                  "lines": dup / len(lines) if lines else 0.0, "length": chars / n if n else 0.0}
+        rows.append((doc_id, (lang, source), values, failed))
+    limits = {}
+    for name, floor in floors.items():
+        groups = defaultdict(list)
+        for _, group, values, _ in rows:
+            groups[group].append(values[name])
+        limits[name] = fences(groups)(floor)
+    return [(doc_id, not failed and all(values[m] <= limits[m][group] + 1e-12 for m in floors))
+            for doc_id, group, values, failed in rows]
+
+
 def base_scores(docs, folds=7):
     def split(text):
         return [*(text or "").encode().lower().split(), None]

@@ -1,5 +1,8 @@
 """Operators on documents against brute force, on odd tables and on the given ones."""
 
+import random
+import time
+
 import brute
 import numpy as np
 import odd
@@ -74,6 +77,25 @@ def test_bpe_chunks_are_stitched(oddities, chunk, overlap):
     assert found == ordered(brute.bpe([r for r in rows if r[1] is not None and len(r[1]) < 2000]))
 
 
+@pytest.mark.parametrize(("chunk", "overlap"), [(5, 5), (9, 6), (20, 12), (50, 20)])
+def test_bpe_of_chunks_that_end_in_white_space(spark, chunk, overlap):
+    """A run of white space matches otherwise at the end of a text than before a word."""
+    rng = random.Random(chunk)
+    marks = [" ", " ", "\n", "\n", "\t", "\u00a0", "\u2003", "\x1c", "\x85", "a", "Bc", "é", "12", "!", "'s"]
+    rows = [(i, "".join(rng.choice(marks) for _ in range(rng.randint(chunk, 6 * chunk))))
+            for i in range(12_000)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    assert rows_of(encoded(frame, chunk=chunk, overlap=overlap), *BPE) == ordered(brute.bpe(rows))
+
+
+def test_bpe_of_blank_lines_at_the_edge_of_a_chunk(spark):
+    before, behind = "word " * 20_000, "Then more text. " * 3_000
+    rows = [(10 * n + k, before[:bpe.CHUNK + k - 6 - n] + "\n" * n + behind)
+            for n in (1, 2, 3, 4) for k in range(8)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    assert rows_of(encoded(frame), *BPE) == ordered(brute.bpe(rows))
+
+
 SUFFIX = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
@@ -206,6 +228,30 @@ def test_quality_rules(spark, given, oddities, empty):
     assert kept.columns == frame.columns and kept.count() == judged.filter("kept").count() > 0
 
 
+def test_quality_verdicts_by_the_definition(spark):
+    given = [tuple(r) for r in spark.read.parquet(f"{FOLDER}/documents.parquet").select(
+        "doc_id", "text", "lang", "source").collect()]
+    found = rows_of(queries.op9_quality_rules(spark, FOLDER), "doc_id", "kept")
+    assert found == ordered(brute.verdicts(given))
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choice(["#a", "BIG", "small", "x" * rng.randint(1, 30)]) + str(
+        rng.randint(0, 90)) for _ in range(rng.randint(40, 90))), rng.choice(["en", "de", None]),
+        rng.choice(["s", "t", None])) for i in range(300)]
+    rows += [(500 + i, "#$ " * 20 + given[i][1], "fr", "one") for i in range(3)]
+    rows += [(600, None, None, None), (601, "", "en", "s")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    assert rows_of(quality_rules.judge(frame.repartition(4)), "doc_id", "kept") == ordered(
+        brute.verdicts(rows))
+
+
+def test_a_filter_on_verdicts_does_not_measure_anew(spark):
+    """The windows of a text must not be computed again for each of its words."""
+    rows = [(0, " ".join(f"w{i % 997} v{i % 1009}" for i in range(10_000)))]
+    start = time.monotonic()
+    assert quality_rules.judge(odd.frame(spark, rows)).filter("kept").count() <= 1
+    assert time.monotonic() - start < 20
+
+
 def test_quality_thresholds_adapt_to_the_group(spark):
     """A share of symbols that is usual in one source and far out in another."""
     plain = " ".join(f"word{i}" for i in range(80))
