@@ -30,9 +30,9 @@ MEASURES = {
 }
 #: A fence lies so many distances between the quartiles above the upper one.
 FENCE = 6.0
-#: Groups with fewer texts use the fences of their language, and those of all texts
-#: where the language has fewer too.
-LEAST_GROUP = 100
+#: A group of so many texts counts as much for its fence as its language, and a language as
+#: much as all texts; larger ones count for more, smaller ones for less.
+EVEN_GROUP = 10
 ACCURACY = 10_000
 
 _WORDS = "array_remove(split(_text, '[\\\\x20\\\\x09-\\\\x0D]+'), '')"
@@ -64,7 +64,7 @@ def measure(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
     unrepeated = F.size(F.array_distinct("_windows")) == F.size("_windows")
     rows = rows.withColumn("_sorted", F.when(~unrepeated, F.expr(_SORTED)))
     rows = rows.withColumn("_repeated", F.when(F.col("_sorted").isNotNull(), F.expr(_REPEATED)))
-    return rows.select(
+    counts = F.struct(
         "doc_id", F.xxhash64("_text").alias("_key"), "_lang", "_source",
         F.size("_words").cast("long").alias("n_words"),
         F.expr("aggregate(_words, 0L, (a, x) -> a + length(x))").alias("word_chars"),
@@ -76,6 +76,9 @@ def measure(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.expr("size(filter(_words, x -> length(x) > 1 and x = upper(x) and x <> lower(x)))")
         .cast("long").alias("_n_upper"),
     )
+    # A generator's output is never replaced by its expression. Else a filter on the counts
+    # would be pushed below these projections, and every element would compute the arrays anew.
+    return rows.select(F.inline(F.array(counts)))
 
 
 def _share(part: str, whole: str) -> Column:
@@ -111,18 +114,29 @@ def fences(measured: DataFrame) -> DataFrame:
     ]
     levels = levels.select("_lang", "_source", "_level", "_rows", F.struct(*columns).alias("_fence"))
     own = levels.filter("_level = 0")
-    language = levels.filter(f"_level = 1 and _rows >= {LEAST_GROUP}").select(
-        F.col("_lang").alias("_l"), F.col("_fence").alias("_of_language"))
+    language = levels.filter("_level = 1").select(
+        F.col("_lang").alias("_l"), F.col("_fence").alias("_of_language"),
+        _weight("_rows").alias("_language_weight"))
     whole = levels.filter("_level = 3").select(F.col("_fence").alias("_of_all"),
                                                F.lit(0).alias("_one"))
     joined = own.withColumn("_one", F.lit(0)).join(
         language, F.col("_lang").eqNullSafe(F.col("_l")), "left").join(whole, "_one", "left")
-    fence = F.coalesce(
-        F.when(F.col("_rows") >= LEAST_GROUP, F.col("_fence")), "_of_language", "_of_all")
+    fence = F.struct(*(
+        _between(_weight("_rows"), F.col(f"_fence.{name}"), _between(
+            F.col("_language_weight"), F.col(f"_of_language.{name}"), F.col(f"_of_all.{name}"))
+                 ).alias(name) for name in MEASURES))
     return joined.select(F.col("_lang").alias("_l"), F.col("_source").alias("_s"),
                          fence.alias("_fence"))
 
 
+def _weight(rows: str) -> Column:
+    return F.col(rows) / (F.col(rows) + EVEN_GROUP)
+
+
+def _between(weight: Column, own: Column, wider: Column) -> Column:
+    return weight * own + (1 - weight) * wider
+
+
 def judge(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
           groups: tuple[str, str] = ("lang", "source"), measured: DataFrame | None = None,
           ) -> DataFrame:
