@@ -49,7 +49,7 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """The Hadoop file system of a path, and the path as Hadoop's."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
@@ -57,7 +57,7 @@ def _file_system(spark: SparkSession, path: str):
 
 def resolved(spark: SparkSession, path: str) -> str:
     """The path with scheme, without ``..``, and on a local disk without links."""
-    files, place = _file_system(spark, path)
+    files, place = file_system(spark, path)
     uri = files.makeQualified(place).toUri()
     plain = posixpath.normpath(uri.getPath())
     if uri.getScheme() == "file":
@@ -80,7 +80,7 @@ def size_shuffles(spark: SparkSession, folder: str, each: int = 128 << 20) -> in
 
     Adaptive execution merges small partitions, so more than needed do no harm.
     """
-    files, place = _file_system(spark, folder)
+    files, place = file_system(spark, folder)
     wanted = -(-files.getContentSummary(place).getLength() // each)
     number = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(number))
@@ -94,7 +94,7 @@ def temporary_store(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
     try:
         yield table_store(spark, base)
     finally:
-        files, place = _file_system(spark, base)
+        files, place = file_system(spark, base)
         files.delete(place, True)
 
 
