@@ -1,0 +1,77 @@
+"""Sketches against exact counts, and SQL functions against the operators."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+from rows import values
+
+from seatwise.operators import expiry, reports, requests, sketches
+from seatwise.session import table_store
+from seatwise.sources import generated
+from seatwise.sources.sql_functions import register_functions
+from seatwise.sources.star import AS_OF, StarTables
+from seatwise.sources.tables import register
+
+DAY = dt.date(2025, 9, 10)
+
+
+@pytest.mark.parametrize("count", [3_000, 400_000])
+def test_estimates_are_near(spark, count):
+    ids = generated.user_ids(spark, count, 8)
+    licenses = generated.generate_licenses(ids, DAY, 1)
+    stored = table_store(spark)(sketches.sketches(licenses), "sketches")
+    for include in (False, True):
+        exact = {(r.level, r.license_type, r.product_name): r
+                 for r in reports.counts_at_all_levels(licenses, DAY, include).collect()}
+        found = sketches.approximate_levels(stored, DAY, include).collect()
+        assert len(found) == len(exact)
+        errors = []
+        for row in found:
+            true = exact[row.level, row.license_type, row.product_name]
+            assert row.total_licenses == true.total_licenses
+            errors.append(abs(row.unique_users / true.unique_users - 1))
+        assert max(errors) < 0.05
+
+
+def test_merging_gives_what_sketching_at_once_gives(spark):
+    """But for the order in which registers are met, which moves an estimate by its rounding."""
+    licenses = generated.generate_licenses(generated.user_ids(spark, 20_000, 4), DAY, 2)
+    days = [licenses.filter(F.col("license_id").substr(1, 1).isin(*part)) for part in
+            ("0123", "4567", "89ab", "cdef")]
+    merged = sketches.merge(*map(sketches.sketches, days))
+    at_once = sketches.merge(sketches.sketches(licenses))
+    by = ("level", "license_type", "product_name")
+    wanted = {tuple(r[c] for c in by): r for r in sketches.approximate_levels(at_once, DAY).collect()}
+    found = sketches.approximate_levels(merged, DAY).collect()
+    assert len(found) == len(wanted)
+    for row in found:
+        other = wanted[tuple(row[c] for c in by)]
+        assert row.total_licenses == other.total_licenses
+        assert abs(row.unique_users - other.unique_users) <= 1 + 0.002 * other.unique_users
+    none = sketches.sketches(licenses.limit(0))
+    assert values(sketches.approximate_levels(none, DAY), "level", "unique_users") == [("total", 0)]
+
+
+def test_operators_from_sql(spark):
+    star = StarTables(spark, "/root/testdata/sf0.001")
+    register(spark, star)
+    register_functions(spark)
+    day = f"DATE '{AS_OF}'"
+    pairs = {
+        f"SELECT * FROM licenses_due({day})": expiry.licenses_to_expire(star.licenses, AS_OF),
+        f"SELECT * FROM active_seats({day})": requests.active_seats(star.licenses, AS_OF),
+        f"SELECT * FROM license_counts({day})": reports.counts_by_type(star.licenses, AS_OF),
+        f"SELECT * FROM user_flag_drift({day})": expiry.flag_drift(star.users, star.licenses, AS_OF),
+        f"SELECT * FROM approved_license_requests({day})": requests.approved_requests(
+            star.requests, star.users, star.licenses, AS_OF),
+    }
+    for text, wanted in pairs.items():
+        assert values(spark.sql(text), *wanted.columns) == values(wanted), text
+    terms = spark.sql("SELECT license_term('Type 2'), license_term('?'), license_term(NULL), "
+                      f"license_is_active('ACTIVE', {day}, {day})").first()
+    assert tuple(terms) == (90, 30, 30, True)
+    plan = spark.sql(f"SELECT count(*) FROM active_seats({day}) WHERE userid = 7")
+    plan._jdf.queryExecution().executedPlan()
+    shown = plan._sc._jvm.PythonSQLUtils.explainString(plan._jdf.queryExecution(), "formatted")
+    assert "EqualNullSafe(o_orderstatus,O)" in shown
