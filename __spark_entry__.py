@@ -7,9 +7,11 @@ CTEs below.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import re
 import sys
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +21,16 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from seatwise.functions.clock import moment  # noqa: E402
 from seatwise.functions.licenses import is_due  # noqa: E402
-from seatwise.operators import expiry, quality, reports, requests, tables  # noqa: E402
+from seatwise.operators import expiry, quality, reports, requests, sketches, tables  # noqa: E402
+from seatwise.operators.numbering import numbered  # noqa: E402
+from seatwise.plans.in_place import expired_rows, run_in_place  # noqa: E402
 from seatwise.plans.jobs import PipelineRun, plan_pipeline, process_requests  # noqa: E402
-from seatwise.session import table_store  # noqa: E402
+from seatwise.plans.report_state import ReportState  # noqa: E402
+from seatwise.session import shared_folder, table_store  # noqa: E402
+from seatwise.sinks.laid_out import LaidOut  # noqa: E402
 from seatwise.sources import generated  # noqa: E402
-from seatwise.sources.tables import Tables  # noqa: E402
+from seatwise.sources.sql_functions import register_functions  # noqa: E402
+from seatwise.sources.tables import Tables, register  # noqa: E402
 from seatwise.sources.star import AS_OF, NOW, StarTables, read_source  # noqa: E402
 
 try:
@@ -66,6 +73,63 @@ def _pipeline_report(t: StarTables) -> DataFrame:
     return reports.full_report(after, AS_OF)
 
 
+def _own_folder(t: StarTables, name: str) -> str:
+    return f"{shared_folder(t.spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _expired_in_place(t: StarTables) -> DataFrame:
+    """A run of the day before, then one that rewrites only the parts with due licenses."""
+    kept = LaidOut(t.spark, _own_folder(t, "licenses"))
+    kept.create("licenses", t.licenses)
+    for day in (AS_OF - dt.timedelta(days=1), AS_OF):
+        kept.stage("licenses", expired_rows(kept.due(day), NOW))
+        kept.commit()
+    return kept.read("licenses")
+
+
+def _run_in_place(name: str) -> Callable[[StarTables], DataFrame]:
+    def after(t: StarTables) -> DataFrame:
+        kept = LaidOut(t.spark, _own_folder(t, "tables"))
+        kept.create_all(t)
+        run_in_place(t.spark, kept.folder, AS_OF, NOW, checks=False)
+        return kept.read(name)
+
+    return after
+
+
+def _running_report(t: StarTables) -> DataFrame:
+    """The report of a month ago, moved on by what was issued and what expired since."""
+    start = AS_OF - dt.timedelta(days=31)
+    state = ReportState(t.spark, _own_folder(t, "report"), parts=8)
+    state.start(expiry.expire_licenses(t.licenses, start, NOW), start)
+    due = t.licenses.filter(is_due(AS_OF) & ~is_due(start))
+    return state.advance(table_store(t.spark)(_issued(t), "issued"), due, AS_OF)
+
+
+def _near_counts(t: StarTables) -> DataFrame:
+    """Exact counts, and whether the estimates from stored sketches are within 6%."""
+    by = ["level", "license_type", "product_name"]
+    exact = reports.counts_at_all_levels(t.licenses, AS_OF)
+    stored = table_store(t.spark)(sketches.sketches(t.licenses), "sketches")
+    near = sketches.approximate_levels(stored, AS_OF).select(
+        *(F.col(c).alias(f"_{c}") for c in by), F.col("unique_users").alias("_users"),
+        F.col("total_licenses").alias("_total"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    close = F.abs(F.col("_users") - F.col("unique_users")) <= 0.06 * F.col("unique_users") + 1
+    return exact.join(near, same, "left").select(
+        *by, "unique_users", F.col("_total").alias("total_licenses"),
+        F.coalesce(close, F.lit(False)).alias("users_near"))
+
+
+def _from_sql(text: str) -> Callable[[StarTables], DataFrame]:
+    def run(t: StarTables) -> DataFrame:
+        register(t.spark, t)
+        register_functions(t.spark)
+        return t.spark.sql(text.format(day=f"DATE '{AS_OF}'"))
+
+    return run
+
+
 def _signups(t: StarTables) -> DataFrame:
     """A user row for each request, many per user, known users among them."""
     return t.requests.select(
@@ -247,6 +311,22 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pipeline_licenses": lambda t: _pipeline(t).licenses_after,
         "pipeline_requests": lambda t: _pipeline(t).requests_after,
         "pipeline_users": lambda t: _pipeline(t).users_after,
+        # tables and reports kept from run to run
+        "licenses_expired_in_place": _expired_in_place,
+        "in_place_licenses": _run_in_place("licenses"),
+        "in_place_requests": _run_in_place("requests"),
+        "in_place_users": _run_in_place("users"),
+        "running_license_report": _running_report,
+        "near_license_counts": _near_counts,
+        "license_numbers": lambda t: numbered(
+            t.licenses.select("license_id", "start_date"),
+            [F.col("start_date"), F.col("license_id")], table_store(t.spark), "license_no"),
+        # operators called from SQL text
+        "sql_licenses_due": _from_sql("SELECT * FROM licenses_due({day})"),
+        "sql_active_seats": _from_sql("SELECT * FROM active_seats({day})"),
+        "sql_license_counts": _from_sql("SELECT * FROM license_counts({day})"),
+        "sql_flag_drift": _from_sql("SELECT * FROM user_flag_drift({day})"),
+        "sql_approved_requests": _from_sql("SELECT * FROM approved_license_requests({day})"),
     }
 
     on_ids: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -748,6 +828,28 @@ def library_sql() -> dict[str, str]:
         "pipeline_requests": _decided(
             "decision = 'APPROVED' AND (license_type IS NULL OR product_name IS NULL)"),
         "pipeline_users": _refreshed("licenses_final"),
+        "running_license_report": _report("licenses_final"),
+        "near_license_counts": f"""
+            SELECT CASE WHEN GROUPING(license_type) = 1 THEN 'total'
+                        WHEN GROUPING(product_name) = 1 THEN 'type'
+                        ELSE 'type_product' END AS level,
+                   license_type, product_name, {_COUNTS}, TRUE AS users_near
+            FROM licenses WHERE {_ACTIVE}
+            GROUP BY GROUPING SETS ((license_type), (license_type, product_name), ())""",
+        "license_numbers": """
+            SELECT license_id, start_date,
+                   row_number() OVER (ORDER BY start_date, license_id) AS license_no
+            FROM licenses""",
+    }
+    bodies |= {
+        "licenses_expired_in_place": bodies["licenses_after_expiry"],
+        **{f"in_place_{name}": bodies[f"pipeline_{name}"]
+           for name in ("licenses", "requests", "users")},
+        "sql_licenses_due": bodies["licenses_to_expire"],
+        "sql_active_seats": bodies["active_licenses"],
+        "sql_license_counts": bodies["license_counts_by_type"],
+        "sql_flag_drift": bodies["user_status_drift"],
+        "sql_approved_requests": bodies["approved_requests"],
     }
     return {
         **{name: _sql(body) for name, body in bodies.items()},
