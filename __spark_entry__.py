@@ -24,6 +24,7 @@ from seatwise.functions.licenses import is_due  # noqa: E402
 from seatwise.operators import expiry, quality, reports, requests, sketches, tables  # noqa: E402
 from seatwise.operators.numbering import numbered  # noqa: E402
 from seatwise.plans.in_place import expired_rows, run_in_place  # noqa: E402
+from seatwise.plans.key_table import KeyTable  # noqa: E402
 from seatwise.plans.jobs import PipelineRun, plan_pipeline, process_requests  # noqa: E402
 from seatwise.plans.report_state import ReportState  # noqa: E402
 from seatwise.session import shared_folder, table_store  # noqa: E402
@@ -106,6 +107,13 @@ def _running_report(t: StarTables) -> DataFrame:
     return state.advance(table_store(t.spark)(_issued(t), "issued"), due, AS_OF)
 
 
+def _arriving_known(t: StarTables) -> DataFrame:
+    """Users of requests who are known already or ask more than once."""
+    keys = KeyTable(t.spark, _own_folder(t, "keys"), "userid", parts=8)
+    keys.start(t.users)
+    return keys.repeated(t.requests)
+
+
 def _near_counts(t: StarTables) -> DataFrame:
     """Exact counts, and whether the estimates from stored sketches are within 6%."""
     by = ["level", "license_type", "product_name"]
@@ -318,6 +326,7 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "in_place_users": _run_in_place("users"),
         "running_license_report": _running_report,
         "near_license_counts": _near_counts,
+        "arriving_known_users": _arriving_known,
         "license_numbers": lambda t: numbered(
             t.licenses.select("license_id", "start_date"),
             [F.col("start_date"), F.col("license_id")], table_store(t.spark), "license_no"),
@@ -836,6 +845,9 @@ def library_sql() -> dict[str, str]:
                    license_type, product_name, {_COUNTS}, TRUE AS users_near
             FROM licenses WHERE {_ACTIVE}
             GROUP BY GROUPING SETS ((license_type), (license_type, product_name), ())""",
+        "arriving_known_users": """
+            SELECT userid FROM requests r GROUP BY userid
+            HAVING count(*) > 1 OR userid IN (SELECT userid FROM users)""",
         "license_numbers": """
             SELECT license_id, start_date,
                    row_number() OVER (ORDER BY start_date, license_id) AS license_no

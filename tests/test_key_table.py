@@ -1,0 +1,56 @@
+"""Keys kept from run to run: same findings as grouping the whole table."""
+
+import random
+
+import pytest
+from rows import values
+
+from seatwise.operators.quality import repeated_keys
+from seatwise.plans.key_table import KeyTable
+
+SCHEMA = "k string, v int"
+
+
+def test_same_findings_as_the_full_check(spark, tmp_path):
+    rng = random.Random(1)
+    table = [(f"k{i}", i) for i in range(500)]
+    keys = KeyTable(spark, str(tmp_path), "k", parts=16)
+    keys.start(spark.createDataFrame(table, SCHEMA))
+    for n in range(4):
+        fresh = [(f"n{n}.{i}", i) for i in range(60)]
+        bad = rng.sample(table, 5) + rng.choices(fresh, k=4) + [(None, 1), (None, 2)]
+        whole = spark.createDataFrame([*table, *fresh, *bad], SCHEMA)
+        wanted = {r.k for r in repeated_keys(whole, "k").collect() if r.k is not None}
+        arriving = spark.createDataFrame([*fresh, *bad], SCHEMA).repartition(3)
+        assert {r.k for r in keys.repeated(arriving).collect()} == wanted
+        with pytest.raises(ValueError):
+            keys.take(arriving)
+        good = spark.createDataFrame(fresh, SCHEMA)
+        assert keys.take(good, f"day{n}") == f"day{n}"
+        assert keys.take(good, f"day{n}") == f"day{n}"
+        with pytest.raises(ValueError):
+            keys.take(good)
+        table += fresh
+    assert values(keys.known().select("k")) == values(spark.createDataFrame(table, SCHEMA).select("k"))
+
+
+def test_only_the_parts_of_the_arriving_keys_are_read(spark, tmp_path):
+    keys = KeyTable(spark, str(tmp_path), "k", parts=64)
+    keys.start(spark.createDataFrame([(f"k{i}", i) for i in range(3000)], SCHEMA))
+    one = spark.createDataFrame([("k7", 0)], SCHEMA)
+    found = keys.repeated(one)
+    assert [r.k for r in found.collect()] == ["k7"]
+    files = {f for f in keys.known().inputFiles()}
+    assert 0 < len({f for f in found.inputFiles()}) <= len(files)
+    plan = found._jdf.queryExecution().toString()
+    assert "PartitionFilters" in plan and "_part" in plan
+
+
+def test_empty(spark, tmp_path):
+    keys = KeyTable(spark, str(tmp_path), "k", parts=4)
+    none = spark.createDataFrame([], SCHEMA)
+    keys.start(none)
+    assert keys.repeated(none).isEmpty()
+    keys.take(none)
+    with pytest.raises(ValueError):
+        keys.take(spark.createDataFrame([("a", 1), ("a", 2)], SCHEMA))
