@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from seatwise.functions.clock import Day, Moment, pinned
@@ -60,8 +60,12 @@ def run_pipeline(
     if check_keys:
         requests.require_new_ids(tables.licenses, issued)
     write_table(run.requests_run.quarantined, f"{out}/quarantined")
-    license_changes = store(run.expiry_run.license_changes, "license_changes")
-    flag_changes = store(run.expiry_run.flag_changes, "flag_changes")
+    # Counted while they are written, so neither is read again for it.
+    expired, updated = Observation(), Observation()
+    store(run.expiry_run.license_changes.observe(
+        expired, F.count(F.lit(1)).alias("rows")), "license_changes")
+    flag_changes = store(run.expiry_run.flag_changes.observe(
+        updated, F.count(F.lit(1)).alias("rows")), "flag_changes")
     licenses_after = run.licenses_after
     if snapshots:
         users_after = expiry.apply_flag_changes(tables.users, flag_changes, now)
@@ -74,9 +78,9 @@ def run_pipeline(
     results = reports.split_report(report, brief)
     results["distribution"] = store(run.requests_run.distribution(), "distribution")
     results["decision_counts"] = requests.decision_counts(run.requests_run.decisions)
-    results["run_counts"] = store(
-        license_changes.agg(F.count(F.lit(1)).alias("licenses_expired")).join(
-            flag_changes.agg(F.count(F.lit(1)).alias("users_updated"))), "run_counts")
+    results["run_counts"] = store(spark.range(1).select(
+        F.lit(expired.get["rows"]).cast("long").alias("licenses_expired"),
+        F.lit(updated.get["rows"]).cast("long").alias("users_updated")), "run_counts")
     return results
 
 
