@@ -189,10 +189,14 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, decoded binary")
 
 
-def digests(encoded: DataFrame, ranks_path: str) -> DataFrame:
-    """Number of ids, and hex SHA-256 of the decimal ids and of the bytes that they decode to."""
+def digests(encoded: DataFrame, ranks_path: str, keep_ids: bool = False) -> DataFrame:
+    """Number of ids, and hex SHA-256 of the decimal ids and of the bytes that they decode to.
+
+    ``keep_ids`` adds the ids themselves, as in ``encode``.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()),
                         ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
+    kept = [("ids", pa.binary())] if keep_ids else []
 
     def run(batches):
         table = _token_bytes(ranks_path)
@@ -205,8 +209,11 @@ def digests(encoded: DataFrame, ranks_path: str) -> DataFrame:
                 rows.append((doc_id, len(ids), hashlib.sha256(text.encode()).hexdigest(),
                              hashlib.sha256(_bytes_of(ids, table)).hexdigest()))
             columns = list(zip(*rows, strict=True)) or [[]] * 4
+            found = [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+                [*found, *(batch.column(1).cast(t) for _, t in kept)],
+                [*schema.names, *(name for name, _ in kept)])
 
     return encoded.select("doc_id", "ids").mapInArrow(
-        run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+        run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+        + (", ids binary" if keep_ids else ""))

@@ -172,7 +172,9 @@ def mix(documents: DataFrame, store: Store, doc_id: str = "doc_id", source: str
     # The hash of the last block chosen tells for every block whether it is.
     limit = F.expr("get(sort_array(transform(sequence(0L, greatest(blocks - 1, 0L)), j -> "
                    f"{_block_hash(seed, 'j')})), cast(quota - 1 as int))")
-    limits = shards.select("number", "shard", "blocks", F.when(F.col("quota") > 0, limit).alias("limit"))
+    # Stored, so that no filter on the limit computes it once more in another stage.
+    limits = store(shards.select(
+        "number", "shard", "blocks", F.when(F.col("quota") > 0, limit).alias("limit")), "limits")
 
     begin = "(start + p * shard_size)"
     taken = F.expr(f"""aggregate(sequence(0L, {most - 1}L), 0L, (sum, p) -> sum + aggregate(
