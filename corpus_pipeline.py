@@ -12,7 +12,8 @@ from seatwise.session import temporary_store
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents within the base rule and the fences of their language and source."""
+    """Documents within the base rule and the fences of their language and source. One
+    without text has no words and goes; repeated rows share their verdict."""
     with temporary_store(spark) as own:
         judged = quality_rules.judge(docs, measured=own(quality_rules.measure(docs), "measured"))
         verdicts = store(spark)(judged.select("doc_id", "_key", "kept"), "verdicts")
@@ -27,7 +28,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages of 50 bytes that an earlier one has."""
+    """Documents without the passages of 50 bytes that an earlier one has; null and very
+    long texts included. None goes, also if nothing is left of it."""
     with temporary_store(spark) as own:
         spans = store(spark)(suffix_dedup.repeated_spans(docs, own), "spans")
     return suffix_dedup.removed(docs, spans).withColumn("n_chars", F.length("text").cast("long"))
@@ -42,10 +44,11 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of every document left, and digests that show that they decode to its text."""
+    """Ids of every document left (little-endian unsigned 32-bit integers), and digests that
+    show that they decode to its text. A null or empty text has no ids."""
     importable(spark)
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    return bpe.digests(bpe.encode(docs, ranks, pattern), ranks)
+    return bpe.digests(bpe.encode(docs, ranks, pattern), ranks, keep_ids=True)
 
 
 STAGES = [
