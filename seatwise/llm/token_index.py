@@ -89,7 +89,8 @@ class WordIds(dict):
         whole, cut = set(), []
         for word in new:
             stem = word.rstrip(_MARKS)
-            if stem and len(stem) < len(word) and stem[-1].isalpha():
+            # Some letters become a letter and a mark when lowered: such marks join those behind.
+            if stem and len(stem) < len(word) and stem[-1].isalpha() and stem[-1].lower()[-1].isalpha():
                 cut.append((word, stem, word[len(stem):]))
                 whole.update(cut[-1][1:])
             else:
