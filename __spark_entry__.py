@@ -56,6 +56,14 @@ def _decisions(t: StarTables) -> DataFrame:
     return requests.decide(t.requests, t.users, t.licenses, AS_OF)
 
 
+def _filtered(t: StarTables, query: str) -> DataFrame:
+    known, held = requests.request_filters(t.users, t.licenses, table_store(t.spark), AS_OF)
+    if query == "valid":
+        return requests.valid_requests_filtered(t.requests, t.users, known)
+    return requests.decide_filtered(t.requests, t.users, t.licenses, known, held, AS_OF).select(
+        *requests.REQUEST_COLUMNS, "decision")
+
+
 def _approved(t: StarTables) -> DataFrame:
     return requests.approved_requests(t.requests, t.users, t.licenses, AS_OF)
 
@@ -238,6 +246,8 @@ def library_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             t.requests, t.users, t.licenses, AS_OF),
         "request_decisions": lambda t: _decisions(t).select(
             *requests.REQUEST_COLUMNS, "decision"),
+        "request_decisions_filtered": lambda t: _filtered(t, "decisions"),
+        "valid_requests_filtered": lambda t: _filtered(t, "valid"),
         "decision_counts": lambda t: requests.decision_counts(_decisions(t)),
         "quarantined_requests": lambda t: requests.quarantined(_decisions(t)).select(
             *requests.REQUEST_COLUMNS),
@@ -689,8 +699,12 @@ def library_sql() -> dict[str, str]:
         "valid_requests": f"""
             SELECT {_REQUEST} FROM pending p
             WHERE EXISTS (SELECT 1 FROM users u WHERE u.userid = p.userid)""",
+        "valid_requests_filtered": f"""
+            SELECT {_REQUEST} FROM pending p
+            WHERE EXISTS (SELECT 1 FROM users u WHERE u.userid = p.userid)""",
         "approved_requests": f"SELECT {_REQUEST} FROM decisions WHERE decision = 'APPROVED'",
         "rejected_requests": f"SELECT {_REQUEST} FROM decisions WHERE decision <> 'APPROVED'",
+        "request_decisions_filtered": f"SELECT {_REQUEST}, decision FROM decisions",
         "request_decisions": f"SELECT {_REQUEST}, decision FROM decisions",
         "decision_counts":
             "SELECT decision, count(*) AS requests FROM decisions GROUP BY decision",
