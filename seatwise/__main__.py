@@ -9,8 +9,9 @@ from collections.abc import Sequence
 from seatwise.plans.jobs import license_report
 from seatwise.plans.pipeline import run_on_folder
 from seatwise.plans.validation import validate
-from seatwise.session import build_session, require_apart, size_shuffles, table_store, temporary_store
+from seatwise.session import build_session, size_shuffles, temporary_store
 from seatwise.sinks.parquet import write_tables
+from seatwise.sinks.whole import whole_output
 from seatwise.sources.generated import generate_tables, user_ids
 from seatwise.sources.tables import preflight, read_parquet
 
@@ -61,7 +62,6 @@ def main(argv: Sequence[str] | None = None) -> int:
         write_tables(generate_tables(user_ids(spark, args.users), as_of, args.seed), args.out)
         return 0
     size_shuffles(spark, args.tables)
-    require_apart(spark, args.out, [args.tables])
     if args.command == "run":
         results = run_on_folder(
             spark, args.tables, args.out, args.as_of, args.now,
@@ -69,15 +69,17 @@ def main(argv: Sequence[str] | None = None) -> int:
             include_expired=args.include_expired, brief=args.brief,
         )
     else:
-        tables, store = read_parquet(spark, args.tables), table_store(spark, args.out)
-        if args.command == "report":
-            with temporary_store(spark) as own:
+        tables = read_parquet(spark, args.tables)
+        with whole_output(spark, args.out, [args.tables]) as output, temporary_store(spark) as own:
+            if args.command == "report":
                 found = license_report(tables.licenses, args.as_of, args.include_expired,
                                        detailed=not args.brief, store=own)
-                results = {name: store(rows, name) for name, rows in found.items()}
-        else:
-            preflight(tables)
-            results = {name: store(rows, name) for name, rows in validate(tables).items()}
+            else:
+                preflight(tables)
+                found = validate(tables)
+            for name, rows in found.items():
+                output.store(rows, name)
+        results = {name: output.table(name) for name in found}
     for name, rows in results.items():
         number = rows.count()
         print(f"{name}: {number} rows" + f", {args.rows} shown" * (number > args.rows))

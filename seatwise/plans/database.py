@@ -9,9 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seatwise.functions.clock import Day, Moment, moment, pinned
-from seatwise.operators import reports
-from seatwise.operators.requests import APPROVED, not_issued_for_pending
-from seatwise.plans.jobs import expire_and_refresh, process_requests
+from seatwise.operators.requests import (
+    APPROVED,
+    decision_counts,
+    not_issued_for_pending,
+    require_new_ids,
+)
+from seatwise.plans.jobs import Store, expire_and_refresh, license_report, process_requests
 from seatwise.session import table_store, temporary_store
 from seatwise.sinks import jdbc as sink
 from seatwise.sources import jdbc as source
@@ -61,13 +65,18 @@ class Places:
 
 
 def request_job(
-    spark: SparkSession, places: Places, as_of: Day = None, now: Moment = None
+    spark: SparkSession, places: Places, as_of: Day = None, now: Moment = None,
+    keep: Store | None = None,
 ) -> dict[str, int]:
     """Decide, issue, then update the request rows, all from one stored decision.
 
     The two databases commit separately. If the job dies between them, the next run
     leaves licenses issued for still pending requests out of account, so it decides
-    as before, issues nothing twice and updates the request rows.
+    as before, issues nothing twice and updates the request rows. An id that a license
+    of another request has stops the job before it changes anything.
+
+    ``keep`` is handed the number of requests by decision and the ACTIVE licenses per
+    type after the job, as ``decision_counts`` and ``distribution``.
     """
     as_of, now = pinned(spark, as_of, now)
     with temporary_store(spark) as store:
@@ -75,6 +84,10 @@ def request_job(
         earlier = not_issued_for_pending(tables.licenses, tables.requests)
         run = process_requests(replace(tables, licenses=earlier), as_of, now, store)
         issued = store(run.new_licenses, "issued")
+        require_new_ids(earlier, issued)
+        if keep is not None:
+            keep(decision_counts(run.decisions), "decision_counts")
+            keep(run.distribution(), "distribution")
         changes = store(
             run.decisions.select(
                 "id",
@@ -136,11 +149,15 @@ def expiry_job(
 
 
 def run_database_pipeline(
-    spark: SparkSession, places: Places, as_of: Day = None, now: Moment = None
+    spark: SparkSession, places: Places, as_of: Day = None, now: Moment = None,
+    include_expired: bool = False, brief: bool = False,
 ) -> tuple[dict[str, int], dict[str, DataFrame]]:
     """Probe databases and tables, run both jobs, and report on the licenses they leave.
 
-    The licenses are copied to files once and all counts are taken from the copy.
+    The licenses are copied to files once and all counts are taken from the copy. The
+    results are those of ``run_pipeline`` over files: the report (with ``brief`` only
+    the counts by type and the totals), the distribution after the request job, and
+    the number of requests by decision.
     """
     for database in {place.database.url: place.database for place in (
         places.users, places.licenses, places.requests
@@ -148,12 +165,19 @@ def run_database_pipeline(
         source.is_reachable(spark, database)
     preflight(places.read(spark))
     as_of, now = pinned(spark, as_of, now)
+    # The results stay, being what is returned; the copy of the licenses goes.
+    lasting, results = table_store(spark), {}
+
+    def keep(rows: DataFrame, name: str) -> DataFrame:
+        results[name] = lasting(rows, name)
+        return results[name]
+
     affected = {
-        **request_job(spark, places, as_of, now),
+        **request_job(spark, places, as_of, now, keep),
         **expiry_job(spark, places, as_of, now),
     }
-    # The report stays, being what is returned; the copy of the licenses goes.
     with temporary_store(spark) as store:
         licenses = store(places.licenses.read(spark), "licenses")
-        report = table_store(spark)(reports.full_report(licenses, as_of), "report")
-    return affected, reports.split_report(report)
+        report = license_report(
+            licenses, as_of, include_expired, detailed=not brief, store=lasting)
+    return affected, report | results

@@ -11,8 +11,7 @@ from seatwise.functions.clock import Day, Moment, pinned
 from seatwise.operators import expiry, reports, requests
 from seatwise.plans.jobs import plan_pipeline
 from seatwise.plans.validation import require_unique_keys
-from seatwise.session import require_apart, table_store
-from seatwise.sinks.parquet import write_table
+from seatwise.sinks.whole import Output, whole_output
 from seatwise.sources.tables import Tables, preflight, read_parquet
 
 
@@ -31,7 +30,8 @@ def run_pipeline(
 ) -> dict[str, DataFrame]:
     """Run all jobs and write their results under the new folder ``out``.
 
-    ``out`` must lie apart from the input: from ``roots``, or else from all files of
+    They appear there together at the end; a run that fails leaves ``out`` as it was, and
+    a run into a folder with results replaces them as a whole. ``out`` must lie apart from the input: from ``roots``, or else from all files of
     the tables, which takes a listing of them.
 
     The decisions are written first and read back by every later step. Change sets
@@ -41,25 +41,38 @@ def run_pipeline(
     table in one folder per status, so that the next run, which needs ACTIVE rows for
     all but the status counts, skips the others; an empty status, which has no folder, is
     refused. With fixed ``as_of`` and ``now`` a run that was interrupted can be repeated
-    over the same folder. ``brief`` returns only the counts by type and the totals.
+    with the same results. ``brief`` returns only the counts by type and the totals.
     """
     if roots is None:
         roots = [path for _, rows in tables.items() for path in rows.inputFiles()]
         roots += sorted({path.rsplit("/", 1)[0] for path in roots})
-    require_apart(spark, out, roots)
-    preflight(tables)
-    if check_keys:
-        require_unique_keys(tables)
-    if by_status and not tables.licenses.filter(F.col("status") == "").isEmpty():
-        raise ValueError("an empty status cannot be kept by one folder per status")
     as_of, now = pinned(spark, as_of, now)
-    out = out.rstrip("/")
-    store = table_store(spark, out)
+    with whole_output(spark, out, roots) as output:
+        preflight(tables)
+        if check_keys:
+            require_unique_keys(tables)
+        if by_status and not tables.licenses.filter(F.col("status") == "").isEmpty():
+            raise ValueError("an empty status cannot be kept by one folder per status")
+        _write_results(
+            output, tables, as_of, now, snapshots, check_keys, by_status, include_expired)
+    results = reports.split_report(output.table("report"), brief)
+    decided = output.table("decisions").filter(F.col("decision") != requests.QUARANTINED)
+    results["distribution"] = output.table("distribution")
+    results["decision_counts"] = requests.decision_counts(decided)
+    results["run_counts"] = output.table("run_counts")
+    return results
+
+
+def _write_results(
+    output: Output, tables: Tables, as_of: Day, now: Moment, snapshots: bool, check_keys: bool,
+    by_status: bool, include_expired: bool,
+) -> None:
+    store = output.store
     run = plan_pipeline(tables, as_of, now, store)
     issued = store(run.requests_run.new_licenses, "new_licenses")
     if check_keys:
         requests.require_new_ids(tables.licenses, issued)
-    write_table(run.requests_run.quarantined, f"{out}/quarantined")
+    store(run.requests_run.quarantined, "quarantined")
     # Counted while they are written, so neither is read again for it.
     expired, updated = Observation(), Observation()
     store(run.expiry_run.license_changes.observe(
@@ -74,14 +87,11 @@ def run_pipeline(
         licenses_after = store(
             licenses_after, "after/licenses", ["status"] if by_status else ()
         )
-    report = store(reports.full_report(licenses_after, as_of, include_expired), "report")
-    results = reports.split_report(report, brief)
-    results["distribution"] = store(run.requests_run.distribution(), "distribution")
-    results["decision_counts"] = requests.decision_counts(run.requests_run.decisions)
-    results["run_counts"] = store(spark.range(1).select(
+    store(reports.full_report(licenses_after, as_of, include_expired), "report")
+    store(run.requests_run.distribution(), "distribution")
+    store(output.spark.range(1).select(
         F.lit(expired.get["rows"]).cast("long").alias("licenses_expired"),
         F.lit(updated.get["rows"]).cast("long").alias("users_updated")), "run_counts")
-    return results
 
 
 def run_on_folder(

@@ -10,7 +10,7 @@ import seed as known
 from seed import AS_OF, NOW, license_rows, request_rows, seed_tables, user_rows
 
 from seatwise.plans import database as jobs
-from seatwise.plans.jobs import plan_pipeline
+from seatwise.plans.jobs import license_report, plan_pipeline
 from seatwise.schemas import LICENSES, REQUESTS, USERS
 from seatwise.sinks import jdbc as sink
 from seatwise.sources import jdbc as source
@@ -222,3 +222,29 @@ def test_whole_pipeline(spark, base, handed_over, monkeypatch):
         "licenses_expired": known.DUE, "users_updated": known.FLAGS_CHANGED}
     assert probed == ["jdbc:postgresql://host/db"]
     assert [tuple(r) for r in results["by_status"].collect()] == known.STATUS_AFTER
+    assert [tuple(r) for r in results["decision_counts"].collect()] == [("APPROVED", known.ISSUED)]
+    wanted = plan_pipeline(seed_tables(spark), AS_OF, NOW).requests_run.distribution()
+    assert sorted(map(tuple, results["distribution"].collect())) == sorted(map(tuple, wanted.collect()))
+
+
+def test_whole_pipeline_in_brief_and_with_expired(spark, base, handed_over, monkeypatch):
+    monkeypatch.setattr(source, "read_query", lambda spark, database, query: spark.range(1))
+    _, results = jobs.run_database_pipeline(
+        spark, places(base), AS_OF, NOW, include_expired=True, brief=True)
+    assert set(results) == {"by_type", "totals", "decision_counts", "distribution"}
+    after = plan_pipeline(seed_tables(spark), AS_OF, NOW).licenses_after
+    wanted = license_report(after, AS_OF, include_expired=True, detailed=False)
+    for name in ("by_type", "totals"):
+        assert list(map(tuple, results[name].collect())) == list(map(tuple, wanted[name].collect()))
+
+
+def test_a_taken_id_stops_the_job_before_it_changes_anything(spark, base, handed_over):
+    jobs.request_job(spark, places(base), AS_OF, NOW)
+    before = base.execute("SELECT * FROM licenses ORDER BY 1").fetchall()
+    # revoked, and asked for again on the same day: the license's id would be the same
+    base.execute("UPDATE licenses SET status = 'EXPIRED'")
+    base.execute("UPDATE requests SET request_status = 'PENDING' WHERE processed_at IS NOT NULL")
+    with pytest.raises(ValueError, match="issued already"):
+        jobs.request_job(spark, places(base), AS_OF, NOW)
+    assert statuses(base).get("PENDING", 0) > 0
+    assert len(before) == base.execute("SELECT count(*) FROM licenses").fetchone()[0]

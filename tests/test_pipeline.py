@@ -1,3 +1,4 @@
+import datetime as dt
 import os
 from dataclasses import replace
 from types import SimpleNamespace
@@ -16,6 +17,7 @@ from seatwise.plans.validation import validate
 from seatwise.plans.jobs import process_requests
 from seatwise.session import shared_folder, table_store, temporary_store
 from seatwise.sinks.parquet import write_tables
+from seatwise.sinks.whole import Output, whole_output
 from seatwise.sources.tables import Tables, preflight, read_parquet, register
 
 
@@ -61,22 +63,66 @@ def test_repeated_run_gives_the_same_tables(spark, folder, tmp_path):
     assert values(spark.read.parquet(f"{out}/after/licenses")) == first
 
 
-def test_interrupted_run_can_be_repeated(spark, folder, tmp_path, monkeypatch):
+def test_failed_run_leaves_the_output_as_it_was(spark, folder, tmp_path, monkeypatch):
     whole, broken = str(tmp_path / "whole"), str(tmp_path / "broken")
     run_on_folder(spark, folder, whole, AS_OF, NOW)
 
-    def fail(rows, path, partition_by=()):
+    def fail(*args):
         raise OSError("disk gone")
 
     with monkeypatch.context() as patch:
-        patch.setattr(pipeline, "write_table", fail)
-        with pytest.raises(OSError):
-            run_on_folder(spark, folder, broken, AS_OF, NOW)
-    assert spark.read.parquet(f"{broken}/decisions").count() == known.ISSUED
+        # the change sets and the full tables are written by then
+        patch.setattr(pipeline.reports, "full_report", fail)
+        for out in (whole, broken):
+            with pytest.raises(OSError, match="disk gone"):
+                run_on_folder(spark, folder, out, AS_OF, NOW + dt.timedelta(days=1))
+    assert sorted(os.listdir(tmp_path)) == ["whole"]
     run_on_folder(spark, folder, broken, AS_OF, NOW)
-    for name in ("users", "licenses", "requests"):
-        assert values(spark.read.parquet(f"{broken}/after/{name}")) == values(
-            spark.read.parquet(f"{whole}/after/{name}"))
+    assert sorted(os.listdir(tmp_path)) == ["broken", "whole"]
+    for name in ("decisions", "after/licenses", "after/requests", "after/users", "report"):
+        assert values(spark.read.parquet(f"{broken}/{name}")) == values(
+            spark.read.parquet(f"{whole}/{name}"))
+
+
+def test_a_run_replaces_all_results_of_the_one_before(spark, folder, tmp_path):
+    out = str(tmp_path / "run")
+    run_on_folder(spark, folder, out, AS_OF, NOW)
+    results = run_on_folder(spark, folder, out, AS_OF, NOW, snapshots=False)
+    assert not os.path.exists(f"{out}/after")
+    assert values(results["run_counts"]) == [(known.DUE, known.FLAGS_CHANGED)]
+
+
+@pytest.mark.parametrize("step", [0, 1, 2])
+def test_a_switch_that_ends_half_way_is_undone_or_finished(spark, tmp_path, monkeypatch, step):
+    class Ended(Exception):
+        pass
+
+    def put(number):
+        with whole_output(spark, str(tmp_path / "out"), []) as output:
+            output.store(spark.range(number), "a")
+        return output
+
+    put(1)
+    moves = []
+
+    def ending(self, *paths):
+        if len(moves) == step:
+            raise Ended
+        moves.append(paths)
+        whole_move(self, *paths)
+
+    whole_move, whole_delete = Output._move, Output._delete
+    with monkeypatch.context() as patch:
+        patch.setattr(Output, "_move", ending)
+        patch.setattr(Output, "_delete", lambda self, path: (
+            ending(self) if path == self.replaced else whole_delete(self, path)))
+        with pytest.raises(Ended):
+            put(2)
+    Output(spark, str(tmp_path / "out")).recover()
+    found = spark.read.parquet(str(tmp_path / "out" / "a")).count()
+    assert found == (2 if step == 2 else 1)
+    assert os.listdir(tmp_path) == ["out"]
+    assert put(3).table("a").count() == 3
 
 
 def test_run_on_its_own_output_changes_nothing(spark, folder, tmp_path):
