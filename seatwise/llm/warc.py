@@ -28,6 +28,8 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seatwise.operators.matching import attach
+
 #: Bytes read from an archive at a time.
 STEP = 1 << 18
 #: A fixed date, so that the same pages give the same archives.
@@ -84,20 +86,22 @@ def records_of(stream) -> Iterator[tuple[dict[str, str], bytes]]:
     Holds one record and one step of the file. Raises ValueError on a broken frame, a
     truncated member or a wrong block digest.
     """
-    inflate, plain, raw = zlib.decompressobj(31), bytearray(), b""
+    inflate, plain, raw, begun = zlib.decompressobj(31), bytearray(), b"", False
     while True:
         if not raw:
             raw = stream.read(STEP)
         if not raw:
-            if plain or inflate.unconsumed_tail:
+            # Also true inside a gzip header, before any plain byte.
+            if begun:
                 raise ValueError("the archive ends inside a record")
             return
+        begun = True
         plain += inflate.decompress(raw, STEP)
         raw = inflate.unconsumed_tail
         if inflate.eof:
             raw = inflate.unused_data
             yield _framed(bytes(plain))
-            inflate, plain = zlib.decompressobj(31), bytearray()
+            inflate, plain, begun = zlib.decompressobj(31), bytearray(), False
 
 
 def _framed(member: bytes) -> tuple[dict[str, str], bytes]:
@@ -122,7 +126,8 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
 
     Payloads shorter than ``least_bytes`` are responses whatever they equal. First
     pages per payload are found by digest, with partial sums before the shuffle, so
-    that a payload of very many pages is one row per task.
+    that a payload of very many pages is one row per task; the look-up of a page's first
+    can be split by adaptive execution, so such a payload's records spread over archives.
     """
     payload = F.coalesce(F.col(html), F.lit("")).cast("binary")
     rows = pages.select(
@@ -130,8 +135,8 @@ def write_archives(pages: DataFrame, folder: str, page_id: str = "page_id", url:
         payload.alias("payload"),
         F.concat(F.sha1(payload), F.lit(":"), F.octet_length(payload)).alias("_key"),
     )
-    firsts = rows.groupBy(F.col("_key").alias("_same")).agg(F.min("page_id").alias("_first"))
-    rows = rows.join(firsts, F.col("_key") == F.col("_same"), "left").select(
+    firsts = rows.groupBy("_key").agg(F.min("page_id").alias("_first"))
+    rows = attach(rows, firsts, ["_key"]).select(
         "page_id", "url", "payload",
         F.when((F.col("page_id") > F.col("_first"))
                & (F.octet_length("payload") >= least_bytes), F.col("_first")).alias("refers_to"),

@@ -45,6 +45,35 @@ def test_warc(spark, tmp_path):
     assert written(spark, [], str(tmp_path / "none")).isEmpty()
 
 
+def test_a_hot_payload_spreads_over_archives(spark, tmp_path):
+    low = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+           "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+           "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+           "spark.sql.autoBroadcastJoinThreshold": "-1",
+           "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {name: spark.conf.get(name, None) for name in low}
+    n = F.col("id")
+    pages = spark.range(0, 30_000, numPartitions=12).select(
+        n.alias("page_id"), F.sha2(n.cast("string"), 256).alias("url"),
+        F.when(n % 3 == 0, "the same page").otherwise(F.concat(F.lit("page "), n)).alias("html"))
+    try:
+        for name, value in low.items():
+            spark.conf.set(name, value)
+        written = warc.write_archives(pages, str(tmp_path / "hot"))
+        plan = written._jdf.queryExecution().executedPlan()
+        archives = written.collect()
+        assert "skew=true" in plan.toString().split("== Initial Plan ==")[0]
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    # No archive holds the whole hot payload, let alone its partition.
+    assert sum(r.records for r in archives) == 30_000 and max(r.records for r in archives) < 10_000
+    listed = spark.createDataFrame(archives, "path string, records bigint")
+    found = warc.read_archives(listed, str(tmp_path / "hot"))
+    kinds = {tuple(r) for r in found.groupBy("record_type").count().collect()}
+    assert kinds == {("response", 20_001), ("revisit", 9_999)}
+
+
 def test_archives_are_standard_and_checked():
     whole = warc.record(1, "http://a/", b"hello", None) + warc.record(2, "http://b/", b"hello", 1)
     found = list(warc.records_of(io.BytesIO(whole)))
@@ -53,6 +82,10 @@ def test_archives_are_standard_and_checked():
     assert found[1][0]["warc-refers-to"] == "<urn:page:1>"
     with pytest.raises(ValueError, match="inside"):
         list(warc.records_of(io.BytesIO(whole[:-12])))
+    for end in range(1, 12):  # inside the header of the second member
+        first = len(warc.record(1, "http://a/", b"hello", None))
+        with pytest.raises(ValueError, match="inside"):
+            list(warc.records_of(io.BytesIO(whole[:first + end])))
     import gzip
     plain = gzip.decompress(warc.record(1, "u", b"hello", None))
     for bad, why in ((plain.replace(b"hello", b"hellO"), "digest"),
