@@ -40,13 +40,24 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Without that setting it is a folder in the warehouse, which is shared wherever
-    tables are; never a folder of one machine's own.
+    Without that setting it is a folder in the warehouse. A warehouse on a local disk
+    is one machine's own, so it serves a session in local mode only; on a cluster it
+    raises. A checkpoint folder is taken as named, as a path without a scheme may well
+    be a mounted share.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/.stages"
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not _one_machine(spark) and resolved(spark, warehouse).startswith("file:"):
+        raise ValueError(
+            f"set spark.checkpoint.dir: executors may not share the warehouse {warehouse}")
+    return f"{warehouse}/.stages"
+
+
+def _one_machine(spark: SparkSession) -> bool:
+    """True in local mode, where driver and tasks are one process."""
+    return spark.sparkContext.master.split("[")[0] == "local"
 
 
 def file_system(spark: SparkSession, path: str):

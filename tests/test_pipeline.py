@@ -334,3 +334,19 @@ def test_command_line(spark, folder, tmp_path, capsys):
     assert "by_type_and_product" not in out and "run_counts" in out
     assert spark.conf.get("spark.sql.shuffle.partitions") == "5"
     spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_a_local_warehouse_serves_local_mode_only(spark, tmp_path, monkeypatch):
+    def session(**conf):
+        names = {name.replace("__", "."): value for name, value in conf.items()}
+        return SimpleNamespace(
+            conf=names, sparkContext=SimpleNamespace(master="spark://host:7077"),
+            _jvm=spark._jvm, _jsc=spark._jsc)
+
+    local = session(spark__sql__warehouse__dir=f"file:{tmp_path}/w")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(local)
+    local.sparkContext.master = "local[4]"
+    assert shared_folder(local) == f"file:{tmp_path}/w/.stages"
+    named = session(spark__sql__warehouse__dir=f"file:{tmp_path}/w", spark__checkpoint__dir="/share/x/")
+    assert shared_folder(named) == "/share/x"
