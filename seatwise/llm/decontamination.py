@@ -9,10 +9,12 @@ which contains the item has one of them for certain. Items are partitioned by si
 partition's largest sketch hash bounds the shingles of a document that are looked up
 in that partition. Candidates are then verified by all their shingles.
 
-Defined results: a null or empty text, and an item of fewer than five words, has no
-shingles and matches nothing. Rows with one doc_id are one document, and rows with one
-item_id one item; a null id is left out, as nothing could name it. Empty tables give an
-empty result. Only the named columns are read.
+Defined results: a null or empty text has no shingles and matches nothing. A text of one
+to four words is one shingle, so an item that short is found in documents of the same
+words and no others. Texts of any length are taken whole. Rows with one doc_id are one
+document, and rows with one item_id one item; a null id is left out of the leaks, as
+nothing could name it. ``clean_texts`` judges every row by its own text, whatever its id.
+Empty tables give an empty result. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ CONTAINMENT = 0.8
 
 _SHINGLES = """slice(transform(_words, (x, i) -> xxhash64(x, get(_words, i + 1),
     get(_words, i + 2), get(_words, i + 3), get(_words, i + 4))),
-    1, greatest(size(_words) - 4, 0))"""
+    1, greatest(size(_words) - 4, least(size(_words), 1)))"""
 _WORDS = "array_remove(split(lower(_text), '[\\\\x20\\\\x09-\\\\x0D]+'), '')"
 
 
@@ -100,6 +102,31 @@ def _none(documents: DataFrame, benchmark: DataFrame, doc_id: str, item_id: str)
                         F.lit(0.0).alias("containment"))
 
 
+def leaking_texts(documents: DataFrame, benchmark: DataFrame,
+                  keep: Callable[[DataFrame, str], DataFrame], item_id: str = "item_id",
+                  text: str = "text", containment: float = CONTAINMENT) -> DataFrame:
+    """``leaks`` with a digest of the text in place of the id, as ``doc_id``.
+
+    Rows without an id, and differing texts of one id, are each judged. Copies of a text
+    are looked up once.
+    """
+    texts = documents.filter(F.col(text).isNotNull()).select(
+        _text_key(text).alias("_key"), F.col(text).alias(text))
+    items = benchmark.select(item_id, text)
+    return leaks(texts, items, keep, "_key", item_id, text, containment)
+
+
+def clean_texts(documents: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
+    """The documents, all columns, whose text is not one of ``leaking_texts``."""
+    bad = found.select(F.col("doc_id").alias("_bad")).distinct()
+    return documents.join(
+        bad, _text_key(text) == F.col("_bad"), "left_anti").select(*documents.columns)
+
+
+def _text_key(text: str):
+    return F.unhex(F.md5(F.col(text).cast("binary")))
+
+
 def clean(documents: DataFrame, found: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     """The documents, all columns, that contain no item."""
     bad = found.select(F.col("doc_id").alias("_bad")).distinct()

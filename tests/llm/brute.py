@@ -125,7 +125,7 @@ def classes(docs, least=0.8):
 def leaks(docs, items, least=0.8):
     def shingles(text):
         words = WORD.findall((text or "").lower())
-        return {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
+        return {tuple(words[i:i + 5]) for i in range(max(len(words) - 4, min(len(words), 1)))}
 
     documents, wanted = defaultdict(set), defaultdict(set)
     for doc_id, text in docs:

@@ -212,6 +212,26 @@ def test_decontamination(spark, given, oddities, empty):
     assert left.columns == documents.columns
 
 
+def test_texts_are_judged_whatever_their_id(spark):
+    item = "one two three four five six seven eight nine ten"
+    rows = [(None, f"x {item} y"), (None, "quite another text of more than five words"),
+            (1, f"{item} z"), (1, "not an item but of the same id"), (2, None), (3, ""),
+            (None, None), (4, "Yes  no"), (5, "yes no maybe"), (6, "well yes no"), (7, "yes")]
+    items = odd.frame(spark, [(1, item), (2, "yes NO"), (3, ""), (4, None)],
+                      "item_id bigint, text string")
+    documents = odd.frame(spark, rows)
+    found = decontamination.leaking_texts(documents, items, store(spark))
+    left = decontamination.clean_texts(documents, found)
+    assert left.columns == documents.columns
+    kept = [r for r in rows if r not in (rows[0], rows[2], rows[7])]
+    assert ordered((r.doc_id, r.text) for r in left.collect()) == ordered(kept)
+    # short items are found in documents of the same words only
+    assert rows_of(decontamination.leaks(documents, items, store(spark)), "doc_id", "item_id") == [
+        (1, 1), (4, 2)]
+    none = decontamination.leaking_texts(documents.limit(0), items, store(spark))
+    assert none.isEmpty() and decontamination.clean_texts(documents, none).count() == len(rows)
+
+
 QUALITY = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
            "base_failed")
 
