@@ -16,9 +16,9 @@ WITH words AS (
          list_filter(regexp_split_to_array(lower(text), '{_SPACE}'), lambda x: x <> '')
   FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL),
 shingles AS (
-  SELECT DISTINCT id, kind, unnest(list_transform(range(1, len(w) - 3),
+  SELECT DISTINCT id, kind, unnest(list_transform(range(1, greatest(len(w) - 3, 2)),
          lambda i: array_to_string(w[i:i + 4], ' '))) AS s
-  FROM words WHERE len(w) >= 5),
+  FROM words WHERE len(w) >= 1),
 items AS (SELECT id, s, count(*) OVER (PARTITION BY id) AS n FROM shingles WHERE kind = 'item')
 SELECT d.id AS doc_id, i.id AS item_id, count(*) AS n_shared, any_value(n) AS n_shingles,
        count(*) / any_value(n) AS containment
