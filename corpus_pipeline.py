@@ -36,11 +36,12 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Documents that contain no benchmark item; rows without an id or with a repeated one
+    are judged by their own text, and one without text stays."""
     with temporary_store(spark) as own:
-        found = decontamination.leaks(docs, read(spark, sf_dir, "benchmark"), own)
+        found = decontamination.leaking_texts(docs, read(spark, sf_dir, "benchmark"), own)
         listed = store(spark)(found, "leaks")
-    return decontamination.clean(docs, listed)
+    return decontamination.clean_texts(docs, listed)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
