@@ -78,10 +78,48 @@ def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def grams_at(seen: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Each place's byte and the ``DEPTH`` bytes before it, as one number, the byte lowest."""
-    gram = np.zeros(len(at), np.uint64)
+    gram = np.zeros(max(len(seen) - DEPTH, 0), np.uint64)  # of every place from DEPTH on
     for back in range(DEPTH, -1, -1):
-        gram = gram << np.uint64(8) | seen[at - back]
-    return gram
+        gram = gram << np.uint64(8) | seen[DEPTH - back:len(seen) - back]
+    return gram[at - DEPTH]
+
+
+class GramTable:
+    """Log probabilities of different grams, found by hashing with linear probing.
+
+    At least half of the cells are free, so that most look-ups end in the first cell.
+    """
+
+    def __init__(self, grams: np.ndarray, logs: np.ndarray):
+        self.bits = (2 * len(grams)).bit_length() + 1
+        self.grams = np.full(1 << self.bits, -1, np.int64)
+        self.logs = np.zeros(1 << self.bits, np.float32)
+        at = self._first(grams)
+        while len(grams):
+            free = self.grams[at] < 0
+            self.grams[at[free]] = grams[free]  # of several, one gets the cell
+            placed = self.grams[at] == grams
+            self.logs[at[placed]] = logs[placed]
+            grams, logs = grams[~placed], logs[~placed]
+            at = self._next(at[~placed])
+
+    def _first(self, grams: np.ndarray) -> np.ndarray:
+        spread = grams.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (spread >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _next(self, at: np.ndarray) -> np.ndarray:
+        return (at + 1) & ((1 << self.bits) - 1)
+
+    def find(self, grams: np.ndarray) -> np.ndarray:
+        """The log of each gram; one that is not in the table raises KeyError."""
+        at = self._first(grams)
+        on = np.flatnonzero(self.grams.take(at) != grams)
+        while len(on):
+            if (self.grams.take(at.take(on)) < 0).any():
+                raise KeyError("a gram without a probability")
+            at[on] = there = self._next(at.take(on))
+            on = on.take(np.flatnonzero(self.grams.take(there) != grams.take(on)))
+        return self.logs.take(at)
 
 
 def blocks(rows: DataFrame) -> DataFrame:
@@ -474,7 +512,7 @@ def score(documents: DataFrame, held_out: Column, keep: Keep, doc_id: str = "doc
         names, logs = shared.value
         logs = dict(zip(names.split(b"\n"), np.frombuffer(logs).tolist(), strict=True)) if logs else {}
         # The grams of a block come before its texts.
-        held, known, chances, block = [], None, None, None
+        held, known, block = [], None, None
         for batch in batches:
             for low, high, number in _stretches(batch.column("block").to_numpy()):
                 if number != block:
@@ -486,16 +524,15 @@ def score(documents: DataFrame, held_out: Column, keep: Keep, doc_id: str = "doc
                 if first == high - low:
                     continue
                 if known is None:
-                    known, chances = (np.concatenate(c) for c in zip(*held, strict=True))
-                    order = np.argsort(known)
-                    known, chances, held = known[order], chances[order], []
+                    known = GramTable(*(np.concatenate(c) for c in zip(*held, strict=True)))
+                    held = []
                 for part, data, offsets in parts(stretch.slice(first), "text"):
-                    yield score_part(part, data, offsets, known, chances, logs)
+                    yield score_part(part, data, offsets, known, logs)
 
-    def score_part(part, data, offsets, known, chances, logs):
+    def score_part(part, data, offsets, known, logs):
         seen, at, begins = symbols(data, offsets)
-        places = np.searchsorted(known, grams_at(seen, at).astype(np.int64))
-        lm = np.add.reduceat(chances[places].astype(np.float64), begins[:-1])
+        found = known.find(grams_at(seen, at).astype(np.int64))
+        lm = np.add.reduceat(found.astype(np.float64), begins[:-1])
         raw = data.tobytes()
         out: list[list] = [[], [], [], []]
         for low, high in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):

@@ -316,6 +316,31 @@ def test_lm_base_scores(spark, given, oddities, empty):
         assert row.base_score == 0 and np.isclose(row.score, (size + 1) * 8 * np.log10(0.5))
 
 
+def test_lm_gram_table_finds_every_gram_and_no_other():
+    draw = np.random.default_rng(5)
+    grams = draw.integers(0, 1 << 48, 50_000)
+    logs = (grams % 1009).astype(np.float32)
+    twice = draw.integers(0, len(grams), 1_000)  # a block that two tasks read has some twice
+    table = ctw.GramTable(np.append(grams, grams[twice]), np.append(logs, logs[twice]))
+    asked = draw.permutation(grams)
+    assert (table.find(asked) == asked % 1009).all()
+    assert len(table.find(asked[:0])) == 0
+    with pytest.raises(KeyError):
+        table.find(np.append(asked, 1 << 50))
+    one = ctw.GramTable(np.array([0]), np.array([-2.5], np.float32))
+    assert one.find(np.array([0, 0])).tolist() == [-2.5, -2.5]
+
+
+def test_lm_grams_are_the_bytes_before_each_place():
+    data = np.frombuffer(b"Abcdefgh", np.uint8)
+    seen, at, begins = ctw.symbols(data, np.array([0, 3, 3, 8]))
+    wanted = []
+    for text in (b"abc", b"", b"defgh"):
+        padded = bytes([ctw.END]) * ctw.DEPTH + text + bytes([ctw.END])
+        wanted += [int.from_bytes(padded[i:i + ctw.DEPTH + 1], "big") for i in range(len(text) + 1)]
+    assert ctw.grams_at(seen, at).tolist() == wanted and begins.tolist() == [0, 4, 5, 11]
+
+
 def test_lm_rare_words_are_joined(spark, given, monkeypatch):
     monkeypatch.setattr(ctw, "FREQUENT", 20)
     frame = spark.createDataFrame(given, "doc_id bigint, text string").repartition(3)
