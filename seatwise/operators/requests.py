@@ -170,11 +170,18 @@ def not_issued_for_pending(licenses: DataFrame, requests: DataFrame) -> DataFram
     """Licenses except those an interrupted run issued for requests still pending.
 
     Such a license starts on that run's day, which its id contains, and its request was
-    never processed; a request that was opened again was.
+    never processed; a request that was opened again was. A run stamps its licenses and
+    its requests with one time, so a time that some request carries is that of a run that
+    came to its end and decided all that waited. Licenses of such runs are set aside first:
+    what a waiting request is compared with are the days of unfinished runs for its seat,
+    and of licenses from elsewhere, not all days on which the seat was ever issued.
     """
     waiting = requests.filter(
         (F.col("request_status") == "PENDING") & F.col("processed_at").isNull())
-    starts = licenses.select(*SEAT, "start_date").distinct()
+    finished = requests.select(F.col("processed_at").cast("timestamp").alias("created_at")).filter(
+        F.col("created_at").isNotNull())
+    issued = licenses.select(*SEAT, "start_date", F.col("created_at").cast("timestamp").alias("created_at"))
+    starts = lacking_match(issued, finished, ["created_at"]).select(*SEAT, "start_date").distinct()
     own = waiting.join(starts, SEAT).select(issued_id(F.col("start_date")).alias("license_id"))
     return lacking_match(licenses, own, ["license_id"])
 

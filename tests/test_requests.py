@@ -1,6 +1,8 @@
+import datetime as dt
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 from rows import AFTER, AS_OF, BEFORE, NOW, ON, licenses, requests, users, values
 
 from seatwise.operators import requests as ops
@@ -143,6 +145,45 @@ def test_licenses_of_an_interrupted_run_are_left_out(tables):
     assert values(restored) == values(tables.licenses)
 
 
+def test_days_of_finished_runs_are_not_compared_with_waiting_requests(spark, monkeypatch):
+    """A seat issued on 40 days by finished runs and asked for by 50 waiting requests."""
+    days = [AS_OF - dt.timedelta(days=i + 1) for i in range(40)]
+    at = [NOW - dt.timedelta(days=i + 1) for i in range(40)]
+    seat = ("u", "Type 1", "P")
+    settled = requests(spark, *((1000 + i, "u", "APPROVED", "Type 1", "P") for i in range(40))).withColumn(
+        "processed_at", F.element_at(F.lit(at), (F.col("id") - 999).cast("int")))
+    held = licenses(spark, *((f"old{i}", *seat, "EXPIRED", days[i]) for i in range(40))).withColumn(
+        "_i", F.substring("license_id", 4, 2).cast("int") + 1).withColumns(
+        {"start_date": F.element_at(F.lit(days), F.col("_i")),
+         "created_at": F.element_at(F.lit(at), F.col("_i"))}).drop("_i")
+    waiting = requests(spark, *((i, "u", "PENDING", "Type 1", "P") for i in range(50)))
+    every = settled.unionByName(waiting)
+    first = process_requests(Tables(users(spark, ("u", True)), held, every), AS_OF, NOW)
+    assert first.new_licenses.count() == 50
+    compared = []
+    lacking = ops.lacking_match
+
+    def watched(rows, others, on, unique=False):
+        compared.append((on, others.count()))
+        return lacking(rows, others, on, unique)
+
+    monkeypatch.setattr(ops, "lacking_match", watched)
+    restored = ops.not_issued_for_pending(first.licenses_after, every)
+    assert values(restored) == values(held)
+    # The 50 requests with the one day of the unfinished run, not with 41 days.
+    assert compared == [(["created_at"], 40), (["license_id"], 50)]
+
+
+def test_licenses_from_elsewhere_stay(spark):
+    """Their times are no run's, so they are compared, and their ids are no request's."""
+    tables = Tables(users(spark, ("u", True)),
+                    licenses(spark, ("x", "u", "Type 1", "P", "ACTIVE", AFTER),
+                             ("y", "u", "Type 1", "Q", "ACTIVE", AFTER)).withColumn(
+                        "created_at", F.when(F.col("license_id") == "x", F.col("created_at"))),
+                    requests(spark, (1, "u", "PENDING", "Type 1", "P"), (2, "u", "PENDING", "Type 1", "Q")))
+    assert values(ops.not_issued_for_pending(tables.licenses, tables.requests)) == values(tables.licenses)
+
+
 def test_empty_input(spark):
     run = process_requests(Tables(users(spark), licenses(spark), requests(spark)), AS_OF, NOW)
     assert run.decisions.isEmpty() and run.new_licenses.isEmpty()
