@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seatwise.llm.common import Substrings, mix, parts, ranges, words
-from seatwise.operators.matching import attach
+from seatwise.operators.matching import attach, having_match
 
 WIDTH = 5
 #: 30 bands of 6 registers: of pairs at similarity 0.8, 1 in 10,000 shares no bucket.
@@ -361,10 +361,10 @@ def classes(documents: DataFrame, keep: Keep, doc_id: str = "doc_id", text: str
 
 
 def _in_open_buckets(members: DataFrame) -> DataFrame:
-    """The rows of buckets that hold texts of several labels."""
+    """The rows of buckets that hold texts of several labels; a hot bucket can be split."""
     several = members.groupBy("bucket").agg(
         F.min("label").alias("_low"), F.max("label").alias("_high")).filter("_low <> _high")
-    return members.join(several.select("bucket"), "bucket", "left_semi")
+    return having_match(members, several, ["bucket"])
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -164,6 +164,30 @@ def test_near_copies_chain_into_one_class(spark):
     assert found == brute.classes(rows) and set(found.values()) == {0}
 
 
+def test_a_hot_bucket_is_split(spark):
+    """A third of all rows in one bucket of several labels."""
+    small = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+             "spark.sql.shuffle.partitions": "16"}
+    before = {key: spark.conf.get(key, None) for key in small}
+    row = F.col("id")
+    members = spark.range(0, 60_000, numPartitions=12).select(
+        F.when(row % 3 == 0, 0).otherwise(row % 5_000 + 1).alias("bucket"), row.alias("doc_id"),
+        F.when(row % 3 == 0, row % 7).otherwise(0).alias("label"), F.xxhash64("id").alias("total"))
+    try:
+        for key, value in small.items():
+            spark.conf.set(key, value)
+        found = near_dedup._in_open_buckets(members)
+        assert {tuple(r)[:2] for r in found.collect()} == {(0, i) for i in range(0, 60_000, 3)}
+        assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_prob_minhash_estimates_probability_jaccard():
     a = {i: i % 4 + 1 for i in range(300)}
     b = {i: (i % 3 + 1) for i in range(60, 360)}
