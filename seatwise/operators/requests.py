@@ -178,10 +178,9 @@ def not_issued_for_pending(licenses: DataFrame, requests: DataFrame) -> DataFram
     """
     waiting = requests.filter(
         (F.col("request_status") == "PENDING") & F.col("processed_at").isNull())
-    finished = requests.select(F.col("processed_at").cast("timestamp").alias("created_at")).filter(
-        F.col("created_at").isNotNull())
-    issued = licenses.select(*SEAT, "start_date", F.col("created_at").cast("timestamp").alias("created_at"))
-    starts = lacking_match(issued, finished, ["created_at"]).select(*SEAT, "start_date").distinct()
+    stamp = F.col("processed_at").cast(licenses.schema["created_at"].dataType)
+    finished = requests.select(stamp.alias("created_at")).filter(F.col("created_at").isNotNull())
+    starts = lacking_match(licenses, finished, ["created_at"]).select(*SEAT, "start_date").distinct()
     own = waiting.join(starts, SEAT).select(issued_id(F.col("start_date")).alias("license_id"))
     return lacking_match(licenses, own, ["license_id"])
 
