@@ -41,9 +41,11 @@ from seatwise.llm.common import Substrings, mix, parts, ranges, text_bytes
 LEAST = 50
 ANCHOR = 16
 #: Bytes of text whose pairs one task sorts.
-TASK_BYTES = 24 << 20
+TASK_BYTES = 8 << 20
 #: Bytes of text within which repeats are dropped before pairs are moved.
 BLOCK_BYTES = 2 << 20
+#: Bytes of text hashed at once; the arrays of a pass take about a hundred times that.
+PASS_BYTES = 256 << 10
 
 Keep = Callable[[DataFrame, str], DataFrame]
 
@@ -102,6 +104,25 @@ def runs(data: np.ndarray, offsets: np.ndarray, least: int) -> dict[str, np.ndar
             "count": count, "place": place - start, **sides}
 
 
+def _passes(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """First and last document of stretches of about ``PASS_BYTES``."""
+    row, rows = 0, len(offsets) - 1
+    while row < rows:
+        end = int(np.searchsorted(offsets, offsets[row] + PASS_BYTES, "right")) - 1
+        end = min(max(end, row + 1), rows)
+        yield row, end
+        row = end
+
+
+def block_runs(data: np.ndarray, offsets: np.ndarray, least: int) -> dict[str, np.ndarray]:
+    """The ``runs`` of a block of documents, found a few documents at a time."""
+    found = []
+    for low, high in _passes(offsets):
+        some = runs(data[offsets[low]:offsets[high]], offsets[low:high + 1] - offsets[low], least)
+        found.append(some | {"doc": some["doc"] + low})
+    return {name: np.concatenate([some[name] for some in found]) for name in found[0]}
+
+
 def _pack(bucket: np.ndarray, doc: np.ndarray, docs: np.ndarray, columns: list[np.ndarray],
           done: bool) -> Iterator[pa.RecordBatch]:
     """Blocks of pairs, one per bucket: its documents, then the columns."""
@@ -289,7 +310,7 @@ def _first_rounds(rows: DataFrame, buckets: int, blocks: int, least: int) -> Dat
         for batch in batches:
             for part, data, offsets in parts(batch, "text", BLOCK_BYTES):
                 docs = _docs_of(part)
-                found = runs(data, offsets, least)
+                found = block_runs(data, offsets, least)
                 doc, start, count = found["doc"], found["start"], found["count"]
                 order, group, smallest = _repeats([found["whole"]], docs["id"][doc])
                 later = np.zeros(len(doc), bool)
@@ -369,13 +390,16 @@ def _last_round(rows: DataFrame, open_runs: DataFrame, buckets: int, blocks: int
     def strings(batches):
         for batch in batches:
             for part, data, offsets in parts(_unpacked(batch), "text", BLOCK_BYTES):
-                docs, sums = _docs_of(part), Substrings(data)
+                docs = _docs_of(part)
                 pairs = [np.frombuffer(x, "<u4").reshape(-1, 2).astype(np.int64) for x in part.column("open").to_pylist()]
                 doc = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs])
                 start, count = np.concatenate(pairs).T if pairs else np.zeros((2, 0), np.int64)
                 doc, start = np.repeat(doc, count), np.repeat(start, count) + ranges(count)
-                begin = offsets[doc] + start
-                rank = sums.hash(begin, begin + least)
+                begin, rank = offsets[doc] + start, np.empty(len(doc), np.uint64)
+                for low, high in _passes(offsets):
+                    some = slice(*np.searchsorted(doc, (low, high)))
+                    at = begin[some] - offsets[low]
+                    rank[some] = Substrings(data[offsets[low]:offsets[high]]).hash(at, at + least)
                 order, group, smallest = _repeats([rank], docs["id"][doc])
                 later = np.zeros(len(doc), bool)
                 later[order] = docs["id"][doc[order]] > smallest[group]
@@ -425,7 +449,7 @@ def repeated_spans(documents: DataFrame, keep: Keep, doc_id: str = "doc_id", tex
     rows = keyed(documents, doc_id, text)
     size = text_bytes(rows)
     buckets = max(12, -(-size // TASK_BYTES))
-    blocks = 4 * buckets
+    blocks = 2 * buckets
     found = keep(_first_rounds(rows, buckets, blocks, least), "rounds12")
     open_runs = found.filter(F.octet_length("open") > 0).select("doc_id", "text_key", "open")
     strings = keep(_last_round(rows, open_runs, buckets, blocks, least), "round3")

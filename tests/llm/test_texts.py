@@ -2,6 +2,7 @@
 
 import random
 import time
+import tracemalloc
 
 import brute
 import numpy as np
@@ -123,6 +124,23 @@ def test_suffix_dedup_on_random_bytes(spark):
     assert rows_of(removed(frame), *SUFFIX) == ordered(brute.suffix(rows))
 
 
+def test_suffix_dedup_hashes_a_block_in_little_memory():
+    """A worker's arrays stay far below a hundred times the block of text."""
+    rng = np.random.default_rng(6)
+    lengths = rng.integers(0, 4_000, 1_000)
+    offsets = np.append(0, np.cumsum(lengths))
+    data = rng.integers(97, 101, offsets[-1]).astype(np.uint8)
+    suffix_dedup.block_runs(data[:offsets[300]], offsets[:301], 50)  # tables kept by the worker
+    tracemalloc.start()
+    found = suffix_dedup.block_runs(data, offsets, 50)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 24 * len(data)
+    whole = suffix_dedup.runs(data, offsets, 50)
+    for name, column in whole.items():
+        assert (found[name] == column).all() if name != "place" else len(found[name]) == len(column)
+
+
 def test_removed_texts_keep_whole_characters(oddities):
     rows, frame = oddities
     left = suffix_dedup.removed(frame, suffix_dedup.repeated_spans(frame, store(frame.sparkSession)))
