@@ -43,6 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seatwise.llm.common import Substrings, mix, parts, ranges, words
+from seatwise.operators.key_filter import key_filter, may_occur
 from seatwise.operators.matching import attach, having_match
 
 WIDTH = 5
@@ -212,6 +213,16 @@ def verified(pairs: DataFrame, table: DataFrame, least: float) -> DataFrame:
 
 def promising(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
     """The pairs (u, v) whose registers do not rule similarity out."""
+
+    def side(name: str) -> DataFrame:
+        return sketches.select(F.col("doc_id").alias(name), F.col("sketch").alias(f"s{name}"))
+
+    joined = pairs.join(side("u"), "u").join(side("v"), "v")
+    return agreeing(joined.select("u", "v", "su", "sv"), least)
+
+
+def agreeing(pairs: DataFrame, least: float) -> DataFrame:
+    """u and v of the pairs (u, v, su, sv) whose sketches do not rule similarity out."""
     floor = REGISTERS * least - SLACK * (REGISTERS * least * (1 - least)) ** 0.5
 
     def run(batches):
@@ -223,11 +234,7 @@ def promising(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).filter(good), batch.column(1).filter(good)], ["u", "v"])
 
-    def side(name: str) -> DataFrame:
-        return sketches.select(F.col("doc_id").alias(name), F.col("sketch").alias(f"s{name}"))
-
-    joined = pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "su", "sv")
-    return joined.mapInArrow(run, "u bigint, v bigint")
+    return pairs.mapInArrow(run, "u bigint, v bigint")
 
 
 def linkable(texts: DataFrame, table: DataFrame, least: float) -> DataFrame:
@@ -311,25 +318,29 @@ def classes(documents: DataFrame, keep: Keep, doc_id: str = "doc_id", text: str
     members = keep(
         members.join(shared, "bucket").select("bucket", "doc_id", "center", "total"), "members")
     candidates = members.select("doc_id").distinct()
-    source = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    # Most texts are no candidates; the bitmaps keep them out of the exact joins' shuffles.
+    known = key_filter(candidates, ["doc_id"], keep, "candidates")
+    source = may_occur(documents.select(
+        F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), known)
     table = keep(
         shingle_table(source.join(candidates, "doc_id", "left_semi")).groupBy("doc_id")
         .agg(F.max(F.struct("shingles", "counts")).alias("_t")).select("doc_id", "_t.*"), "shingles")
     labels = keep(candidates.select("doc_id", F.col("doc_id").alias("label")), "labels")
 
-    sketches = keep(signed.select("doc_id", "sketch").join(candidates, "doc_id", "left_semi"),
-                    "sketches")
+    sketches = keep(
+        may_occur(signed.select("doc_id", "sketch"), known).join(candidates, "doc_id", "left_semi"),
+        "sketches")
 
-    def merged(labels: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
-        likely = keep(promising(pairs, sketches, least), f"{name}-likely")
-        found = keep(verified(likely, table, least), f"{name}-links")
+    def merged(labels: DataFrame, likely: DataFrame, name: str) -> DataFrame:
+        found = keep(verified(keep(likely, f"{name}-likely"), table, least), f"{name}-links")
         return merge_classes(labels, found, keep, name)
 
     others = members.filter("doc_id <> center")
     nearest = others.groupBy("doc_id").agg(F.min("center").alias("v"))
-    labels = merged(labels, nearest.select(F.col("doc_id").alias("u"), "v"), "nearest")
+    nearest = nearest.select(F.col("doc_id").alias("u"), "v")
+    labels = merged(labels, promising(nearest, sketches, least), "nearest")
     apart = _apart(others.select(F.col("doc_id").alias("u"), F.col("center").alias("v")).distinct(), labels)
-    labels = merged(labels, apart, "centers")
+    labels = merged(labels, promising(apart, sketches, least), "centers")
 
     # Buckets that still hold several classes: compare with 1/8 of their texts, then
     # with all of them, always only across classes.
@@ -344,14 +355,17 @@ def classes(documents: DataFrame, keep: Keep, doc_id: str = "doc_id", text: str
             break
         if share == 1:
             held = keep(_in_open_buckets(held.drop("label").join(labels, "doc_id")), "last")
-        tried = held.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select(
+        # The sketches come with the bucket's rows, so pairs that fail move nowhere.
+        sketched = held.join(sketches, "doc_id")
+        tried = sketched.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select(
             "bucket", F.col("doc_id").alias("v"), F.col("label").alias("_of_v"),
-            F.col("total").alias("_total"))
-        pairs = held.join(tried, "bucket").filter(
+            F.col("total").alias("_total"), F.col("sketch").alias("sv"))
+        pairs = sketched.join(tried, "bucket").filter(
             (F.col("label") != F.col("_of_v"))
             & (F.least("total", "_total") >= F.greatest("total", "_total") * least - 1e-9))
-        pairs = pairs.select(F.least("doc_id", "v").alias("u"), F.greatest("doc_id", "v").alias("v"))
-        labels = merged(labels, pairs.distinct(), f"open{share}")
+        pairs = pairs.select(F.least("doc_id", "v").alias("u"), F.greatest("doc_id", "v").alias("v"),
+                             F.col("sketch").alias("su"), "sv")
+        labels = merged(labels, agreeing(pairs, least).distinct(), f"open{share}")
 
     known = copies.join(labels.select(F.col("doc_id").alias("rep"), "label"), "rep", "left").select(
         "doc_id", F.coalesce("label", "rep").alias("class_id"))

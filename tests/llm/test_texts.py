@@ -124,6 +124,23 @@ def test_suffix_dedup_on_random_bytes(spark):
     assert rows_of(removed(frame), *SUFFIX) == ordered(brute.suffix(rows))
 
 
+def test_near_duplicates_shuffles_texts_of_candidates_only(spark):
+    """Texts that share no bucket are left out before the exact join, which moves its rows."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choices(["w%d" % j for j in range(500)], k=40))) for i in range(60)]
+    rows += [(100, rows[0][1] + " end"), (101, rows[1][1])]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    keep, plans = store(spark), {}
+
+    def watched(kept, name):
+        plans[name] = kept._jdf.queryExecution().optimizedPlan().toString()
+        return keep(kept, name)
+
+    found = {r.doc_id: r.class_id for r in near_dedup.classes(frame, watched).collect()}
+    assert found == {i: i for i in range(60)} | {100: 0, 101: 1}
+    assert all("_filter_bits" in plans[name] for name in ("shingles", "sketches"))
+
+
 def test_suffix_dedup_hashes_a_block_in_little_memory():
     """A worker's arrays stay far below a hundred times the block of text."""
     rng = np.random.default_rng(6)
