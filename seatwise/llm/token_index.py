@@ -70,7 +70,9 @@ class WordIds(dict):
     def _learn(self, words: list[str]) -> None:
         """Words of letters alone are encoded as one text and told apart by their ends."""
         plain = [w for w in words if w.isalpha()]
-        ids = np.array(self.tokenizer.encode(" ".join(plain), add_special_tokens=False).ids, self.width)
+        # The fast form keeps no offsets, which nothing here reads.
+        one, = self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)
+        ids = np.array(one.ids, self.width)
         ends = (np.flatnonzero(self.ends_word[ids]) + 1) * ids.itemsize
         if len(ends) == len(plain):
             raw, low = ids.tobytes(), 0
@@ -86,11 +88,12 @@ class WordIds(dict):
         split = [_lowered(t).replace("\n", " ").split(" ") for t in texts]
         full = len(self) >= CACHED_WORDS
         new = set().union(*split).difference(self)
-        whole, cut = set(), []
-        for word in new:
+        marked, cut = [w for w in new if w[-1] in _MARKS], []
+        whole = new.difference(marked)
+        for word in marked:
             stem = word.rstrip(_MARKS)
             # Some letters become a letter and a mark when lowered: such marks join those behind.
-            if stem and len(stem) < len(word) and stem[-1].isalpha() and stem[-1].lower()[-1].isalpha():
+            if stem and stem[-1].isalpha() and stem[-1].lower()[-1].isalpha():
                 cut.append((word, stem, word[len(stem):]))
                 whole.update(cut[-1][1:])
             else:

@@ -141,6 +141,21 @@ def test_near_duplicates_shuffles_texts_of_candidates_only(spark):
     assert all("_filter_bits" in plans[name] for name in ("shingles", "sketches"))
 
 
+def test_words_are_encoded_without_offsets():
+    """The slower call, which also finds where each token stands, is not made."""
+    path = tokens.path("word_bpe_49k.json")
+    words = token_index.WordIds(path, np.uint16)
+    plain = words.tokenizer
+    texts = ["Some words, and (more) words!", "x1 \u0130. \u0130, ...", "", "end."]
+
+    class Fast:
+        encode_batch_fast = plain.encode_batch_fast
+
+    words.tokenizer = Fast()
+    wanted = [np.array(plain.encode(t, add_special_tokens=False).ids, np.uint16).tobytes() for t in texts]
+    assert words.encode(texts) == wanted
+
+
 def test_suffix_dedup_hashes_a_block_in_little_memory():
     """A worker's arrays stay far below a hundred times the block of text."""
     rng = np.random.default_rng(6)
