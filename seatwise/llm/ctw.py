@@ -33,11 +33,12 @@ from math import lgamma
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatwise.llm.common import partitions_for, parts, ranges, text_bytes
+from seatwise.llm.common import packed, partitions_for, parts, ranges, text_bytes, unpacked
 
 DEPTH = 5
 #: Bytes of text whose different grams are looked up together.
@@ -54,6 +55,12 @@ END = 0xFF
 HELD_WORDS = 300_000
 #: Grams that a task gathers at least before it merges equal ones.
 HELD_GRAMS = 500_000
+#: Grams that a task hands on at once, and bytes of text in one numpy pass; the arrays of
+#: a pass take about a hundred times that.
+HANDED_GRAMS = 100_000
+PASS_BYTES = 256 << 10
+#: Texts that a task decompresses at once.
+UNPACKED_ROWS = 500
 
 Keep = Callable[[DataFrame, str], DataFrame]
 
@@ -166,16 +173,18 @@ def block_grams(dealt: DataFrame) -> DataFrame:
         def flush():
             merge()
             gram, n = grams.pop(), counts.pop()
-            return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(gram), block)), pa.array(gram.astype(np.int64)), pa.array(n)],
-                ["block", "gram", "n"])
+            for low in range(0, len(gram), HANDED_GRAMS):
+                some = gram[low:low + HANDED_GRAMS].astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(some), block)), pa.array(some),
+                     pa.array(n[low:low + HANDED_GRAMS])], ["block", "gram", "n"])
 
         for batch in batches:
             for low, high, number in _stretches(batch.column("block").to_numpy()):
                 if number != block and grams:
-                    yield flush()
+                    yield from flush()
                 block = number
-                for part, data, offsets in parts(batch.slice(low, high - low), "text"):
+                for part, data, offsets in parts(batch.slice(low, high - low), "text", PASS_BYTES):
                     seen, at, begins = symbols(data, offsets)
                     # The lowest bit tells held out places, which count 0.
                     held = part.column("held_out").to_numpy(zero_copy_only=False).astype(np.uint64)
@@ -190,7 +199,7 @@ def block_grams(dealt: DataFrame) -> DataFrame:
                     if sum(map(len, grams[1:])) > max(HELD_GRAMS, len(grams[0])):
                         merge()
         if grams:
-            yield flush()
+            yield from flush()
 
     return dealt.select("block", "held_out", "text").mapInArrow(
         count, "block bigint, gram bigint, n bigint")
@@ -478,6 +487,50 @@ def frequent_words(counts: DataFrame) -> DataFrame:
     return counts.filter(F.octet_length("word") <= SENT_BYTES).orderBy(F.desc("n"), "word").limit(FREQUENT)
 
 
+def pack_chances(gram: np.ndarray, log: np.ndarray) -> bytes:
+    """Sorted grams and their logs: all first bytes, all second bytes and so on, which
+    makes them compress well."""
+    bytes_of = [x.view(np.uint8).reshape(len(x), -1) for x in
+                (np.ascontiguousarray(gram, "<i8"), np.ascontiguousarray(log, "<f4"))]
+    return np.concatenate([bytes_of[0][:, :DEPTH + 1], bytes_of[1]], axis=1).T.tobytes()
+
+
+def unpack_chances(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    rows = np.frombuffer(raw, np.uint8).reshape(DEPTH + 5, -1).T
+    gram = np.zeros((len(rows), 8), np.uint8)
+    gram[:, :DEPTH + 1] = rows[:, :DEPTH + 1]
+    return gram.view("<i8").ravel(), np.ascontiguousarray(rows[:, DEPTH + 1:]).view("<f4").ravel()
+
+
+def packed_chances(chances: DataFrame) -> DataFrame:
+    """block, and pieces of its (gram, log) rows, compressed, as ``text``."""
+
+    def run(batches):
+        pack, held = zstandard.ZstdCompressor(level=1), []
+
+        def flush():
+            block, gram, log = (np.concatenate(c) for c in zip(*held, strict=True))
+            order = np.lexsort((gram, block))
+            block, gram, log = block[order], gram[order], log[order]
+            names, pieces = [], []
+            for low, high, number in _stretches(block):
+                names.append(number)
+                pieces.append(pack.compress(pack_chances(gram[low:high], log[low:high])))
+            held.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.int64()), pa.array(pieces, pa.binary())], ["block", "text"])
+
+        for batch in batches:
+            if batch.num_rows:
+                held.append([batch.column(c).to_numpy() for c in ("block", "gram", "log")])
+            if sum(len(x[0]) for x in held) >= HELD_GRAMS:
+                yield flush()
+        if held:
+            yield flush()
+
+    return chances.select("block", "gram", "log").mapInArrow(run, "block bigint, text binary")
+
+
 _PARTIAL = ("_row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
             "base double, score double, rare array<struct<word: binary, times: bigint>>")
 
@@ -512,7 +565,7 @@ def score(documents: DataFrame, held_out: Column, keep: Keep, doc_id: str = "doc
         names, logs = shared.value
         logs = dict(zip(names.split(b"\n"), np.frombuffer(logs).tolist(), strict=True)) if logs else {}
         # The grams of a block come before its texts.
-        held, known, block = [], None, None
+        held, known, block, unpack = [], None, None, zstandard.ZstdDecompressor()
         for batch in batches:
             for low, high, number in _stretches(batch.column("block").to_numpy()):
                 if number != block:
@@ -520,14 +573,17 @@ def score(documents: DataFrame, held_out: Column, keep: Keep, doc_id: str = "doc
                 stretch = batch.slice(low, high - low)
                 first = int(np.count_nonzero(~stretch.column("is_text").to_numpy(zero_copy_only=False)))
                 if first:
-                    held.append([stretch.column(c).slice(0, first).to_numpy() for c in ("gram", "log")])
+                    held += [unpack_chances(unpack.decompress(x))
+                             for x in stretch.column("text").slice(0, first).to_pylist()]
                 if first == high - low:
                     continue
                 if known is None:
                     known = GramTable(*(np.concatenate(c) for c in zip(*held, strict=True)))
                     held = []
-                for part, data, offsets in parts(stretch.slice(first), "text"):
-                    yield score_part(part, data, offsets, known, logs)
+                for at in range(first, high - low, UNPACKED_ROWS):
+                    texts = unpacked(stretch.slice(at, UNPACKED_ROWS))
+                    for part, data, offsets in parts(texts, "text", PASS_BYTES):
+                        yield score_part(part, data, offsets, known, logs)
 
     def score_part(part, data, offsets, known, logs):
         seen, at, begins = symbols(data, offsets)
@@ -551,8 +607,10 @@ def score(documents: DataFrame, held_out: Column, keep: Keep, doc_id: str = "doc
             pa.array(out[3], pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())])))],
             ["_row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
 
-    texts = dealt.withColumn("is_text", F.lit(True))
-    chances = pairs.select("block", "gram").join(logs, "gram").withColumn("is_text", F.lit(False))
+    texts = packed(dealt.withColumn("text", F.coalesce("text", F.lit("")))).withColumn(
+        "is_text", F.lit(True))
+    chances = packed_chances(pairs.select("block", "gram").join(logs, "gram")).withColumn(
+        "is_text", F.lit(False))
     parted = texts.unionByName(chances, allowMissingColumns=True).repartition(
         partitions_for(documents.sparkSession, text_bytes(dealt), BLOCK), "block")
     partial = keep(parted.sortWithinPartitions("block", "is_text").mapInArrow(run, _PARTIAL), "partial")

@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seatwise.llm.common import Substrings, mix, parts, ranges, text_bytes
+from seatwise.llm.common import Substrings, mix, packed, parts, ranges, text_bytes, unpacked
 
 LEAST = 50
 ANCHOR = 16
@@ -279,28 +279,6 @@ def keyed(documents: DataFrame, doc_id: str, text: str, *others: Column) -> Data
         F.coalesce(F.col(text), F.lit("")).alias("text"), *others)
 
 
-def _packed(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``text`` compressed, for a shuffle that moves all texts."""
-
-    def run(batches):
-        pack = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            small = pa.array([pack.compress(x) for x in
-                              batch.column(at).cast(pa.binary()).to_pylist()], pa.binary())
-            yield batch.set_column(at, "text", small)
-
-    schema = rows.withColumn("text", F.col("text").cast("binary")).schema
-    return rows.mapInArrow(run, schema)
-
-
-def _unpacked(batch: pa.RecordBatch) -> pa.RecordBatch:
-    unpack = zstandard.ZstdDecompressor()
-    at = batch.schema.get_field_index("text")
-    plain = pa.array([unpack.decompress(x) for x in batch.column(at).to_pylist()], pa.binary())
-    return batch.set_column(at, "text", plain)
-
-
 def _first_rounds(rows: DataFrame, buckets: int, blocks: int, least: int) -> DataFrame:
     """Rounds 1 and 2: repeats for certain, and runs that need round 3."""
     kinds = ["<u4", "<u8", "<u4", "u1", "u1", "u1", "u1"]
@@ -389,7 +367,7 @@ def _last_round(rows: DataFrame, open_runs: DataFrame, buckets: int, blocks: int
 
     def strings(batches):
         for batch in batches:
-            for part, data, offsets in parts(_unpacked(batch), "text", BLOCK_BYTES):
+            for part, data, offsets in parts(unpacked(batch), "text", BLOCK_BYTES):
                 docs = _docs_of(part)
                 pairs = [np.frombuffer(x, "<u4").reshape(-1, 2).astype(np.int64) for x in part.column("open").to_pylist()]
                 doc = np.repeat(np.arange(len(pairs)), [len(p) for p in pairs])
@@ -431,7 +409,7 @@ def _last_round(rows: DataFrame, open_runs: DataFrame, buckets: int, blocks: int
         yield from _deal(names, _merged(number, begin, begin + least), (none, none, none), blocks)
 
     return (
-        _packed(rows.select("doc_id", "text_key", "text")).join(open_runs, ["doc_id", "text_key"])
+        packed(rows.select("doc_id", "text_key", "text")).join(open_runs, ["doc_id", "text_key"])
         .mapInArrow(strings, _BLOCK)
         .repartition(buckets, "bucket").mapInArrow(sort, _BLOCK)
         .repartition(blocks, "bucket").mapInArrow(_gather, _FOUND)
@@ -461,7 +439,7 @@ def with_spans(documents: DataFrame, spans: DataFrame, doc_id: str, text: str, *
                ) -> DataFrame:
     """doc_id, the other columns asked for, text (compressed), and ``_spans``."""
     listed = spans.groupBy("doc_id", "text_key").agg(F.collect_list("spans").alias("_spans"))
-    rows = _packed(keyed(documents, doc_id, text, *others))
+    rows = packed(keyed(documents, doc_id, text, *others))
     return rows.join(listed, ["doc_id", "text_key"], "left").drop("text_key")
 
 

@@ -156,6 +156,21 @@ def test_words_are_encoded_without_offsets():
     assert words.encode(texts) == wanted
 
 
+def test_lm_chances_move_in_few_bytes(spark):
+    """The grams of a block and their logs, in pieces of less than 8 bytes a gram."""
+    rng = np.random.default_rng(9)
+    gram = np.unique(rng.choice(np.frombuffer(b"etaoin shrdlu", np.uint8), (40_000, 6)).astype(np.int64)
+                     @ (1 << 8 * np.arange(6)))
+    log = np.log10(rng.random(len(gram))).astype(np.float32)
+    back = ctw.unpack_chances(ctw.pack_chances(gram, log))
+    assert (back[0] == gram).all() and (back[1] == log).all()
+    rows = [(b, int(g), float(x)) for b in (3, 1 << 40) for g, x in zip(gram, log, strict=True)]
+    frame = spark.createDataFrame(rows, "block bigint, gram bigint, log float").coalesce(2)
+    pieces = ctw.packed_chances(frame).collect()
+    assert {r.block for r in pieces} == {3, 1 << 40}
+    assert sum(len(r.text) for r in pieces) < 8 * len(rows)
+
+
 def test_suffix_dedup_hashes_a_block_in_little_memory():
     """A worker's arrays stay far below a hundred times the block of text."""
     rng = np.random.default_rng(6)
