@@ -23,6 +23,7 @@ shard numbers (32), first ids (64) and numbers of ids (64).
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
@@ -62,7 +63,7 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         super().__init__({"": b""})
-        self.tokenizer, self.width = Tokenizer.from_file(path), width
+        self.tokenizer, self.width, self.unseen = Tokenizer.from_file(path), width, []
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -85,9 +86,13 @@ class WordIds(dict):
             self[word] = np.array(one.ids, self.width).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [_lowered(t).replace("\n", " ").split(" ") for t in texts]
-        full = len(self) >= CACHED_WORDS
-        new = set().union(*split).difference(self)
+        self.unseen, full = [], len(self) >= CACHED_WORDS
+        found, unseen = [], []
+        for text in texts:  # one look-up a word: those not in the table are listed in passing
+            found.append(list(map(self.__getitem__, _lowered(text).replace("\n", " ").split(" "))))
+            unseen.append(self.unseen)
+            self.unseen = []
+        new = set().union(*unseen)
         marked, cut = [w for w in new if w[-1] in _MARKS], []
         whole = new.difference(marked)
         for word in marked:
@@ -98,15 +103,23 @@ class WordIds(dict):
                 whole.update(cut[-1][1:])
             else:
                 whole.add(word)
-        whole = list(whole.difference(self))
+        whole = [w for w in whole if w not in self]  # ``difference`` would go through the table
         self._learn(whole)
         for word, stem, marks in cut:
             self[word] = self[stem] + self[marks]
-        found = [b"".join(map(self.__getitem__, words)) for words in split]
+        for ids, words in zip(found, unseen, strict=True):
+            at = -1
+            for word in words:
+                at = ids.index(None, at + 1)
+                ids[at] = self[word]
         if full:
             for word in new.union(whole):
                 self.pop(word, None)
-        return found
+        return list(map(b"".join, found))
+
+    def __missing__(self, word: str) -> None:
+        """A word without ids yet; ``encode`` puts them in its place."""
+        self.unseen.append(word)
 
 
 def _lowered(text: str) -> str:
@@ -121,6 +134,8 @@ def _lowered(text: str) -> str:
 
 @cache
 def _encoder(path: str, width: type) -> WordIds:
+    # Spark's tasks share the cores; threads of the library's own would spin beside them.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     return WordIds(path, width)
 
 
@@ -156,8 +171,8 @@ def write_shards(documents: DataFrame, folder: str, tokenizer_path: str, end_id:
             if out is None and batch.num_rows:
                 where.create_dir(base)
                 out = where.open_output_stream(f"{name}.part", compression=None)
-            for start in range(0, batch.num_rows, 1_000):
-                part = batch.slice(start, 1_000)
+            for start in range(0, batch.num_rows, 200):
+                part = batch.slice(start, 200)
                 texts = [t or "" for t in part.column(1).to_pylist()]
                 for key, ids in zip(part.column(0).to_pylist(), encoder.encode(texts), strict=True):
                     copy = copy + 1 if last == (key,) else 0

@@ -156,6 +156,19 @@ def test_words_are_encoded_without_offsets():
     assert words.encode(texts) == wanted
 
 
+def test_encoding_does_not_go_through_the_table_of_words():
+    """A text costs a look-up a word, however many words the worker's table holds."""
+    class Closed(token_index.WordIds):
+        def __iter__(self):
+            raise AssertionError("went through the table")
+
+    path = tokens.path("word_bpe_49k.json")
+    words, plain = Closed(path, np.uint16), token_index.WordIds(path, np.uint16).tokenizer
+    for texts in (["new words, here", "", "here. new"], ["words here and new ones", "ones, ones!"]):
+        wanted = [np.array(plain.encode(t, add_special_tokens=False).ids, np.uint16).tobytes() for t in texts]
+        assert words.encode(texts) == wanted
+
+
 def test_lm_chances_move_in_few_bytes(spark):
     """The grams of a block and their logs, in pieces of less than 8 bytes a gram."""
     rng = np.random.default_rng(9)
