@@ -16,9 +16,12 @@ yet in one class:
 3. in buckets that still hold several classes, with an eighth of the bucket's texts,
    at last with all of them.
 
-Before step 3, texts leave that cannot be similar to any text of another class: less than
-``SIMILARITY`` of their weight is in shingles that a text of another class also has. In a
-large family of texts that resemble each other somewhat, few are left to be paired. A pair
+Before step 3, texts leave that cannot be similar to any text of another class. What a text
+has in common with one of another class is no more than the weight of its shingles that
+any text of another class has (its ``shared`` weight), and a similarity of ``SIMILARITY``
+takes 0.8/1.8 of the sum of both totals in common. In a large family of texts that resemble
+each other somewhat, few are left to be paired, and a pair is made only where the smaller
+shared weight is enough, once, in the first bucket that its texts have in common. A pair
 whose registers agree in far fewer places (six standard deviations) than at the threshold
 is not compared shingle by shingle.
 
@@ -39,7 +42,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seatwise.llm.common import Substrings, mix, parts, ranges, words
@@ -238,9 +241,11 @@ def agreeing(pairs: DataFrame, least: float) -> DataFrame:
 
 
 def linkable(texts: DataFrame, table: DataFrame, least: float) -> DataFrame:
-    """doc_id of the texts (doc_id, label, total) that may be similar to one of another label.
+    """doc_id and ``shared`` of the texts (doc_id, label, total) that may be similar to one of
+    another label.
 
-    A similarity of ``least`` takes that share of a text's weight in common shingles.
+    ``shared`` is the weight in shingles that a text of another label also has. A similarity
+    of ``least`` takes at least that share of a text's weight.
     """
 
     def run(batches):
@@ -263,8 +268,46 @@ def linkable(texts: DataFrame, table: DataFrame, least: float) -> DataFrame:
     shared = each.groupBy("h").agg(F.min("label").alias("_low"), F.max("label").alias("_high"))
     shared = shared.filter("_low <> _high").select("h", F.lit(True).alias("_shared"))
     common = attach(each.select("h", "doc_id", "total", "weight"), shared, ["h"]).filter("_shared")
-    return common.groupBy("doc_id", "total").agg(F.sum("weight").alias("_weight")).filter(
-        F.col("_weight") >= F.col("total") * least - 1e-9).select("doc_id")
+    return common.groupBy("doc_id", "total").agg(F.sum("weight").alias("shared")).filter(
+        F.col("shared") >= F.col("total") * least - 1e-9).select("doc_id", "shared")
+
+
+def _enough(shared: Column, totals: Column, least: float) -> Column:
+    """Whether two texts with this sum of totals may be similar if they share that weight."""
+    return shared * (1 + least) >= totals * least - 1e-6
+
+
+def _may_link(members: DataFrame, least: float) -> DataFrame:
+    """The rows whose bucket may hold a text similar to theirs, by the smallest total and
+    the largest shared weight in it."""
+    bounds = members.groupBy("bucket").agg(
+        F.min("total").alias("_least_total"), F.max("shared").alias("_most_shared"))
+    smallest = F.greatest("_least_total", F.col("total") * least)
+    return attach(members, bounds, ["bucket"]).filter(_enough(
+        F.least("shared", "_most_shared"), F.col("total") + smallest, least)).select(members.columns)
+
+
+def open_pairs(held: DataFrame, sketches: DataFrame, share: int, least: float) -> DataFrame:
+    """u, v and their sketches su, sv of the pairs of the rows (bucket, doc_id, label, total,
+    shared) that may be similar: of one bucket and two labels, one of them among a
+    ``share``-th of the texts. A pair comes once, from the first of its common buckets."""
+    def tried(name: str) -> Column:
+        return F.pmod(F.xxhash64(name), F.lit(share)) == 0
+
+    buckets = held.groupBy("doc_id").agg(F.collect_set("bucket").alias("near"))
+    # The sketches come with the bucket's rows, so pairs that fail move nowhere.
+    whole = held.join(sketches.join(buckets, "doc_id"), "doc_id").select(
+        "bucket", "doc_id", "label", "total", "shared", "sketch", "near")
+    some = whole.filter(tried("doc_id")).select("bucket", *(
+        F.col(name).alias(f"_{name}") for name in whole.columns[1:]))
+    pairs = whole.join(some, "bucket").filter(
+        (F.col("label") != F.col("_label"))
+        & ((F.col("doc_id") < F.col("_doc_id")) | ~tried("doc_id"))
+        & (F.least("total", "_total") >= F.greatest("total", "_total") * least - 1e-9)
+        & _enough(F.least("shared", "_shared"), F.col("total") + F.col("_total"), least)
+        & (F.array_min(F.array_intersect("near", "_near")) == F.col("bucket")))
+    return pairs.select(F.least("doc_id", "_doc_id").alias("u"), F.greatest("doc_id", "_doc_id").alias("v"),
+                        F.col("sketch").alias("su"), F.col("_sketch").alias("sv"))
 
 
 def merge_classes(labels: DataFrame, links: DataFrame, keep: Keep, name: str) -> DataFrame:
@@ -349,23 +392,15 @@ def classes(documents: DataFrame, keep: Keep, doc_id: str = "doc_id", text: str
         if not held.isEmpty():
             texts = held.select("doc_id", "label", "total").distinct()
             able = keep(linkable(texts, table, least), f"able{turn}")
-            held = keep(_in_open_buckets(held.join(able, "doc_id", "left_semi")), f"left{turn}")
+            held = _may_link(held.drop("shared").join(able, "doc_id"), least)
+            held = keep(_in_open_buckets(held), f"left{turn}")
     for share in (8, 1):
         if held.isEmpty():
             break
         if share == 1:
             held = keep(_in_open_buckets(held.drop("label").join(labels, "doc_id")), "last")
-        # The sketches come with the bucket's rows, so pairs that fail move nowhere.
-        sketched = held.join(sketches, "doc_id")
-        tried = sketched.filter(F.pmod(F.xxhash64("doc_id"), F.lit(share)) == 0).select(
-            "bucket", F.col("doc_id").alias("v"), F.col("label").alias("_of_v"),
-            F.col("total").alias("_total"), F.col("sketch").alias("sv"))
-        pairs = sketched.join(tried, "bucket").filter(
-            (F.col("label") != F.col("_of_v"))
-            & (F.least("total", "_total") >= F.greatest("total", "_total") * least - 1e-9))
-        pairs = pairs.select(F.least("doc_id", "v").alias("u"), F.greatest("doc_id", "v").alias("v"),
-                             F.col("sketch").alias("su"), "sv")
-        labels = merged(labels, agreeing(pairs, least).distinct(), f"open{share}")
+        pairs = open_pairs(held, sketches, share, least)
+        labels = merged(labels, agreeing(pairs, least), f"open{share}")
 
     known = copies.join(labels.select(F.col("doc_id").alias("rep"), "label"), "rep", "left").select(
         "doc_id", F.coalesce("label", "rep").alias("class_id"))

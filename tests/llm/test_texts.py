@@ -242,6 +242,48 @@ def test_near_copies_chain_into_one_class(spark):
     assert found == brute.classes(rows) and set(found.values()) == {0}
 
 
+def near_family(n, seed):
+    """Texts with one to six of 150 words replaced, each by a word of its own."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(n):
+        words = list(base)
+        for at in rng.sample(range(150), rng.randint(1, 6)):
+            words[at] = f"own{i}x{at}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_a_large_family_makes_few_pairs(spark):
+    """Texts that share too little with all others are not paired, and no link is lost."""
+    rows, keep, made = near_family(300, 4), store(spark), {}
+
+    def watched(kept, name):
+        made[name] = keep(kept, name)
+        return made[name]
+
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    found = {r.doc_id: r.class_id for r in near_dedup.classes(frame, watched).collect()}
+    assert found == brute.classes(rows)
+    assert sum(made[n].count() for n in made if n.startswith("open") and n.endswith("-likely")) < 6_000
+
+
+def test_a_pair_of_many_buckets_is_made_once(spark):
+    rows = [(bucket, doc, doc, 100, 100) for bucket in (5, -3, 9) for doc in range(6)]
+    rows += [(11, 0, 0, 100, 100), (11, 7, 7, 100, 95), (9, 8, 8, 100, 60), (9, 9, 9, 70, 70)]
+    held = spark.createDataFrame(
+        rows, "bucket bigint, doc_id bigint, label bigint, total bigint, shared bigint").repartition(3)
+    sketches = spark.range(10).select(F.col("id").alias("doc_id"), F.encode(F.lit("s"), "utf-8").alias("sketch"))
+    wanted = sorted([(a, b) for b in range(6) for a in range(b)] + [(0, 7)])
+    found = near_dedup.open_pairs(held, sketches, 1, 0.8)
+    assert sorted((r.u, r.v) for r in found.collect()) == wanted
+    # Of a share of the texts: pairs with one of them, still once each.
+    some = {r.id for r in spark.range(10).filter(F.pmod(F.xxhash64("id"), F.lit(2)) == 0).collect()}
+    found = near_dedup.open_pairs(held, sketches, 2, 0.8)
+    assert sorted((r.u, r.v) for r in found.collect()) == [p for p in wanted if some & set(p)]
+
+
 def test_a_hot_bucket_is_split(spark):
     """A third of all rows in one bucket of several labels."""
     small = {"spark.sql.autoBroadcastJoinThreshold": "-1",
