@@ -38,7 +38,7 @@ read.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +57,8 @@ SIMILARITY = 0.8
 #: Standard deviations of the number of equal registers by which a pair may fall short of
 #: what its similarity leads to expect, before the exact comparison is left out.
 SLACK = 6.0
+#: Bytes of text whose shingles a worker holds at once, at about 48 bytes each.
+PASS_BYTES = 1 << 18
 
 Keep = Callable[[DataFrame, str], DataFrame]
 
@@ -123,6 +125,32 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 _SIGNED = "doc_id bigint, copy_key binary, total bigint, bands array<bigint>, sketch binary"
 
 
+def signed_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of ``sign`` for a batch of doc_id and text, in passes of ``PASS_BYTES``."""
+    for part, data, offsets in parts(batch, "text", PASS_BYTES):
+        row, element, weight = weighted_shingles(data, offsets)
+        n = part.num_rows
+        totals = np.bincount(row, weight, n).astype(np.int64)
+        registers = signatures(row, element, weight, n)
+        keys, low = band_keys(registers), (mix(registers) & np.uint64(255)).astype(np.uint8)
+        # Two sums over all (shingle, count) tell different texts apart.
+        one = mix(element + weight.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+        two = mix(one ^ np.uint64(0xA0761D6478BD642F))
+        begins = np.searchsorted(row, np.arange(n))
+        some = np.flatnonzero(totals)
+        sums = [np.add.reduceat(x, begins[some]) if len(some) else x for x in (one, two)]
+        copies = np.stack(sums, axis=1).astype("<u8") if len(some) else np.zeros((0, 2))
+        bands = pa.ListArray.from_arrays(
+            pa.array(np.arange(len(some) + 1, dtype=np.int32) * keys.shape[1]),
+            pa.array(keys[some].astype(np.int64).ravel()))
+        yield pa.RecordBatch.from_arrays([
+            part.column("doc_id").take(pa.array(some)),
+            pa.array([c.tobytes() for c in copies], pa.binary()),
+            pa.array(totals[some]), bands,
+            pa.array([x.tobytes() for x in low[some]], pa.binary())],
+            ["doc_id", "copy_key", "total", "bands", "sketch"])
+
+
 def sign(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, a key that copies share, number of shingles, band keys, a byte per register.
 
@@ -132,28 +160,7 @@ def sign(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
 
     def run(batches):
         for batch in batches:
-            for part, data, offsets in parts(batch, "text"):
-                row, element, weight = weighted_shingles(data, offsets)
-                n = part.num_rows
-                totals = np.bincount(row, weight, n).astype(np.int64)
-                registers = signatures(row, element, weight, n)
-                keys, low = band_keys(registers), (mix(registers) & np.uint64(255)).astype(np.uint8)
-                # Two sums over all (shingle, count) tell different texts apart.
-                one = mix(element + weight.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
-                two = mix(one ^ np.uint64(0xA0761D6478BD642F))
-                begins = np.searchsorted(row, np.arange(n))
-                some = np.flatnonzero(totals)
-                sums = [np.add.reduceat(x, begins[some]) if len(some) else x for x in (one, two)]
-                copies = np.stack(sums, axis=1).astype("<u8") if len(some) else np.zeros((0, 2))
-                bands = pa.ListArray.from_arrays(
-                    pa.array(np.arange(len(some) + 1, dtype=np.int32) * keys.shape[1]),
-                    pa.array(keys[some].astype(np.int64).ravel()))
-                yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id").take(pa.array(some)),
-                    pa.array([c.tobytes() for c in copies], pa.binary()),
-                    pa.array(totals[some]), bands,
-                    pa.array([x.tobytes() for x in low[some]], pa.binary())],
-                    ["doc_id", "copy_key", "total", "bands", "sketch"])
+            yield from signed_parts(batch)
 
     return rows.filter(F.col("doc_id").isNotNull()).mapInArrow(run, _SIGNED)
 
@@ -167,7 +174,7 @@ def shingle_table(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
     def run(batches):
         for batch in batches:
-            for part, data, offsets in parts(batch, "text"):
+            for part, data, offsets in parts(batch, "text", PASS_BYTES):
                 row, element, weight = weighted_shingles(data, offsets)
                 cuts = np.searchsorted(row, np.arange(part.num_rows + 1))
                 weight = weight.astype("<u4")

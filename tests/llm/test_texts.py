@@ -6,6 +6,7 @@ import tracemalloc
 
 import brute
 import numpy as np
+import pyarrow as pa
 import odd
 import public_tokenizers as tokens
 import pytest
@@ -201,6 +202,18 @@ def test_suffix_dedup_hashes_a_block_in_little_memory():
         assert (found[name] == column).all() if name != "place" else len(found[name]) == len(column)
 
 
+def test_signing_takes_little_memory():
+    """A worker's arrays stay small however large the batch is."""
+    rng = np.random.default_rng(7)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 9_999, 400)) for _ in range(1_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1_000)), pa.array(texts)], ["doc_id", "text"])
+    tracemalloc.start()
+    rows = sum(part.num_rows for part in near_dedup.signed_parts(batch))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows == 1_000 and peak < 20_000_000
+
+
 def test_removed_texts_keep_whole_characters(oddities):
     rows, frame = oddities
     left = suffix_dedup.removed(frame, suffix_dedup.repeated_spans(frame, store(frame.sparkSession)))
