@@ -59,10 +59,24 @@ SIMILARITY = 0.8
 SLACK = 6.0
 #: Bytes of text whose shingles a worker holds at once, at about 48 bytes each.
 PASS_BYTES = 1 << 18
+#: Rows of ids in a file of the small tables between steps, and the least number of files.
+FILE_ROWS = 250_000
+FILES = 4
 
 Keep = Callable[[DataFrame, str], DataFrame]
 
 
+def in_few_files(keep: Keep, rows: int) -> Keep:
+    """``keep`` for tables of up to about ``rows`` rows of ids, dealt to few files.
+
+    Otherwise each task that made some rows writes a file of its own: thousands where a
+    skewed join was split. On a local disk Hadoop starts several processes (``chmod``)
+    for each; one that is just starting is counted with all memory of its executor.
+    """
+    files = max(FILES, -(-rows // FILE_ROWS))
+    return lambda frame, name: keep(frame.repartition(files), name)
+
+
 def weighted_shingles(data: np.ndarray, offsets: np.ndarray,
                       ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text, hash and count of every different shingle, by text and hash."""
@@ -356,15 +370,16 @@ def classes(documents: DataFrame, keep: Keep, doc_id: str = "doc_id", text: str
         .agg(F.max(F.struct("copy_key", "total", "bands", "sketch")).alias("_s"))
         .select("doc_id", "_s.*"),
         "signed")
+    few = in_few_files(keep, signed.count())
     # ``attach`` keeps the join splittable where very many texts are copies of one.
-    copies = keep(
+    copies = few(
         attach(signed.select("doc_id", "copy_key"),
                signed.groupBy("copy_key").agg(F.min("doc_id").alias("rep")), ["copy_key"])
         .select("doc_id", "rep"), "copies")
     firsts = signed.join(copies.filter("doc_id = rep").select("doc_id"), "doc_id", "left_semi")
     members = firsts.select("doc_id", "total", F.explode("bands").alias("bucket"))
     shared = members.groupBy("bucket").agg(F.min("doc_id").alias("center"), F.count("doc_id").alias("n"))
-    shared = keep(shared.filter("n > 1"), "buckets")
+    shared = few(shared.filter("n > 1"), "buckets")
     members = keep(
         members.join(shared, "bucket").select("bucket", "doc_id", "center", "total"), "members")
     candidates = members.select("doc_id").distinct()
@@ -375,15 +390,15 @@ def classes(documents: DataFrame, keep: Keep, doc_id: str = "doc_id", text: str
     table = keep(
         shingle_table(source.join(candidates, "doc_id", "left_semi")).groupBy("doc_id")
         .agg(F.max(F.struct("shingles", "counts")).alias("_t")).select("doc_id", "_t.*"), "shingles")
-    labels = keep(candidates.select("doc_id", F.col("doc_id").alias("label")), "labels")
+    labels = few(candidates.select("doc_id", F.col("doc_id").alias("label")), "labels")
 
     sketches = keep(
         may_occur(signed.select("doc_id", "sketch"), known).join(candidates, "doc_id", "left_semi"),
         "sketches")
 
     def merged(labels: DataFrame, likely: DataFrame, name: str) -> DataFrame:
-        found = keep(verified(keep(likely, f"{name}-likely"), table, least), f"{name}-links")
-        return merge_classes(labels, found, keep, name)
+        found = few(verified(few(likely, f"{name}-likely"), table, least), f"{name}-links")
+        return merge_classes(labels, found, few, name)
 
     others = members.filter("doc_id <> center")
     nearest = others.groupBy("doc_id").agg(F.min("center").alias("v"))
@@ -394,18 +409,18 @@ def classes(documents: DataFrame, keep: Keep, doc_id: str = "doc_id", text: str
 
     # Buckets that still hold several classes: compare with 1/8 of their texts, then
     # with all of them, always only across classes.
-    held = keep(_in_open_buckets(members.join(labels, "doc_id")), "open")
+    held = few(_in_open_buckets(members.join(labels, "doc_id")), "open")
     for turn in range(2):  # texts that leave may leave others without a partner
         if not held.isEmpty():
             texts = held.select("doc_id", "label", "total").distinct()
-            able = keep(linkable(texts, table, least), f"able{turn}")
+            able = few(linkable(texts, table, least), f"able{turn}")
             held = _may_link(held.drop("shared").join(able, "doc_id"), least)
-            held = keep(_in_open_buckets(held), f"left{turn}")
+            held = few(_in_open_buckets(held), f"left{turn}")
     for share in (8, 1):
         if held.isEmpty():
             break
         if share == 1:
-            held = keep(_in_open_buckets(held.drop("label").join(labels, "doc_id")), "last")
+            held = few(_in_open_buckets(held.drop("label").join(labels, "doc_id")), "last")
         pairs = open_pairs(held, sketches, share, least)
         labels = merged(labels, agreeing(pairs, least), f"open{share}")
 

@@ -282,6 +282,35 @@ def test_a_large_family_makes_few_pairs(spark):
     assert sum(made[n].count() for n in made if n.startswith("open") and n.endswith("-likely")) < 6_000
 
 
+def test_small_tables_take_few_files(spark):
+    """However many tasks make the tables of ids between the steps."""
+    rows, keep, files = near_family(300, 4), store(spark), {}
+
+    def watched(kept, name):
+        made = keep(kept, name)
+        files[name] = len(made.inputFiles())
+        return made
+
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    try:
+        found = {r.doc_id: r.class_id for r in near_dedup.classes(frame, watched).collect()}
+    finally:
+        spark.conf.unset(merging)
+    assert found == brute.classes(rows)
+    large = {"signed", "members", "candidates", "shingles", "sketches"}
+    assert {"copies", "labels", "open", "open1-likely"} <= files.keys()
+    assert max(n for name, n in files.items() if name not in large) <= 4
+
+
+def test_few_files_grow_with_the_rows(spark):
+    asked = []
+    near_dedup.in_few_files(lambda rows, _: asked.append(rows.rdd.getNumPartitions()), 2_000_001)(
+        spark.range(20), "x")
+    assert asked == [9]
+
+
 def test_a_pair_of_many_buckets_is_made_once(spark):
     rows = [(bucket, doc, doc, 100, 100) for bucket in (5, -3, 9) for doc in range(6)]
     rows += [(11, 0, 0, 100, 100), (11, 7, 7, 100, 95), (9, 8, 8, 100, 60), (9, 9, 9, 70, 70)]
