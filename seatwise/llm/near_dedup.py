@@ -23,7 +23,8 @@ takes 0.8/1.8 of the sum of both totals in common. In a large family of texts th
 each other somewhat, few are left to be paired, and a pair is made only where the smaller
 shared weight is enough, once, in the first bucket that its texts have in common. A pair
 whose registers agree in far fewer places (six standard deviations) than at the threshold
-is not compared shingle by shingle.
+is not compared shingle by shingle, nor one whose weights by ``CELLS`` cells of hashes
+bound what it has in common below the threshold.
 
 So a bucket of thousands of near copies costs a few comparisons per text, no bucket is
 cut, and any two texts of a bucket end in one class or have been compared.
@@ -59,6 +60,10 @@ SIMILARITY = 0.8
 SLACK = 6.0
 #: Bytes of text whose shingles a worker holds at once, at about 48 bytes each.
 PASS_BYTES = 1 << 18
+#: Cells of a fold, the weights of a text's shingles by the last bits of their hashes. A
+#: full cell holds that much or more.
+CELLS = 256
+FULL = 255
 #: Rows of ids in a file of the small tables between steps, and the least number of files.
 FILE_ROWS = 250_000
 FILES = 4
@@ -180,7 +185,7 @@ def sign(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
 
 
 def shingle_table(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, and the different shingles and their counts as packed arrays.
+    """doc_id, the different shingles and their counts as packed arrays, and their fold.
 
     No counts stand for a count of one each.
     """
@@ -191,16 +196,38 @@ def shingle_table(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
             for part, data, offsets in parts(batch, "text", PASS_BYTES):
                 row, element, weight = weighted_shingles(data, offsets)
                 cuts = np.searchsorted(row, np.arange(part.num_rows + 1))
+                folds = folded(row, element, weight, part.num_rows)
                 weight = weight.astype("<u4")
                 spans = list(zip(cuts[:-1], cuts[1:], strict=True))
                 yield pa.RecordBatch.from_arrays([
                     part.column("doc_id"),
                     pa.array([element[a:b].tobytes() for a, b in spans], pa.binary()),
                     pa.array([weight[a:b].tobytes() if (weight[a:b] > 1).any() else b""
-                              for a, b in spans], pa.binary())],
-                    ["doc_id", "shingles", "counts"])
+                              for a, b in spans], pa.binary()),
+                    pa.array([x.tobytes() for x in folds], pa.binary())],
+                    ["doc_id", "shingles", "counts", "fold"])
 
-    return rows.mapInArrow(run, "doc_id bigint, shingles binary, counts binary")
+    return rows.mapInArrow(run, "doc_id bigint, shingles binary, counts binary, fold binary")
+
+
+def folded(row: np.ndarray, element: np.ndarray, weight: np.ndarray, texts: int) -> np.ndarray:
+    """A row per text: the 8 bytes of its total weight, then a byte per cell."""
+    cell = (mix(element) % np.uint64(CELLS)).astype(np.int64)
+    sums = np.bincount(row * CELLS + cell, weight, texts * CELLS).reshape(texts, CELLS)
+    totals = sums.sum(axis=1).astype("<i8").view(np.uint8).reshape(texts, 8)
+    return np.hstack([totals, np.minimum(sums, FULL).astype(np.uint8)])
+
+
+def may_be_similar(one: np.ndarray, two: np.ndarray, least: float) -> np.ndarray:
+    """False for the pairs of folds whose texts have too little in common for ``least``.
+
+    In a cell they have no more in common than the smaller weight, which is not known
+    where both are full. So no pair that is similar is lost.
+    """
+    total = sum(np.ascontiguousarray(x[:, :8]).view("<i8")[:, 0] for x in (one, two))
+    low = np.minimum(one[:, 8:], two[:, 8:])
+    most = low.sum(axis=1, dtype=np.int64)
+    return (low == FULL).any(axis=1) | (most * (1 + least) >= total * least - 1e-6)
 
 
 def _counts(packed: bytes, shingles: np.ndarray) -> np.ndarray:
@@ -246,15 +273,19 @@ def promising(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
 
 
 def agreeing(pairs: DataFrame, least: float) -> DataFrame:
-    """u and v of the pairs (u, v, su, sv) whose sketches do not rule similarity out."""
+    """u and v of the pairs (u, v, su, sv) whose sketches, and folds if they follow the
+    sketches, do not rule similarity out."""
     floor = REGISTERS * least - SLACK * (REGISTERS * least * (1 - least)) ** 0.5
 
     def run(batches):
         for batch in batches:
             if batch.num_rows:
                 one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8)
-                            .reshape(-1, REGISTERS) for i in (2, 3))
-                good = pa.array((one == two).sum(axis=1) >= floor)
+                            .reshape(batch.num_rows, -1) for i in (2, 3))
+                good = (one[:, :REGISTERS] == two[:, :REGISTERS]).sum(axis=1) >= floor
+                if one.shape[1] > REGISTERS:
+                    good &= may_be_similar(one[:, REGISTERS:], two[:, REGISTERS:], least)
+                good = pa.array(good)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).filter(good), batch.column(1).filter(good)], ["u", "v"])
 
@@ -389,7 +420,7 @@ def classes(documents: DataFrame, keep: Keep, doc_id: str = "doc_id", text: str
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), known)
     table = keep(
         shingle_table(source.join(candidates, "doc_id", "left_semi")).groupBy("doc_id")
-        .agg(F.max(F.struct("shingles", "counts")).alias("_t")).select("doc_id", "_t.*"), "shingles")
+        .agg(F.max(F.struct("shingles", "counts", "fold")).alias("_t")).select("doc_id", "_t.*"), "shingles")
     labels = few(candidates.select("doc_id", F.col("doc_id").alias("label")), "labels")
 
     sketches = keep(
@@ -416,12 +447,14 @@ def classes(documents: DataFrame, keep: Keep, doc_id: str = "doc_id", text: str
             able = few(linkable(texts, table, least), f"able{turn}")
             held = _may_link(held.drop("shared").join(able, "doc_id"), least)
             held = few(_in_open_buckets(held), f"left{turn}")
+    folds = table.select("doc_id", "fold")
+    marks = sketches.join(folds, "doc_id").select("doc_id", F.concat("sketch", "fold").alias("sketch"))
     for share in (8, 1):
         if held.isEmpty():
             break
         if share == 1:
             held = few(_in_open_buckets(held.drop("label").join(labels, "doc_id")), "last")
-        pairs = open_pairs(held, sketches, share, least)
+        pairs = open_pairs(held, marks, share, least)
         labels = merged(labels, agreeing(pairs, least), f"open{share}")
 
     known = copies.join(labels.select(F.col("doc_id").alias("rep"), "label"), "rep", "left").select(

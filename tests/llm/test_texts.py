@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from seatwise.llm import (
     bpe,
+    common,
     ctw,
     decontamination,
     language_id,
@@ -304,6 +305,26 @@ def test_small_tables_take_few_files(spark):
     assert max(n for name, n in files.items() if name not in large) <= 4
 
 
+def test_folds_lose_no_similar_pair():
+    rng, texts = random.Random(6), [t for _, t in near_family(120, 9)]
+    texts += [" ".join(rng.choices("ab", k=k)) for k in (3000, 3000, 2900)] + ["a " * 5000] * 2 + ["x y"]
+    data = pa.array(texts, pa.large_string())
+    row, element, weight = near_dedup.weighted_shingles(*common.utf8(data))
+    folds = near_dedup.folded(row, element, weight, len(texts))
+    counts = [dict(zip(element[row == i].tolist(), weight[row == i].tolist(), strict=True)) for i in range(len(texts))]
+    left = lost = far = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            low = sum(min(n, counts[j].get(x, 0)) for x, n in counts[i].items())
+            similar = low / (sum(counts[i].values()) + sum(counts[j].values()) - low) >= 0.8
+            may = near_dedup.may_be_similar(folds[i:i + 1], folds[j:j + 1], 0.8)[0]
+            lost += similar and not may
+            far += not similar
+            left += may and not similar
+    assert lost == 0
+    assert left < far / 4
+
+
 def test_few_files_grow_with_the_rows(spark):
     asked = []
     near_dedup.in_few_files(lambda rows, _: asked.append(rows.rdd.getNumPartitions()), 2_000_001)(
